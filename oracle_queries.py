@@ -75,6 +75,7 @@ FROM x6"""
 
 
 def all_sql() -> dict[str, str]:
-    return {
-        "X2_press_release": press_release_sql(),
-    }
+    import oracle_batch1
+    q = {"X2_press_release": press_release_sql()}
+    q.update(oracle_batch1.sql())
+    return q

@@ -66,8 +66,8 @@ def parse_date(c: Column) -> Column:
         if named:
             m = _month_no(m).cast("string")
         d = F.regexp_extract(c, rx, gd) if gd else F.lit("1")
-        s = F.concat_ws("-", F.regexp_extract(c, rx, gy), m, d)
-        cands.append(F.when(hit, F.try_to_date(s, "y-M-d")))
+        s = F.concat_ws("-", F.regexp_extract(c, rx, gy), F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
+        cands.append(F.when(hit, F.try_to_date(s, "yyyy-MM-dd")))
     return F.coalesce(*cands)
 
 

@@ -38,3 +38,42 @@ def first_contained(expr: str, words, case_sensitive: bool = True) -> str:
     if case_sensitive:
         return f"list_filter({arr}, lambda w: contains({expr}, w))[1]"
     return f"list_filter({arr}, lambda w: contains(lower({expr}), lower(w)))[1]"
+
+
+def clean_date_text(expr: str) -> str:
+    from quarry.functions.dates import PAREN_MONTHS
+    from quarry.functions.text import WS
+    d = f"regexp_replace(lower({expr}), {lit(WS + WS + '*')}, ' ', 'g')"
+    d = f"(CASE WHEN contains({d}, 'sept') AND NOT contains({d}, 'september') THEN replace({d}, 'sept', 'sep') ELSE {d} END)"
+    for a, b in PAREN_MONTHS:
+        d = f"replace({d}, {lit(a)}, {lit(b)})"
+    return d
+
+
+def parse_date(expr: str) -> str:
+    from quarry.functions.dates import DATE_FORMS, MONTH3
+    cands = []
+    for rx, gy, gm, gd, named in DATE_FORMS:
+        hit = f"regexp_extract({expr}, {lit(rx)}, 0) <> ''"
+        m = f"regexp_extract({expr}, {lit(rx)}, {gm})"
+        if named:
+            m = f"CAST((instr('{MONTH3}', {m}) - 1) // 3 + 1 AS VARCHAR)"
+        d = f"regexp_extract({expr}, {lit(rx)}, {gd})" if gd else "'1'"
+        s = f"concat_ws('-', regexp_extract({expr}, {lit(rx)}, {gy}), lpad({m}, 2, '0'), lpad({d}, 2, '0'))"
+        cands.append(f"CASE WHEN {hit} THEN CAST(try_strptime({s}, '%Y-%m-%d') AS DATE) END")
+    return "coalesce(" + ", ".join(cands) + ")"
+
+
+def signer_split(expr: str, signers):
+    """(post, phrase) as SQL: first signer present, text after it up to the next."""
+    post, phrase = "NULL", "NULL"
+    for s in reversed(signers):
+        piece = f"left(string_split({expr}, {lit(s)})[2], 100)"
+        post = f"(CASE WHEN contains({expr}, {lit(s)}) THEN {piece} ELSE {post} END)"
+        phrase = f"(CASE WHEN contains({expr}, {lit(s)}) THEN {lit(s)} ELSE {phrase} END)"
+    return post, phrase
+
+
+def strip_py(expr: str) -> str:
+    from quarry.functions.text import WS
+    return f"regexp_replace({expr}, {lit('^' + WS + '+|' + WS + '+$')}, '', 'g')"
