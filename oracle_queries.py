@@ -32,9 +32,9 @@ TARGET_PR = """target_press_release AS (
   FROM articles a JOIN agencies g ON a.a_id = g.a_id WHERE a.id % 2 = 0)"""
 
 
-def press_release_sql() -> str:
+def press_release_sql(keywords=P.KEYWORD_SKIPS) -> str:
     desc = R.strip_boilerplate(R.fold("desc0", "T2"))
-    kw = R.first_contained("dtext", P.KEYWORD_SKIPS)
+    kw = R.first_contained("dtext", keywords)
     body_raw = ("chr(10) || 'WASHINGTON, ' || strftime(DATE '" + AS_OF + "', '%b. %d') || ' -- ' || post_head || ':' || chr(10) || '*' || chr(10) "
                 "|| (CASE WHEN length(head) > 0 THEN replace(dtext, head, '') ELSE dtext END) "
                 "|| chr(10) || chr(10) || '***' || chr(10) || chr(10) || 'Original text here: ' || url")
@@ -76,6 +76,9 @@ FROM x6"""
 
 def all_sql() -> dict[str, str]:
     import oracle_batch1
-    q = {"X2_press_release": press_release_sql()}
+    from quarry.plans.queries import FIXTURE
+    q = {"X2_press_release": press_release_sql(FIXTURE.keyword_skips)}
     q.update(oracle_batch1.sql())
+    import oracle_batch2
+    q.update(oracle_batch2.sql())
     return q

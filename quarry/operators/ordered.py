@@ -17,7 +17,7 @@ SALT_BUCKETS = 64
 
 def newest_first_key(ts: str = "ts", tie: str = "event_id") -> Column:
     """O1: newest first, id as tie-break, as one ascending struct key."""
-    return F.struct((-F.unix_micros(F.col(ts))).alias("t"), (-F.col(tie)).alias("i"))
+    return F.struct((-F.unix_micros(F.col(ts).cast("timestamp"))).alias("t"), (-F.col(tie)).alias("i"))
 
 
 def newest_first(df: DataFrame, ts: str = "ts", tie: str = "event_id") -> DataFrame:

@@ -269,3 +269,324 @@ def f15_recipients_valid(spark, sf):
     cc = F.when(F.col("c_custkey") % 3 == 0, F.lit("")).otherwise(F.lit("a@example.com,b@example.com"))
     return c.select("c_custkey", R.recipients_valid(to).cast("int").alias("to_ok"),
                     R.recipients_valid(cc, allow_empty=True).cast("int").alias("cc_ok"))
+
+
+# ------------------------------------------------------------------ templates
+# A fixture template for the generated pages (same 19-field layout as the
+# shipped ones): issues are the nav list items.
+FIXTURE_LINE = (",,,find|elem|nav~find_all|elem|li,True,find|elem|a,find|elem|a,%%%,find|elem|time<>find|elem|h1,,"
+                "find|elem|article,find|class|ad~find|elem|footer,find_all|elem|p,find|elem|b,find|elem|a,"
+                "find|elem|p,5,,D")
+
+
+def fixture_templates():
+    from quarry.sources.specs import TEMPLATES
+    return TEMPLATES + (("blog.", FIXTURE_LINE), (".net", FIXTURE_LINE))
+
+
+def templates_table(spark):
+    rows = [(i, k, line) for i, (k, line) in enumerate(fixture_templates())]
+    return spark.createDataFrame(rows, "prio int, keyword string, template string")
+
+
+def j3_template_match(spark, sf):
+    from quarry.operators.joins import template_match
+    pg = S.table(spark, sf, "pages").select(F.col("page_id").alias("row_id"), "url")
+    m = template_match(pg, "url", templates_table(spark))
+    return m.select(F.col("row_id").alias("page_id"), "keyword")
+
+
+def f2_has_template(spark, sf):
+    m = j3_template_match(spark, sf)
+    return m.select("page_id", F.when(F.col("keyword").isNull(), F.lit("no_template")).otherwise(F.lit("ok")).alias("reason"))
+
+
+SPEC_FIELDS = ("journal_containers", "link_data", "headline_data", "date_data", "journal_info_data",
+               "journal_info_formatting", "journal_articles", "phrase_tag", "abstract_link", "abstract_text")
+
+
+def _page_template_fields(spark, sf):
+    from quarry.operators.joins import template_match
+    from quarry.sources.specs import TEMPLATE_FIELDS
+    pg = S.table(spark, sf, "pages").select(F.col("page_id").alias("row_id"), "url")
+    m = template_match(pg, "url", templates_table(spark)).where(F.col("template").isNotNull())
+    parts = F.split(F.col("template"), ",")
+    cols = [F.get(parts, i + 3).alias(f) for i, f in enumerate(TEMPLATE_FIELDS)]
+    return m.select(F.col("row_id").alias("page_id"), "keyword", F.size(parts).alias("width"), *cols)
+
+
+def p2_template_fields(spark, sf):
+    from quarry.sources.specs import TEMPLATE_FIELDS, TEMPLATE_WIDTH
+    t = _page_template_fields(spark, sf)
+    return t.select("page_id", *TEMPLATE_FIELDS,
+                    F.when(F.col("width") < TEMPLATE_WIDTH, F.lit("csv_line")).otherwise(F.lit("ok")).alias("reason"))
+
+
+def s3_parse_specs(spark, sf):
+    from quarry.sources.specs import spec_steps
+    t = _page_template_fields(spark, sf)
+    long = t.select("page_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("spec"))
+                                                     for f in SPEC_FIELDS])).alias("fs"))
+    long = long.select("page_id", "fs.field", "fs.spec").where(F.col("spec") != "")
+    return spec_steps(long, "spec").drop("spec")
+
+
+# ------------------------------------------------------------------ sources and sinks
+def s1_read_site_config(spark, sf):
+    import uuid
+    from quarry.session import scratch_dir
+    from quarry.sources.sinks import read_site_config, write_site_config
+    pg = S.table(spark, sf, "pages")
+    host = F.regexp_extract("url", "^https?://([^/?#]+)", 1)
+    prefix = F.regexp_extract("url", "^(https?://[^/?#]+)", 1)
+    rows = pg.select(F.col("page_id").alias("id"), host.alias("name"),
+                     F.when(F.col("page_id") % 3 != 0, F.concat(F.col("url"), F.lit("|"), prefix))
+                      .otherwise(F.col("url")).alias("url_field"))
+    path = scratch_dir(spark, f"site-config-{uuid.uuid4().hex}")
+    write_site_config(rows, path)
+    return read_site_config(spark, path)
+
+
+def s4_read_agencies(spark, sf):
+    from quarry.operators.joins import agency_group_join
+    c = S.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("a_id"),
+                                              F.col("c_name").alias("filename"),
+                                              F.concat(F.col("c_mktsegment"), F.lit(" DATE")).alias("lede_raw"),
+                                              F.col("c_nationkey").alias("ug_id"))
+    g = S.table(spark, sf, "nation").select(F.col("n_nationkey").alias("ug_id"), F.col("n_name").alias("uname"),
+                                            F.col("n_name").alias("descrip"))
+    j = agency_group_join(c, g, "ug_id", "NATION_1%")
+    return j.select("a_id", "filename", to_latin1(F.col("lede_raw")).alias("lede"), "uname")
+
+
+# Windows-1252 characters MySQL's latin1 keeps besides U+0000-U+00FF.
+CP1252_EXTRA = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+
+
+def to_latin1(c):
+    """CONVERT(x USING latin1): unmappable characters become '?'."""
+    return F.regexp_replace(c, "[^\\x00-\\x7F\\xA0-\\xFF\\x81\\x8D\\x8F\\x90\\x9D" + CP1252_EXTRA + "]", "?")
+
+
+def s5_to_latin1(spark, sf):
+    return _docs(spark, sf).select("doc_id", to_latin1(F.col("text")).alias("text"))
+
+
+def s6_read_pages(spark, sf):
+    pg = S.issue_html(spark, sf)
+    missing = F.col("html").isNull() | (F.length("html") == 0)
+    return pg.select("page_id", "url", F.when(missing, F.lit("landing_page_html_is_none")).otherwise(F.lit("ok")).alias("reason"),
+                     F.coalesce(F.length("html"), F.lit(0)).cast("long").alias("n_chars"))
+
+
+def s7_read_pdf_pages(spark, sf):
+    return S.pdf_pages(spark, sf).select("id", F.col("page_no").cast("long").alias("page_no"), "text")
+
+
+def s8_existing_keys(spark, sf):
+    from quarry.operators.dedupe import existing_keys
+    return existing_keys(S.target_press_release(spark, sf)).distinct()
+
+
+def _x2(spark, sf, params=None):
+    from quarry.plans.press_release import press_release
+    return press_release(S.articles(spark, sf), S.agencies(spark, sf), S.target_press_release(spark, sf),
+                         params or FIXTURE)
+
+
+def s9_append_press_release(spark, sf):
+    import uuid
+    from quarry.plans.press_release import press_release_rows
+    from quarry.session import scratch_dir
+    from quarry.sources.sinks import append_press_release, read_target
+    path = scratch_dir(spark, f"press_release-{uuid.uuid4().hex}")
+    append_press_release(press_release_rows(_x2(spark, sf), FIXTURE.as_of_str), path)
+    t = read_target(spark, path)
+    return t.select("filename", "headline", F.date_format("content_date", "yyyy-MM-dd").alias("content_date"),
+                    F.col("a_id").cast("long").alias("a_id"), "box", "story_txt", "uname",
+                    F.date_format("date_sent", "yyyy-MM-dd").alias("date_sent"))
+
+
+def s11_write_text(spark, sf):
+    import uuid
+    from quarry.session import scratch_dir
+    from quarry.sources.sinks import read_target, write_text
+    path = scratch_dir(spark, f"journal-text-{uuid.uuid4().hex}")
+    x = _x2(spark, sf).where(F.col("reason") == "loaded")
+    write_text(x.select("filename", F.col("story_txt").alias("article_body"), "content_date"), path)
+    t = read_target(spark, path)
+    return t.select("filename", "article_body", F.col("content_date").cast("string").alias("content_date"))
+
+
+# ------------------------------------------------------------------ joins
+def j1_agency_group_join(spark, sf):
+    return s4_read_agencies(spark, sf).select("a_id", "filename", "uname")
+
+
+def j2_lookup(spark, sf):
+    from quarry.operators.joins import lookup
+    o = S.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("a_id"))
+    c = S.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("a_id"), F.col("c_name").alias("filename"))
+    j = lookup(o, c, "a_id", ["filename"])
+    return j.select("o_orderkey", "filename", F.when(F.col("filename").isNull(), F.lit("no_lede")).otherwise(F.lit("ok")).alias("reason"))
+
+
+def j4_not_already_stored(spark, sf):
+    from quarry.operators.dedupe import not_already_stored
+    f = p7_article_filename(spark, sf).where(F.col("filename").isNotNull())
+    return not_already_stored(f, S.target_press_release(spark, sf), "filename").select("id", "filename")
+
+
+def j5_insert_if_absent(spark, sf):
+    from quarry.operators.dedupe import insert_if_absent
+    d = _docs(spark, sf).select("doc_id", "text")
+    return insert_if_absent(d, None, "text", "doc_id").select("doc_id", F.col("is_duplicate").cast("int").alias("is_duplicate"))
+
+
+def comment_pages(spark, sf):
+    """Comment pages the cards link to: a document per event id (a derived view)."""
+    e = S.table(spark, sf, "events")
+    d = _docs(spark, sf)
+    j = e.join(d, e.event_id == d.doc_id, "inner")
+    cid = F.concat(F.lit("AG-"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_id").cast("string"))
+    return j.select(F.concat(F.lit("/comment/"), cid).alias("url"), F.col("doc_id").alias("pdf_id"),
+                    F.when(F.col("doc_id") % 9 == 0, F.lit(None).cast("string")).otherwise(S.first_line(F.col("text"))).alias("pdf_title"),
+                    F.when(F.col("doc_id") % 10 == 0, F.lit(None).cast("string"))
+                     .otherwise(F.concat(F.lit("https://downloads.example.gov/"), F.col("doc_id").cast("string"), F.lit(".pdf"))).alias("download"))
+
+
+def j6_follow_links(spark, sf):
+    from quarry.operators.joins import follow_links
+    c = S.cards(spark, sf).select("event_id", "link")
+    j = follow_links(c, comment_pages(spark, sf), "link", "url")
+    return j.select("event_id", F.col("pdf_id").isNotNull().cast("int").alias("has_page"), "pdf_id")
+
+
+def _requests(spark, sf):
+    c = S.table(spark, sf, "conversations")
+    return c.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("pdf_text"))
+
+
+def _replies_for_requests(spark, sf):
+    return S.replies(spark, sf).select("conv_id", (F.col("turn") - 1).alias("turn"), "reply")
+
+
+def j7_reply_join(spark, sf):
+    from quarry.operators.joins import reply_join
+    j = reply_join(_requests(spark, sf), _replies_for_requests(spark, sf), ["conv_id", "turn"])
+    return j.select("conv_id", "turn", "reply")
+
+
+# ------------------------------------------------------------------ ordered
+def _card_rules(spark, sf):
+    from quarry.operators.ordered import newest_first_key
+    c = S.cards(spark, sf).withColumn("k", newest_first_key())
+    phrase = T.first_contained(F.col("title"), FIXTURE.title_reject, case_sensitive=False)
+    posted = D.parse_posted(F.col("posted"))
+    return c.select("*", phrase.alias("phrase"), posted.alias("posted_date"))
+
+
+def o1_newest_first(spark, sf):
+    from quarry.operators.ordered import global_position, newest_first_key
+    c = S.cards(spark, sf).select("event_id", "ts").withColumn("k", newest_first_key())
+    return global_position(c, "k").select("event_id", "pos")
+
+
+def o2_doc_limit(spark, sf):
+    from quarry.operators.ordered import doc_limit
+    return doc_limit(S.cards(spark, sf), 100).select("event_id")
+
+
+def o3_stop_at_first_old(spark, sf):
+    from quarry.operators.ordered import stop_at_first
+    c = _card_rules(spark, sf)
+    reached = F.col("link").isNotNull() & F.col("phrase").isNull()
+    out = ~D.in_day_window(F.col("posted_date"), AS_OF, FIXTURE.days_back)
+    s = stop_at_first(c, "k", reached & out)
+    return s.where("before_stop").select("event_id")
+
+
+def o4_stop_after_n_invalid(spark, sf):
+    from quarry.operators.ordered import newest_first_key, stop_after_n_invalid
+    d = S.issue_dates(spark, sf).withColumn("k", newest_first_key())
+    s = stop_after_n_invalid(d, "journal", "k", "invalid", FIXTURE.invalid_limit)
+    return s.select("journal", "event_id", F.col("looked_at").cast("int").alias("looked_at"),
+                    (F.col("looked_at") & ~F.col("invalid")).cast("int").alias("accepted"))
+
+
+def o5_first_k_per_issue(spark, sf):
+    from quarry.operators.ordered import first_k_per_group, newest_first_key
+    e = S.table(spark, sf, "events").where(R.phrase_allow(F.col("event_type"), FIXTURE.abstract_phrases))
+    e = e.withColumn("k", newest_first_key())
+    return first_k_per_group(e, "user_id", "k", FIXTURE.abstracts_per_issue).select(
+        "user_id", "event_id", F.col("rank").cast("long").alias("rank"))
+
+
+def o7_paginate(spark, sf):
+    """List pages are days (newest day = page 1); walk = (page, newest first),
+    then the doc limit, the stop at the first old card and the page cap."""
+    from quarry.operators.ordered import stop_at_first
+    c = _card_rules(spark, sf)
+    c = c.withColumn("page_no", (F.datediff(AS_OF, F.to_date("ts")) + 1).cast("int"))
+    c = c.withColumn("pk", F.struct(F.col("page_no"), F.col("k")))
+    lim = c.orderBy("pk").limit(3000)
+    lim = lim.where(F.col("page_no") <= P.PAGE_CAP)
+    reached = F.col("link").isNotNull() & F.col("phrase").isNull()
+    out = ~D.in_day_window(F.col("posted_date"), AS_OF, FIXTURE.days_back)
+    s = stop_at_first(lim, "pk", reached & out)
+    return s.where("before_stop").select("event_id", F.col("page_no").cast("long").alias("page_no"))
+
+
+# ------------------------------------------------------------------ aggregations and outcomes
+def a1_join_texts(spark, sf):
+    from quarry.operators.aggregates import join_texts
+    c = S.table(spark, sf, "conversations")
+    return join_texts(c, "conv_id", "turn", "text", " ")
+
+
+def a2_concat_pages(spark, sf):
+    from quarry.operators.aggregates import concat_pages
+    return concat_pages(S.pdf_pages(spark, sf), "id", "page_no", "text")
+
+
+def a4_reason_counts(spark, sf):
+    from quarry.operators.aggregates import reason_counts
+    return reason_counts(_x2(spark, sf))
+
+
+def a5_reason_details(spark, sf):
+    from quarry.operators.aggregates import reason_details
+    return reason_details(_x2(spark, sf), R.reason_labels(spark))
+
+
+def a6_run_metrics(spark, sf):
+    from quarry.operators.aggregates import run_metrics
+    return run_metrics(_x2(spark, sf), "loaded")
+
+
+def a8_bad_characters(spark, sf):
+    return _docs(spark, sf).select("doc_id", T.bad_characters(ascii_fold(F.col("text"))).alias("bad"))
+
+
+def e1_first_failing_rule(spark, sf):
+    d = _docs(spark, sf)
+    body = F.substring_index(F.col("text"), "\n", -1)
+    reason = R.first_failing(
+        (~R.nonempty(body), "description_is_none"),
+        (T.first_contained(F.col("text"), FIXTURE.keyword_skips).isNotNull(), "keyword"),
+        (~R.min_length_article(F.col("text")), "too_short"),
+        success="loaded")
+    return d.select("doc_id", reason.alias("reason"))
+
+
+def e2_reason_labels(spark, sf):
+    from quarry.operators.aggregates import reason_counts
+    c = reason_counts(_x2(spark, sf))
+    return c.join(F.broadcast(R.reason_labels(spark)), "reason", "left").select("reason", "label", "n")
+
+
+def e3_write_outcome(spark, sf):
+    a = S.articles(spark, sf)
+    a_id = F.when(F.col("id") % 50 == 0, F.concat(F.lit("x"), F.col("a_id"))).otherwise(F.col("a_id"))
+    head = T.post_headline(F.col("journal_name"), F.col("head"))
+    return a.select("id", F.coalesce(R.write_outcome(a_id, head), F.lit("loaded")).alias("outcome"))
