@@ -81,4 +81,6 @@ def all_sql() -> dict[str, str]:
     q.update(oracle_batch1.sql())
     import oracle_batch2
     q.update(oracle_batch2.sql())
+    import oracle_batch3
+    q.update(oracle_batch3.sql())
     return q

@@ -81,27 +81,31 @@ def index_keep(r: Column, n: Column, i: int) -> Column:
 
 
 def apply_step(ctx: DataFrame, els: DataFrame, st: Step, keys, op: str = "slice") -> DataFrame:
-    """One step (H2/H3 + H4 or H5).  Output is a new context frame with the
-    match rank ``m_rank`` per key (document order)."""
+    """One step (H2/H3 + H4 or H5), evaluated inside every context element
+    separately (find = first match per context, slices and indexes per
+    context).  Output is a new context frame with the match rank ``c_rank``
+    inside its context."""
     j = _descendants(ctx, els, st.kind, st.name)
-    # matches of nested contexts can repeat: one row per (key, element)
-    j = j.dropDuplicates([*keys, "m_lo"]) if "c_rank" in ctx.columns else j
+    part = [*_kp(keys), "c_lo"]
     if not st.find_all:
         # H3: first match only, as an aggregate (no sort of the group)
-        first = j.groupBy(*_kp(keys)).agg(
-            F.min_by(F.struct("m_lo", "m_hi", "m_nc"), F.col("m_lo")).alias("_m"))
+        first = j.groupBy(*part).agg(F.min_by(F.struct("m_lo", "m_hi", "m_nc"), F.col("m_lo")).alias("_m"))
         out = first.select(*_kp(keys), F.col("_m.m_lo").alias("c_lo"), F.col("_m.m_hi").alias("c_hi"),
                            F.col("_m.m_nc").alias("c_nc"), F.lit(0).alias("c_rank"))
-        return out
-    w = Window.partitionBy(*keys).orderBy("m_lo")
-    j = j.withColumn("_r", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    if st.ints:
-        if op == "index":
-            j = j.where(index_keep(F.col("_r"), F.col("_n"), st.ints[0]))
-        else:
-            j = j.where(python_slice_keep(F.col("_r"), F.col("_n"), st.ints))
-    return j.select(*_kp(keys), F.col("m_lo").alias("c_lo"), F.col("m_hi").alias("c_hi"),
-                    F.col("m_nc").alias("c_nc"), F.col("_r").alias("c_rank"))
+    else:
+        w = Window.partitionBy(*part).orderBy("m_lo")
+        j = j.withColumn("_r", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*part)))
+        if st.ints:
+            if op == "index":
+                j = j.where(index_keep(F.col("_r"), F.col("_n"), st.ints[0]))
+            else:
+                j = j.where(python_slice_keep(F.col("_r"), F.col("_n"), st.ints))
+        out = j.select(*_kp(keys), F.col("m_lo").alias("c_lo"), F.col("m_hi").alias("c_hi"),
+                       F.col("m_nc").alias("c_nc"), F.col("_r").alias("c_rank"))
+    if "c_rank" in ctx.columns:
+        # nested contexts can reach the same element: once per key
+        out = out.dropDuplicates([*_kp(keys), "c_lo"])
+    return out
 
 
 def chain(ctx: DataFrame, els: DataFrame, steps, keys, op: str = "slice") -> DataFrame:

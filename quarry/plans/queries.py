@@ -590,3 +590,272 @@ def e3_write_outcome(spark, sf):
     a_id = F.when(F.col("id") % 50 == 0, F.concat(F.lit("x"), F.col("a_id"))).otherwise(F.col("a_id"))
     head = T.post_headline(F.col("journal_name"), F.col("head"))
     return a.select("id", F.coalesce(R.write_outcome(a_id, head), F.lit("loaded")).alias("outcome"))
+
+
+# ------------------------------------------------------------------ selectors
+def _nodes(spark, sf):
+    from quarry.sources.pages import page_nodes
+    return page_nodes(S.issue_html(spark, sf))
+
+
+def _page_ctx(spark, sf):
+    from quarry.operators.selectors import page_context
+    return page_context(S.table(spark, sf, "pages").select("page_id"))
+
+
+def h1_page_elements(spark, sf):
+    from quarry.sources.pages import elements
+    return elements(_nodes(spark, sf)).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _nav_links(spark, sf, spec="find|elem|nav~find_all|elem|a"):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    m = H.select(_page_ctx(spark, sf), els, spec, ["page_id"])
+    href = H.attribute(m, els, "href", ["page_id"]).select("page_id", "c_lo", "href")
+    txt = H.element_text(m, tx, ["page_id"]).select("page_id", "c_lo", "text")
+    return m.select("page_id", "c_lo", "c_rank").join(href, ["page_id", "c_lo"]).join(txt, ["page_id", "c_lo"])
+
+
+def h2_find_all(spark, sf):
+    r = _nav_links(spark, sf)
+    return r.select("page_id", F.col("c_rank").cast("long").alias("n"), "href", "text")
+
+
+def _first_text(spark, sf, spec, strip=True):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    m = H.select(_page_ctx(spark, sf), els, spec, ["page_id"])
+    return m, H.element_text(m, tx, ["page_id"], strip=strip)
+
+
+def h3_find(spark, sf):
+    _, t = _first_text(spark, sf, "find|elem|h1")
+    return t.select("page_id", "text")
+
+
+def _li_texts(spark, sf, spec, op="slice"):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    m = H.select(_page_ctx(spark, sf), els, spec, ["page_id"], op=op)
+    t = H.element_text(m, tx, ["page_id"])
+    return m.select("page_id", "c_lo", "c_rank").join(t.select("page_id", "c_lo", "text"), ["page_id", "c_lo"])
+
+
+def h4_slice_matches(spark, sf):
+    r = _li_texts(spark, sf, "find_all|elem|li|1|4")
+    return r.select("page_id", F.col("c_rank").cast("long").alias("n"), "text")
+
+
+def h5_index_match(spark, sf):
+    r = _li_texts(spark, sf, "find_all|elem|li|-1", op="index")
+    return r.select("page_id", "text")
+
+
+def h6_chain(spark, sf):
+    r = _nav_links(spark, sf, "find|elem|nav~find_all|elem|li~find|elem|a")
+    return r.select("page_id", F.col("c_rank").cast("long").alias("n"), "href")
+
+
+def h7_alternatives(spark, sf):
+    m, t = _first_text(spark, sf, "find|elem|time<>find|elem|h1")
+    return m.select("page_id", "c_lo", F.col("alt").cast("long").alias("alt")).join(
+        t.select("page_id", "c_lo", "text"), ["page_id", "c_lo"]).drop("c_lo")
+
+
+def h8_container_then_content(spark, sf):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    m = H.container_then_content(_page_ctx(spark, sf), els,
+                                 "find|class|missing~find|elem|h1<>find|elem|article~find|elem|h1", ["page_id"])
+    t = H.element_text(m, tx, ["page_id"])
+    return m.select("page_id", "c_lo", F.col("alt").cast("long").alias("alt")).join(
+        t.select("page_id", "c_lo", "text"), ["page_id", "c_lo"]).drop("c_lo")
+
+
+REMOVE_SPEC = "find_all|elem|nav~find_all|elem|script~find_all|elem|style~find_all|elem|footer~find_all|class|ad"
+
+
+def h9_remove_elements(spark, sf):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    kept = H.remove_elements(tx, els, REMOVE_SPEC)
+    body = H.select(_page_ctx(spark, sf), els, "find|elem|body", ["page_id"])
+    t = H.element_text(body, kept, ["page_id"])
+    return t.select("page_id", "text")
+
+
+def h10_element_text(spark, sf):
+    _, t = _first_text(spark, sf, "find|elem|title")
+    return t.select("page_id", "text")
+
+
+def h11_html_to_text(spark, sf):
+    from quarry.operators.selectors import html_to_text
+    return S.table(spark, sf, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
+
+
+def h12_attribute(spark, sf):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements
+    els = elements(_nodes(spark, sf))
+    m = H.select(_page_ctx(spark, sf), els, "find_all|elem|a", ["page_id"])
+    a = H.attribute(m, els, "href", ["page_id"])
+    return m.select("page_id", "c_lo", "c_rank").join(a.select("page_id", "c_lo", "href"), ["page_id", "c_lo"]) \
+            .select("page_id", F.col("c_rank").cast("long").alias("n"), "href")
+
+
+def h16_title_format(spark, sf):
+    from quarry.operators.selectors import title_format
+    _, t = _first_text(spark, sf, "find|elem|title", strip=False)
+    return t.select("page_id", title_format(F.col("text"), "%%%").alias("title"))
+
+
+def h17_zip_fields(spark, sf):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    ctx = _page_ctx(spark, sf)
+    lis = H.select(ctx, els, "find|elem|nav~find_all|elem|li", ["page_id"])
+    li_t = H.element_text(lis, tx, ["page_id"]).join(lis.select("page_id", "c_lo", "c_rank"), ["page_id", "c_lo"])
+    links = _nav_links(spark, sf)
+
+    def arr(df, col, name):
+        return df.groupBy("page_id").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("c_rank", col))), lambda x: x[col]).alias(name))
+
+    j = arr(li_t, "text", "dates").join(arr(links, "text", "titles"), "page_id").join(arr(links, "href", "links"), "page_id")
+    j = j.where(R.equal_counts(F.col("titles"), F.col("dates"), F.col("links")))
+    return H.zip_fields(j, "titles", "dates", "links").select("page_id", F.col("n").cast("long").alias("n"), "title", "date", "link")
+
+
+def f10_equal_counts(spark, sf):
+    from quarry.sources.pages import elements
+    els = elements(_nodes(spark, sf))
+    c = els.groupBy("page_id").agg(F.count_if(F.col("tag") == "li").alias("n_titles"),
+                                   F.count_if(F.col("tag") == "p").alias("n_dates"),
+                                   F.count_if(F.col("tag") == "a").alias("n_links"))
+    ok = (F.col("n_titles") == F.col("n_dates")) & (F.col("n_dates") == F.col("n_links"))
+    return c.select("page_id", "n_titles", "n_dates", "n_links", ok.cast("int").alias("ok"))
+
+
+def f14_has_link(spark, sf):
+    """First nav item; it has no href of its own, so the first link inside it."""
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements
+    els = elements(_nodes(spark, sf))
+    item = H.select(_page_ctx(spark, sf), els, "find|elem|nav~find|elem|li", ["page_id"])
+    own = H.attribute(item, els, "href", ["page_id"]).select("page_id", F.col("href").alias("own"))
+    inner = H.select(item.select("page_id", "c_lo", "c_hi", "c_nc"), els, "find|elem|a", ["page_id"])
+    inner = H.attribute(inner, els, "href", ["page_id"]).select("page_id", F.col("href").alias("inner"))
+    pg = S.table(spark, sf, "pages").select("page_id")
+    j = pg.join(own, "page_id", "left").join(inner, "page_id", "left")
+    link = F.coalesce("own", "inner")
+    return j.select("page_id", link.alias("link"),
+                    F.when(link.isNull(), F.lit("link_is_none")).otherwise(F.lit("ok")).alias("reason"))
+
+
+def _esc(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def card_pages(spark, sf):
+    """One list page per event, in the card layout of the comment site (a view
+    Spark builds from events): ID before Posted on every fifth card, no link
+    on every seventh."""
+    e = S.table(spark, sf, "events")
+    cid = F.concat(F.lit("AG-"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_id").cast("string"))
+    posted = F.concat(F.lit("<li><strong>Posted</strong> "), F.date_format("ts", "MMM d, yyyy"), F.lit("</li>"))
+    ident = F.concat(F.lit("<li><strong>ID</strong> "), cid, F.lit("</li>"))
+    items = F.when(F.col("event_id") % 5 == 0, F.concat(ident, posted)).otherwise(F.concat(posted, ident))
+    title = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("<span>"), _esc(F.col("event_type")), F.lit("</span>"))) \
+             .otherwise(F.concat(F.lit('<a href="/comment/'), cid, F.lit('">'), _esc(F.col("event_type")), F.lit("</a>")))
+    html = F.concat(F.lit('<html><body><div class="results-container"><div class="card card-type-comment ember-view">'),
+                    title, F.lit('<div class="card-metadata"><ul>'), items, F.lit("</ul></div></div></div></body></html>"))
+    return e.select(F.col("event_id").alias("page_id"), F.concat(F.lit("https://comments.example.gov/list/"),
+                    F.col("event_id").cast("string")).alias("url"), html.alias("html"))
+
+
+def _cards_from_pages(spark, sf):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, page_nodes, texts
+    pg = card_pages(spark, sf)
+    nodes = page_nodes(pg)
+    els, tx = elements(nodes), texts(nodes)
+    ctx = H.page_context(pg.select("page_id"))
+    cards = H.select(ctx, els, "find|class|results-container~find_all|class|card card-type-comment ember-view", ["page_id"])
+    return cards, els, tx
+
+
+def h13_labelled_items(spark, sf):
+    from quarry.operators import selectors as H
+    cards, els, tx = _cards_from_pages(spark, sf)
+    meta = H.apply_step(cards.select("page_id", "c_lo", "c_hi", "c_nc"), els,
+                        H.parse_spec("find|class|card-metadata")[0][0], ["page_id"])
+    lab = H.labelled_items(meta, els, tx, ["page_id"])
+    return lab.select(F.col("page_id").alias("event_id"), F.col("id"), F.col("posted"))
+
+
+def h14_card_rows(spark, sf):
+    from quarry.operators import selectors as H
+    cards, els, tx = _cards_from_pages(spark, sf)
+    link = H.select(cards.select("page_id", "c_lo", "c_hi", "c_nc"), els, "find|elem|a", ["page_id"])
+    lt = H.element_text(link, tx, ["page_id"]).select("page_id", F.col("text").alias("title"))
+    out = cards.select("page_id").join(lt, "page_id", "left")
+    return out.select(F.col("page_id").alias("event_id"), "title",
+                      F.when(F.col("title").isNull(), F.lit("link_is_none")).otherwise(F.lit("ok")).alias("reason"))
+
+
+def comment_page_html(spark, sf):
+    cp = comment_pages(spark, sf)
+    links = F.when(F.col("download").isNull(), F.lit("")) \
+             .when(F.col("pdf_id") % 3 == 0, F.concat(F.lit('<a class="btn btn-default btn-block" href="'), F.col("download"), F.lit('">Download</a>'))) \
+             .otherwise(F.concat(F.lit('<a href="/files/a.pdf">a</a><a href="'), F.col("download"), F.lit('">b</a><a href="/files/c.txt">c</a>')))
+    title = F.when(F.col("pdf_title").isNull(), F.lit("")) \
+             .otherwise(F.concat(F.lit('<h5 class="h5 mt-0 mb-1">'), _esc(F.col("pdf_title")), F.lit("</h5>")))
+    html = F.concat(F.lit("<html><body><div>"), title, links, F.lit("</div></body></html>"))
+    return cp.select(F.col("pdf_id").alias("page_id"), "url", html.alias("html"))
+
+
+def h15_download_link(spark, sf):
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, page_nodes
+    pg = comment_page_html(spark, sf)
+    els = elements(page_nodes(pg))
+    d = H.download_link(H.page_context(pg.select("page_id")), els, ["page_id"])
+    return d.select(F.col("page_id").alias("pdf_id"), "download")
+
+
+# ------------------------------------------------------------------ model tables
+def m1_build_requests(spark, sf):
+    from quarry.operators.model_io import build_requests, prompt_dateline
+    d = _docs(spark, sf).select("doc_id", ascii_fold(F.col("text")).alias("clean"))
+    r = build_requests(d, ["doc_id"], "clean", prompt_dateline(AS_OF))
+    msgs = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n---\n")
+    return r.select("doc_id", "model", msgs.alias("messages"))
+
+
+def m2_prompt_dateline(spark, sf):
+    o = S.table(spark, sf, "orders")
+    line = F.concat(F.lit("WASHINGTON, "), D.format_prompt_date(F.to_date("o_orderdate")), F.lit(" --"))
+    return o.select("o_orderkey", line.alias("dateline"))
+
+
+def m3_consume_replies(spark, sf):
+    from quarry.operators.model_io import consume_replies
+    req = _requests(spark, sf).withColumn(
+        "link", F.concat(F.lit(P.COMMENT_HOST + "/comment/CV"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")))
+    out = consume_replies(req, _replies_for_requests(spark, sf), ["conv_id", "turn"], "pdf_text", "link",
+                          signers=FIXTURE.signers)
+    return out.select("conv_id", "turn", "headline", "body", "box", "signer_comment", "reply_reason")
