@@ -83,4 +83,6 @@ def all_sql() -> dict[str, str]:
     q.update(oracle_batch2.sql())
     import oracle_batch3
     q.update(oracle_batch3.sql())
+    import oracle_batch4
+    q.update(oracle_batch4.sql())
     return q

@@ -859,3 +859,67 @@ def m3_consume_replies(spark, sf):
     out = consume_replies(req, _replies_for_requests(spark, sf), ["conv_id", "turn"], "pdf_text", "link",
                           signers=FIXTURE.signers)
     return out.select("conv_id", "turn", "headline", "body", "box", "signer_comment", "reply_reason")
+
+
+# ------------------------------------------------------------------ pipelines X3-X6, S10
+import dataclasses as _dc  # noqa: E402
+
+FIXTURE_WALK = _dc.replace(FIXTURE, doc_limit=5000)
+
+
+def x3_comment_cards(spark, sf):
+    from quarry.plans.comments import comment_cards
+    return comment_cards(S.cards(spark, sf), FIXTURE_WALK)
+
+
+def story_target(spark, sf):
+    """Story filenames already stored: the comment pages with pdf_id % 4 = 0."""
+    c = S.cards(spark, sf)
+    cp = comment_pages(spark, sf).where(F.col("pdf_id") % 4 == 0)
+    return c.join(cp, c.link == cp.url).select(T.comment_filename(F.col("id"), F.col("pdf_title")).alias("filename"))
+
+
+def x4_comment_text(spark, sf):
+    from quarry.plans.comments import comment_text
+    cards = x3_comment_cards(spark, sf)
+    return comment_text(cards, comment_pages(spark, sf), S.pdf_pages(spark, sf), story_target(spark, sf))
+
+
+def _story_inputs(spark, sf):
+    req = _requests(spark, sf)
+    sid = F.concat(F.lit("CV"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    req = req.select("conv_id", "turn", "pdf_text", sid.alias("id"),
+                     S.first_line(F.col("pdf_text")).alias("title"),
+                     F.concat(F.lit(P.COMMENT_HOST + "/comment/"), sid).alias("link"),
+                     (F.col("conv_id") * 100 + F.col("turn")).alias("req_order"))
+    return req, _replies_for_requests(spark, sf)
+
+
+def x5_story(spark, sf):
+    from quarry.plans.story import story
+    req, rep = _story_inputs(spark, sf)
+    s = story(req, rep, ["conv_id", "turn"], None, FIXTURE, "req_order")
+    return s.select("conv_id", "turn", "reason", "filename", "headline", "story_txt", "status", "comments", "orig_txt")
+
+
+def s10_append_story(spark, sf):
+    import uuid
+    from quarry.plans.story import story
+    from quarry.session import scratch_dir
+    from quarry.sources.sinks import append_story, read_target
+    req, rep = _story_inputs(spark, sf)
+    s = story(req, rep, ["conv_id", "turn"], None, FIXTURE, "req_order").where(F.col("reason") == "added")
+    path = scratch_dir(spark, f"story-{uuid.uuid4().hex}")
+    append_story(s.drop("conv_id", "turn", "reason"), path)
+    t = read_target(spark, path)
+    return t.select("filename", "uname", "source", "headline", "story_txt", "status",
+                    F.col("content_date").cast("string").alias("content_date"), "comments")
+
+
+def x6_run_report(spark, sf):
+    from quarry.plans.report import run_report
+    x3 = x3_comment_cards(spark, sf).select("reason", "detail")
+    x4 = x4_comment_text(spark, sf).select("reason", "detail")
+    outcomes = x3.where(F.col("reason") != "accepted").unionByName(x4)
+    counts, _, _ = run_report(outcomes, "added")
+    return counts.select("reason", "label", F.col("n").cast("long").alias("n"))
