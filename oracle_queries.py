@@ -85,4 +85,6 @@ def all_sql() -> dict[str, str]:
     q.update(oracle_batch3.sql())
     import oracle_batch4
     q.update(oracle_batch4.sql())
+    import oracle_batch5
+    q.update(oracle_batch5.sql())
     return q

@@ -923,3 +923,61 @@ def x6_run_report(spark, sf):
     outcomes = x3.where(F.col("reason") != "accepted").unionByName(x4)
     counts, _, _ = run_report(outcomes, "added")
     return counts.select("reason", "label", F.col("n").cast("long").alias("n"))
+
+
+# ------------------------------------------------------------------ streaming W1-W4
+def stage_events(spark, sf, parts=((1, 10), (11, 20), (21, 31))):
+    """New files arriving: the events table written as three time-ordered
+    files into a fresh folder under the shared checkpoint dir."""
+    import uuid
+    from quarry.session import scratch_dir
+    base = scratch_dir(spark, f"events-stream-{uuid.uuid4().hex}")
+    e = S.table(spark, sf, "events")
+    for lo, hi in parts:
+        (e.where(F.dayofmonth("ts").between(lo, hi)).coalesce(1)
+          .write.mode("append").parquet(base + "/in"))
+    return base, e.schema
+
+
+def _stream_key():
+    return F.concat(F.lit("AG-"), F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string"))
+
+
+def w1_incremental_ingest(spark, sf):
+    from quarry.streaming.ingest import file_stream, incremental_ingest
+    base, schema = stage_events(spark, sf)
+    st = file_stream(spark, base + "/in", schema).withColumn("key", _stream_key())
+    incremental_ingest(st, base + "/target", base + "/ckpt", "key", ["ts", "event_id"])
+    # a rerun on the same folder adds nothing
+    st2 = file_stream(spark, base + "/in", schema).withColumn("key", _stream_key())
+    incremental_ingest(st2, base + "/target", base + "/ckpt2", "key", ["ts", "event_id"])
+    return spark.read.parquet(base + "/target").select("key", "event_id")
+
+
+def w2_stream_dedupe(spark, sf):
+    from quarry.streaming.ingest import file_stream, stream_dedupe
+    base, schema = stage_events(spark, sf)
+    st = file_stream(spark, base + "/in", schema).withColumn("key", _stream_key()) \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    stream_dedupe(st, "key", "ts", "2 days", base + "/out", base + "/ckpt")
+    return spark.read.parquet(base + "/out").select("key")
+
+
+def w3_late_rows(spark, sf):
+    from quarry.streaming.ingest import file_stream, late_rows
+    base, schema = stage_events(spark, sf)
+    st = file_stream(spark, base + "/in", schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    late_rows(st, "ts", FIXTURE.as_of_str, FIXTURE.days_back, "10 days", base + "/out", base + "/ckpt")
+    return spark.read.parquet(base + "/out").select("event_id")
+
+
+def w4_daily_outcomes(spark, sf):
+    from quarry.streaming.ingest import daily_outcomes, file_stream
+    base, schema = stage_events(spark, sf)
+    st = file_stream(spark, base + "/in", schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    rej = T.first_contained(F.col("event_type"), FIXTURE.title_reject, case_sensitive=False)
+    st = st.withColumn("reason", F.when(rej.isNotNull(), F.lit("title_rejected")).otherwise(F.lit("added")))
+    daily_outcomes(st, "ts", "reason", base + "/out", base + "/ckpt")
+    r = spark.read.parquet(base + "/out")
+    return r.select(F.col("day").cast("string").alias("day"), F.col("reason").cast("string").alias("reason"),
+                    F.col("n").cast("long").alias("n"))
