@@ -87,4 +87,6 @@ def all_sql() -> dict[str, str]:
     q.update(oracle_batch4.sql())
     import oracle_batch5
     q.update(oracle_batch5.sql())
+    import oracle_batch6
+    q.update(oracle_batch6.sql())
     return q

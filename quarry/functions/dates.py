@@ -56,18 +56,25 @@ def _month_no(m: Column) -> Column:
     return ((F.instr(F.lit(MONTH3), m) - 1) / 3 + 1).cast("int")
 
 
+def _form_template(gy, gm, gd, ref: str) -> str:
+    """Replacement that rewrites a match of a form to ``year|month|day``."""
+    day = f"{ref}{gd}" if gd else "1"
+    return f"{ref}{gy}|{ref}{gm}|{day}"
+
+
 def parse_date(c: Column) -> Column:
     """First of the fixed forms that matches; null when none does.
-    Expects lower-case text (D1 runs first)."""
+    Expects lower-case text (D1 runs first).  Per form: one extract of the
+    match, one rewrite of it to ``y|m|d``."""
     cands = []
     for rx, gy, gm, gd, named in DATE_FORMS:
-        hit = F.regexp_extract(c, rx, 0) != ""
-        m = F.regexp_extract(c, rx, gm)
+        hit = F.regexp_extract(c, rx, 0)
+        parts = F.split(F.regexp_replace(hit, rx, _form_template(gy, gm, gd, "$")), "\\|")
+        m = F.get(parts, 1)
         if named:
             m = _month_no(m).cast("string")
-        d = F.regexp_extract(c, rx, gd) if gd else F.lit("1")
-        s = F.concat_ws("-", F.regexp_extract(c, rx, gy), F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-        cands.append(F.when(hit, F.try_to_date(s, "yyyy-MM-dd")))
+        s = F.concat_ws("-", F.get(parts, 0), F.lpad(m, 2, "0"), F.lpad(F.get(parts, 2), 2, "0"))
+        cands.append(F.when(hit != "", F.try_to_date(s, "yyyy-MM-dd")))
     return F.coalesce(*cands)
 
 

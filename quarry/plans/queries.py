@@ -25,7 +25,10 @@ FIXTURE = P.RunParams(
     abstract_phrases=("research", "view", "signup"),
     days_back=7, months_back=1,
 )
-AS_OF = F.lit(FIXTURE.as_of_str).cast("date")
+
+
+def _as_of():
+    return F.lit(FIXTURE.as_of_str).cast("date")
 
 
 def _docs(spark, sf):
@@ -77,7 +80,7 @@ def p9_post_headline(spark, sf):
 
 def p10_article_body(spark, sf):
     a = S.articles(spark, sf)
-    body = T.article_body(AS_OF, T.post_headline(F.col("journal_name"), F.col("head")),
+    body = T.article_body(_as_of(), T.post_headline(F.col("journal_name"), F.col("head")),
                           F.array_join("abstract_texts", " "), F.col("url"))
     return a.select("id", body.alias("body"))
 
@@ -93,7 +96,7 @@ def p11_story_body(spark, sf):
 def p12_orig_text(spark, sf):
     from quarry.operators.model_io import prompt_dateline
     d = _docs(spark, sf)
-    return d.select("doc_id", T.orig_text(F.col("text"), prompt_dateline(AS_OF)).alias("orig_txt"))
+    return d.select("doc_id", T.orig_text(F.col("text"), prompt_dateline(_as_of())).alias("orig_txt"))
 
 
 def p13_ap_dateline(spark, sf):
@@ -177,13 +180,13 @@ def d3_comma_pp_title(spark, sf):
 
 
 def d4_formatting_steps(spark, sf):
-    t = D.clean_date_text(F.col("date_text"))
-    return date_texts(spark, sf).select("o_orderkey", D.format_iso(D.formatting_steps(t, "volume 3~issue 2")).alias("date"))
+    t = date_texts(spark, sf).select("o_orderkey", D.clean_date_text(F.col("date_text")).alias("t"))
+    return t.select("o_orderkey", D.format_iso(D.formatting_steps(F.col("t"), "volume 3~issue 2")).alias("date"))
 
 
 def d5_parse_date(spark, sf):
-    t = D.clean_date_text(F.col("date_text"))
-    return date_texts(spark, sf).select("o_orderkey", D.format_iso(D.parse_date(t)).alias("date"))
+    t = date_texts(spark, sf).select("o_orderkey", D.clean_date_text(F.col("date_text")).alias("t"))
+    return t.select("o_orderkey", D.format_iso(D.parse_date(F.col("t"))).alias("date"))
 
 
 def d6_parse_posted(spark, sf):
@@ -242,7 +245,7 @@ def f9_all_fields_present(spark, sf):
 
 def f11_in_day_window(spark, sf):
     e = S.table(spark, sf, "events")
-    return e.select("event_id", D.in_day_window(F.to_date("ts"), AS_OF, FIXTURE.days_back).cast("int").alias("ok"))
+    return e.select("event_id", D.in_day_window(F.to_date("ts"), _as_of(), FIXTURE.days_back).cast("int").alias("ok"))
 
 
 def f12_in_month_window(spark, sf):
@@ -501,7 +504,7 @@ def o3_stop_at_first_old(spark, sf):
     from quarry.operators.ordered import stop_at_first
     c = _card_rules(spark, sf)
     reached = F.col("link").isNotNull() & F.col("phrase").isNull()
-    out = ~D.in_day_window(F.col("posted_date"), AS_OF, FIXTURE.days_back)
+    out = ~D.in_day_window(F.col("posted_date"), _as_of(), FIXTURE.days_back)
     s = stop_at_first(c, "k", reached & out)
     return s.where("before_stop").select("event_id")
 
@@ -527,12 +530,12 @@ def o7_paginate(spark, sf):
     then the doc limit, the stop at the first old card and the page cap."""
     from quarry.operators.ordered import stop_at_first
     c = _card_rules(spark, sf)
-    c = c.withColumn("page_no", (F.datediff(AS_OF, F.to_date("ts")) + 1).cast("int"))
+    c = c.withColumn("page_no", (F.datediff(_as_of(), F.to_date("ts")) + 1).cast("int"))
     c = c.withColumn("pk", F.struct(F.col("page_no"), F.col("k")))
     lim = c.orderBy("pk").limit(3000)
     lim = lim.where(F.col("page_no") <= P.PAGE_CAP)
     reached = F.col("link").isNotNull() & F.col("phrase").isNull()
-    out = ~D.in_day_window(F.col("posted_date"), AS_OF, FIXTURE.days_back)
+    out = ~D.in_day_window(F.col("posted_date"), _as_of(), FIXTURE.days_back)
     s = stop_at_first(lim, "pk", reached & out)
     return s.where("before_stop").select("event_id", F.col("page_no").cast("long").alias("page_no"))
 
@@ -841,7 +844,7 @@ def h15_download_link(spark, sf):
 def m1_build_requests(spark, sf):
     from quarry.operators.model_io import build_requests, prompt_dateline
     d = _docs(spark, sf).select("doc_id", ascii_fold(F.col("text")).alias("clean"))
-    r = build_requests(d, ["doc_id"], "clean", prompt_dateline(AS_OF))
+    r = build_requests(d, ["doc_id"], "clean", prompt_dateline(_as_of()))
     msgs = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n---\n")
     return r.select("doc_id", "model", msgs.alias("messages"))
 
@@ -981,3 +984,46 @@ def w4_daily_outcomes(spark, sf):
     r = spark.read.parquet(base + "/out")
     return r.select(F.col("day").cast("string").alias("day"), F.col("reason").cast("string").alias("reason"),
                     F.col("n").cast("long").alias("n"))
+
+
+# ------------------------------------------------------------------ X1
+ISSUE_LINE = (",,,find|class|issues~find_all|class|issue,True,find|elem|a,find|elem|a,Issue ,find|class|cover-date,,"
+              "find|elem|article,,find_all|elem|p,find|elem|b,find|elem|a,find|elem|p,5,,D")
+ISSUE_HOST = "https://journals.example.org"
+ISSUE_BUCKET = 4096
+FIXTURE_ISSUES = _dc.replace(FIXTURE, as_of=__import__("datetime").date(1998, 8, 2), months_back=1)
+
+
+def landing_pages(spark, sf):
+    """Issue list pages made from orders: one page per customer and order-key
+    range (at most ISSUE_BUCKET issues a page), issues in key order; every
+    eleventh issue has no link."""
+    o = date_texts(spark, sf).join(S.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    ok = F.col("o_orderkey").cast("string")
+    label = F.concat(F.lit("Issue "), ok, F.lit(", pp 1-"), (F.col("o_orderkey") % 90 + 10).cast("string"))
+    li = F.when(F.col("o_orderkey") % 11 == 0,
+                F.concat(F.lit('<li class="issue"><span>Issue '), ok, F.lit("</span>")))\
+          .otherwise(F.concat(F.lit('<li class="issue"><a href="/issue/'), ok, F.lit('">'), label, F.lit("</a>")))
+    li = F.concat(li, F.lit('<span class="cover-date">'), _esc(F.col("date_text")), F.lit("</span></li>"))
+    bucket = (F.col("o_orderkey") / ISSUE_BUCKET).cast("long")
+    g = o.select(F.col("o_custkey").alias("journal"), bucket.alias("page_order"), "o_orderkey", li.alias("li"))
+    pages = g.groupBy("journal", "page_order").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "li"))), lambda x: x["li"]), "").alias("body"))
+    return pages.select((F.col("journal") * 1000000 + F.col("page_order")).alias("page_id"), "journal", "page_order",
+                        F.concat(F.lit(ISSUE_HOST + "/loi/"), F.col("journal").cast("string"), F.lit("?page="),
+                                 F.col("page_order").cast("string")).alias("url"),
+                        F.concat(F.lit('<html><body><div class="issues"><ul>'), F.col("body"),
+                                 F.lit("</ul></div></body></html>")).alias("html"))
+
+
+def x1_journal_issues(spark, sf):
+    from quarry.operators.joins import template_match
+    from quarry.plans.journal_issues import journal_issues
+    from quarry.sources.specs import TEMPLATES
+    tpls = TEMPLATES + (("journals.example.org", ISSUE_LINE),)
+    pages = landing_pages(spark, sf)
+    t = spark.createDataFrame([(i, k, line) for i, (k, line) in enumerate(tpls)], "prio int, keyword string, template string")
+    m = template_match(pages.select(F.col("page_id").alias("row_id"), "url"), "url", t)
+    matched = m.where(F.col("keyword").isNotNull()).select(F.col("row_id").alias("page_id"), "keyword",
+                                                           F.lit(ISSUE_HOST).alias("prefix"))
+    return journal_issues(pages, matched, tpls, FIXTURE_ISSUES)

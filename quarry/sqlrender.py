@@ -51,16 +51,16 @@ def clean_date_text(expr: str) -> str:
 
 
 def parse_date(expr: str) -> str:
-    from quarry.functions.dates import DATE_FORMS, MONTH3
+    from quarry.functions.dates import DATE_FORMS, MONTH3, _form_template
     cands = []
     for rx, gy, gm, gd, named in DATE_FORMS:
-        hit = f"regexp_extract({expr}, {lit(rx)}, 0) <> ''"
-        m = f"regexp_extract({expr}, {lit(rx)}, {gm})"
+        hit = f"regexp_extract({expr}, {lit(rx)}, 0)"
+        parts = f"string_split(regexp_replace({hit}, {lit(rx)}, {lit(_form_template(gy, gm, gd, chr(92)))}), '|')"
+        m = f"{parts}[2]"
         if named:
             m = f"CAST((instr('{MONTH3}', {m}) - 1) // 3 + 1 AS VARCHAR)"
-        d = f"regexp_extract({expr}, {lit(rx)}, {gd})" if gd else "'1'"
-        s = f"concat_ws('-', regexp_extract({expr}, {lit(rx)}, {gy}), lpad({m}, 2, '0'), lpad({d}, 2, '0'))"
-        cands.append(f"CASE WHEN {hit} THEN CAST(try_strptime({s}, '%Y-%m-%d') AS DATE) END")
+        s = f"concat_ws('-', {parts}[1], lpad({m}, 2, '0'), lpad({parts}[3], 2, '0'))"
+        cands.append(f"CASE WHEN {hit} <> '' THEN CAST(try_strptime({s}, '%Y-%m-%d') AS DATE) END")
     return "coalesce(" + ", ".join(cands) + ")"
 
 
