@@ -117,9 +117,20 @@ def fold_col(c: Column, table: str = "T1") -> Column:
     out = c
     for k, v in seqs + multi:
         out = F.replace(out, F.lit(k), F.lit(v))
-    out = F.translate(out, src, dst)
-    out = F.regexp_replace(out, NON_ASCII, "")
-    return F.when(c.rlike(NON_ASCII), out).otherwise(c)
+    # the replace chain only where one of its characters occurs
+    rare = "".join(sorted({k[0] for k, _ in seqs + multi}))
+    out = F.when(c.rlike("[" + _class_escape(rare) + "]"), out).otherwise(c)
+    out = F.regexp_replace(F.translate(out, src, dst), NON_ASCII, "")
+    return F.when(has_non_ascii(c), out).otherwise(c)
+
+
+def has_non_ascii(c: Column) -> Column:
+    """Characters vs bytes: no regex pass over the text."""
+    return F.length(c) != F.octet_length(c)
+
+
+def _class_escape(chars: str) -> str:
+    return "".join("\\" + ch if ch in "\\^-[]" else ch for ch in chars)
 
 
 def ascii_fold(c: Column) -> Column:

@@ -10,6 +10,7 @@ the agency lookup and the one keyed aggregation of J5.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,9 @@ def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | No
         body.alias("story_txt"),
         T.article_filename(F.col("agency_filename"), F.col("date"), head).alias("filename"))
 
+    # the row-local stage feeds the key aggregation and the final join: keep
+    # it once (lineage kept, so a lost executor recomputes its part)
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
     pre = first_failing(
         (~(F.col("desc0").isNotNull() & (F.length("desc0") > 0)), "description_is_none"),
         (F.col("kw").isNotNull(), "keyword"),

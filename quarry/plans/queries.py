@@ -597,8 +597,8 @@ def e3_write_outcome(spark, sf):
 
 # ------------------------------------------------------------------ selectors
 def _nodes(spark, sf):
-    from quarry.sources.pages import page_nodes
-    return page_nodes(S.issue_html(spark, sf))
+    from quarry.sources.pages import parsed_nodes
+    return parsed_nodes(S.issue_html(spark, sf))
 
 
 def _page_ctx(spark, sf):
@@ -792,9 +792,9 @@ def card_pages(spark, sf):
 
 def _cards_from_pages(spark, sf):
     from quarry.operators import selectors as H
-    from quarry.sources.pages import elements, page_nodes, texts
+    from quarry.sources.pages import elements, parsed_nodes, texts
     pg = card_pages(spark, sf)
-    nodes = page_nodes(pg)
+    nodes = parsed_nodes(pg)
     els, tx = elements(nodes), texts(nodes)
     ctx = H.page_context(pg.select("page_id"))
     cards = H.select(ctx, els, "find|class|results-container~find_all|class|card card-type-comment ember-view", ["page_id"])
@@ -833,9 +833,9 @@ def comment_page_html(spark, sf):
 
 def h15_download_link(spark, sf):
     from quarry.operators import selectors as H
-    from quarry.sources.pages import elements, page_nodes
+    from quarry.sources.pages import elements, parsed_nodes
     pg = comment_page_html(spark, sf)
-    els = elements(page_nodes(pg))
+    els = elements(parsed_nodes(pg))
     d = H.download_link(H.page_context(pg.select("page_id")), els, ["page_id"])
     return d.select(F.col("page_id").alias("pdf_id"), "download")
 

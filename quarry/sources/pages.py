@@ -110,9 +110,15 @@ def _parse_batches(batches):
 
 
 def page_nodes(pages: DataFrame) -> DataFrame:
-    """H1: parse every page once.  Input partitioning is kept (one task per
-    input split); downstream joins shuffle on ``page_id``."""
-    return pages.select("page_id", "html").mapInPandas(_parse_batches, NODE_SCHEMA)
+    """H1: parse every page once.  One task per input split; when the input
+    has fewer splits than the cluster has cores (a few large files), pages
+    are first spread by ``page_id`` so the Python parse runs on every core."""
+    p = pages.select("page_id", "html")
+    spark = pages.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if p.rdd.getNumPartitions() < cores:
+        p = p.repartition(cores * 2, "page_id")
+    return p.mapInPandas(_parse_batches, NODE_SCHEMA)
 
 
 def elements(nodes: DataFrame) -> DataFrame:
@@ -121,3 +127,15 @@ def elements(nodes: DataFrame) -> DataFrame:
 
 def texts(nodes: DataFrame) -> DataFrame:
     return nodes.where((F.col("tag") == "#text") & ~F.col("raw")).select("page_id", "lo", "parent", "text")
+
+
+def parsed_nodes(pages: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """H1 once per job: the node table is written to the shared checkpoint
+    folder (reliable checkpoint), so every selector join reads it instead of
+    parsing again, and a lost executor does not re-run the parse."""
+    nodes = page_nodes(pages)
+    if not checkpoint:
+        return nodes
+    from quarry.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(pages.sparkSession)
+    return nodes.checkpoint(eager=True)
