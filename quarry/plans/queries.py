@@ -601,9 +601,9 @@ def _nodes(spark, sf):
     return parsed_nodes(S.issue_html(spark, sf))
 
 
-def _page_ctx(spark, sf):
-    from quarry.operators.selectors import page_context
-    return page_context(S.table(spark, sf, "pages").select("page_id"))
+def _page_ctx(nodes):
+    from quarry.sources.pages import document_context
+    return document_context(nodes)
 
 
 def h1_page_elements(spark, sf):
@@ -616,7 +616,7 @@ def _nav_links(spark, sf, spec="find|elem|nav~find_all|elem|a"):
     from quarry.sources.pages import elements, texts
     nodes = _nodes(spark, sf)
     els, tx = elements(nodes), texts(nodes)
-    m = H.select(_page_ctx(spark, sf), els, spec, ["page_id"])
+    m = H.select(_page_ctx(nodes), els, spec, ["page_id"])
     href = H.attribute(m, els, "href", ["page_id"]).select("page_id", "c_lo", "href")
     txt = H.element_text(m, tx, ["page_id"]).select("page_id", "c_lo", "text")
     return m.select("page_id", "c_lo", "c_rank").join(href, ["page_id", "c_lo"]).join(txt, ["page_id", "c_lo"])
@@ -632,7 +632,7 @@ def _first_text(spark, sf, spec, strip=True):
     from quarry.sources.pages import elements, texts
     nodes = _nodes(spark, sf)
     els, tx = elements(nodes), texts(nodes)
-    m = H.select(_page_ctx(spark, sf), els, spec, ["page_id"])
+    m = H.select(_page_ctx(nodes), els, spec, ["page_id"])
     return m, H.element_text(m, tx, ["page_id"], strip=strip)
 
 
@@ -646,7 +646,7 @@ def _li_texts(spark, sf, spec, op="slice"):
     from quarry.sources.pages import elements, texts
     nodes = _nodes(spark, sf)
     els, tx = elements(nodes), texts(nodes)
-    m = H.select(_page_ctx(spark, sf), els, spec, ["page_id"], op=op)
+    m = H.select(_page_ctx(nodes), els, spec, ["page_id"], op=op)
     t = H.element_text(m, tx, ["page_id"])
     return m.select("page_id", "c_lo", "c_rank").join(t.select("page_id", "c_lo", "text"), ["page_id", "c_lo"])
 
@@ -677,7 +677,7 @@ def h8_container_then_content(spark, sf):
     from quarry.sources.pages import elements, texts
     nodes = _nodes(spark, sf)
     els, tx = elements(nodes), texts(nodes)
-    m = H.container_then_content(_page_ctx(spark, sf), els,
+    m = H.container_then_content(_page_ctx(nodes), els,
                                  "find|class|missing~find|elem|h1<>find|elem|article~find|elem|h1", ["page_id"])
     t = H.element_text(m, tx, ["page_id"])
     return m.select("page_id", "c_lo", F.col("alt").cast("long").alias("alt")).join(
@@ -693,7 +693,7 @@ def h9_remove_elements(spark, sf):
     nodes = _nodes(spark, sf)
     els, tx = elements(nodes), texts(nodes)
     kept = H.remove_elements(tx, els, REMOVE_SPEC)
-    body = H.select(_page_ctx(spark, sf), els, "find|elem|body", ["page_id"])
+    body = H.select(_page_ctx(nodes), els, "find|elem|body", ["page_id"])
     t = H.element_text(body, kept, ["page_id"])
     return t.select("page_id", "text")
 
@@ -711,8 +711,9 @@ def h11_html_to_text(spark, sf):
 def h12_attribute(spark, sf):
     from quarry.operators import selectors as H
     from quarry.sources.pages import elements
-    els = elements(_nodes(spark, sf))
-    m = H.select(_page_ctx(spark, sf), els, "find_all|elem|a", ["page_id"])
+    nodes = _nodes(spark, sf)
+    els = elements(nodes)
+    m = H.select(_page_ctx(nodes), els, "find_all|elem|a", ["page_id"])
     a = H.attribute(m, els, "href", ["page_id"])
     return m.select("page_id", "c_lo", "c_rank").join(a.select("page_id", "c_lo", "href"), ["page_id", "c_lo"]) \
             .select("page_id", F.col("c_rank").cast("long").alias("n"), "href")
@@ -729,7 +730,7 @@ def h17_zip_fields(spark, sf):
     from quarry.sources.pages import elements, texts
     nodes = _nodes(spark, sf)
     els, tx = elements(nodes), texts(nodes)
-    ctx = _page_ctx(spark, sf)
+    ctx = _page_ctx(nodes)
     lis = H.select(ctx, els, "find|elem|nav~find_all|elem|li", ["page_id"])
     li_t = H.element_text(lis, tx, ["page_id"]).join(lis.select("page_id", "c_lo", "c_rank"), ["page_id", "c_lo"])
     links = _nav_links(spark, sf)
@@ -757,8 +758,9 @@ def f14_has_link(spark, sf):
     """First nav item; it has no href of its own, so the first link inside it."""
     from quarry.operators import selectors as H
     from quarry.sources.pages import elements
-    els = elements(_nodes(spark, sf))
-    item = H.select(_page_ctx(spark, sf), els, "find|elem|nav~find|elem|li", ["page_id"])
+    nodes = _nodes(spark, sf)
+    els = elements(nodes)
+    item = H.select(_page_ctx(nodes), els, "find|elem|nav~find|elem|li", ["page_id"])
     own = H.attribute(item, els, "href", ["page_id"]).select("page_id", F.col("href").alias("own"))
     inner = H.select(item.select("page_id", "c_lo", "c_hi", "c_nc"), els, "find|elem|a", ["page_id"])
     inner = H.attribute(inner, els, "href", ["page_id"]).select("page_id", F.col("href").alias("inner"))
@@ -796,7 +798,7 @@ def _cards_from_pages(spark, sf):
     pg = card_pages(spark, sf)
     nodes = parsed_nodes(pg)
     els, tx = elements(nodes), texts(nodes)
-    ctx = H.page_context(pg.select("page_id"))
+    ctx = _page_ctx(nodes)
     cards = H.select(ctx, els, "find|class|results-container~find_all|class|card card-type-comment ember-view", ["page_id"])
     return cards, els, tx
 
@@ -835,8 +837,9 @@ def h15_download_link(spark, sf):
     from quarry.operators import selectors as H
     from quarry.sources.pages import elements, parsed_nodes
     pg = comment_page_html(spark, sf)
-    els = elements(parsed_nodes(pg))
-    d = H.download_link(H.page_context(pg.select("page_id")), els, ["page_id"])
+    nodes = parsed_nodes(pg)
+    els = elements(nodes)
+    d = H.download_link(_page_ctx(nodes), els, ["page_id"])
     return d.select(F.col("page_id").alias("pdf_id"), "download")
 
 

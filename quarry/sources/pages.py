@@ -4,7 +4,8 @@
 elements and text nodes share a counter ``lo`` in document order; an
 element's ``hi`` is the last ``lo`` inside it, so "b inside a" is
 ``a.lo < b.lo <= a.hi`` on the same page.  Text nodes have ``tag = '#text'``
-and ``raw`` marks script/style content (not part of an element's text).
+and ``raw`` marks script/style content (not part of an element's text); one
+``#document`` row per page (``lo = -1``) is the page itself.
 
 Tree rules follow the standard-library parser the reference uses: an end
 tag closes the nearest open element of that name and all opened after it;
@@ -12,8 +13,8 @@ an end tag with nothing to close is ignored; void elements close at once;
 whatever is open at the end closes with the document.  Script and style
 bodies are raw text, so ``"</p>"`` inside a script is not a tag.
 
-This is the only Python stage of the pipeline (``mapInPandas``, Arrow
-batches); every selector afterwards is a join on this table.
+This is the only Python stage of the pipeline (``mapInArrow``: Arrow
+batches in and out); every selector afterwards is a join on this table.
 """
 
 from __future__ import annotations
@@ -99,14 +100,37 @@ def parse_html(html: str | None):
     return b.finish()
 
 
-def _parse_batches(batches):
-    cols = ["page_id", "lo", "hi", "parent", "depth", "tag", "cls", "attrs", "n_children", "text", "raw"]
-    for pdf in batches:
-        out = []
-        for pid, html in zip(pdf["page_id"].tolist(), pdf["html"].tolist()):
-            for r in parse_html(html):
-                out.append([pid, *r])
-        yield pd.DataFrame(out, columns=cols)
+NODE_ARROW = None
+
+
+def _arrow_schema():
+    import pyarrow as pa
+    return pa.schema([("page_id", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("parent", pa.int32()),
+                      ("depth", pa.int32()), ("tag", pa.string()), ("cls", pa.string()),
+                      ("attrs", pa.map_(pa.string(), pa.string())), ("n_children", pa.int32()),
+                      ("text", pa.string()), ("raw", pa.bool_())])
+
+
+def _parse_arrow(batches):
+    """Arrow batches in, Arrow batches out, built column-wise."""
+    import pyarrow as pa
+    schema = _arrow_schema()
+    for batch in batches:
+        cols = [[] for _ in range(11)]
+        pids = batch.column("page_id").to_pylist()
+        htmls = batch.column("html").to_pylist()
+        for pid, html in zip(pids, htmls):
+            rows = parse_html(html)
+            top = sum(1 for r in rows if r[2] == -1)
+            # one '#document' row per page: the context every selector starts from
+            for r in [[-1, len(rows) - 1, -2, -1, "#document", None, None, top, None, False]] + rows:
+                cols[0].append(pid)
+                for i in range(10):
+                    cols[i + 1].append(r[i])
+        # attrs: None for text nodes and attribute-less elements (smaller, faster)
+        cols[7] = [list(a.items()) if a else None for a in cols[7]]
+        arrays = [pa.array(c, type=f.type) for c, f in zip(cols, schema)]
+        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def page_nodes(pages: DataFrame) -> DataFrame:
@@ -118,7 +142,14 @@ def page_nodes(pages: DataFrame) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     if p.rdd.getNumPartitions() < cores:
         p = p.repartition(cores * 2, "page_id")
-    return p.mapInPandas(_parse_batches, NODE_SCHEMA)
+    return p.mapInArrow(_parse_arrow, NODE_SCHEMA)
+
+
+def document_context(nodes: DataFrame) -> DataFrame:
+    """The page as a selector context, taken from the node table so it keeps
+    the node table's partitioning by page_id (no shuffle before the joins)."""
+    return nodes.where(F.col("tag") == "#document").select(
+        "page_id", F.lit(-1).alias("c_lo"), F.lit(2 ** 31 - 1).alias("c_hi"), F.lit(1).alias("c_nc"))
 
 
 def elements(nodes: DataFrame) -> DataFrame:
@@ -130,12 +161,16 @@ def texts(nodes: DataFrame) -> DataFrame:
 
 
 def parsed_nodes(pages: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """H1 once per job: the node table is written to the shared checkpoint
-    folder (reliable checkpoint), so every selector join reads it instead of
-    parsing again, and a lost executor does not re-run the parse."""
+    """H1 once per job: the node table is hash-partitioned by ``page_id`` and
+    written to the shared checkpoint folder (reliable checkpoint).  The
+    checkpoint keeps that partitioning, so every selector join, window and
+    aggregate keyed on (page_id, ...) runs without another shuffle, nothing
+    parses twice, and a lost executor does not re-run the parse."""
     nodes = page_nodes(pages)
     if not checkpoint:
         return nodes
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nodes = nodes.repartition(n, "page_id")
     from quarry.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(pages.sparkSession)
     return nodes.checkpoint(eager=True)
