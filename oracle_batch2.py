@@ -59,7 +59,11 @@ def sql():
     fields = ", ".join(f"parts[{i + 4}] AS {f}" for i, f in enumerate(TEMPLATE_FIELDS))
     q["P2_template_fields"] = f"""WITH {templates_cte()},
 m AS (SELECT page_id, string_split({tmatch}, ',') AS parts FROM pages WHERE {tmatch} IS NOT NULL)
-SELECT page_id, {fields}, CASE WHEN len(parts) < {TEMPLATE_WIDTH} THEN 'csv_line' ELSE 'ok' END AS reason FROM m"""
+SELECT page_id, {fields},
+       CAST(coalesce(parts[{TEMPLATE_FIELDS.index('landing_page_gathering') + 4}] = 'True', FALSE) AS INTEGER) AS landing_flag,
+       CAST(coalesce(parts[{TEMPLATE_FIELDS.index('bypass') + 4}] <> '', FALSE) AS INTEGER) AS bypass_flag,
+       CAST(coalesce(contains(parts[{TEMPLATE_FIELDS.index('journal_containers') + 4}], 'find_all'), FALSE) AS INTEGER) AS multi_issue,
+       CASE WHEN len(parts) < {TEMPLATE_WIDTH} THEN 'csv_line' ELSE 'ok' END AS reason FROM m"""
     names = "[" + ", ".join(R.lit(f) for f in Q.SPEC_FIELDS) + "]"
     vals = "[" + ", ".join(f"parts[{TEMPLATE_FIELDS.index(f) + 4}]" for f in Q.SPEC_FIELDS) + "]"
 

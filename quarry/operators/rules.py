@@ -66,6 +66,21 @@ def by_id(df: DataFrame, col: str, value) -> DataFrame:
     return df.where(F.col(col).cast("string") == F.lit(str(value)))
 
 
+def parse_flag(c: Column) -> Column:
+    """The text 'True' is true, anything else false."""
+    return F.coalesce(c == F.lit("True"), F.lit(False))
+
+
+def nonblank_flag(c: Column) -> Column:
+    """A field that is tested for truth (BYPASS): non-empty is true."""
+    return F.coalesce(c != F.lit(""), F.lit(False))
+
+
+def multi_issue_flag(containers: Column) -> Column:
+    """The container spec finds several issues."""
+    return F.coalesce(F.contains(containers, F.lit("find_all")), F.lit(False))
+
+
 def nonempty(c: Column) -> Column:
     """F6."""
     return c.isNotNull() & (F.length(c) > 0)

@@ -34,7 +34,8 @@ def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | No
     x = issues.select(
         "id", "a_id", "head", "journal_name", "date", "url",
         F.array_join(F.col("abstract_texts"), " ").alias("desc0"))
-    x = x.withColumn("desc", T.strip_boilerplate(transliterate(F.col("desc0"))))
+    x = x.withColumn("desc_t", transliterate(F.col("desc0")))
+    x = x.withColumn("desc", T.strip_boilerplate(F.col("desc_t"))).drop("desc_t")
     x = x.withColumn("kw", T.first_contained(F.col("desc"), params.keyword_skips))
     x = x.withColumn("desc_len", F.length("desc"))
     post_head = T.post_headline(F.col("journal_name"), head)

@@ -322,6 +322,9 @@ def p2_template_fields(spark, sf):
     from quarry.sources.specs import TEMPLATE_FIELDS, TEMPLATE_WIDTH
     t = _page_template_fields(spark, sf)
     return t.select("page_id", *TEMPLATE_FIELDS,
+                    R.parse_flag(F.col("landing_page_gathering")).cast("int").alias("landing_flag"),
+                    R.nonblank_flag(F.col("bypass")).cast("int").alias("bypass_flag"),
+                    R.multi_issue_flag(F.col("journal_containers")).cast("int").alias("multi_issue"),
                     F.when(F.col("width") < TEMPLATE_WIDTH, F.lit("csv_line")).otherwise(F.lit("ok")).alias("reason"))
 
 

@@ -71,3 +71,13 @@ def test_spec_steps_table(spark):
     assert [r["alt"] for r in by[4]] == [0, 1]
     assert by[5][0]["reason"] == "csv_line" and by[6][0]["reason"] == "csv_line"
     assert all(r["reason"] is None for n in range(5) for r in by[n])
+
+
+def test_flags_and_by_id(spark):
+    from quarry.operators.rules import by_id, multi_issue_flag, nonblank_flag, parse_flag
+    df = spark.createDataFrame([(1, "True", "", "find|a|b~find_all|elem|li"), (2, "False", "x", "find|elem|a"),
+                                (3, None, None, None)], "id long, lp string, bp string, cont string")
+    r = df.select(parse_flag(F.col("lp")).alias("a"), nonblank_flag(F.col("bp")).alias("b"),
+                  multi_issue_flag(F.col("cont")).alias("c")).collect()
+    assert [(x["a"], x["b"], x["c"]) for x in r] == [(True, False, True), (False, True, False), (False, False, False)]
+    assert [x["id"] for x in by_id(df, "id", "2").collect()] == [2]
