@@ -30,20 +30,32 @@ def already_stored(df: DataFrame, target: DataFrame, key: str = "filename") -> D
 
 
 def insert_if_absent(df: DataFrame, target: DataFrame | None, key: str, order_col: str,
-                     eligible=None) -> DataFrame:
+                     eligible=None, partition_col: str | None = None) -> DataFrame:
     """Adds ``is_duplicate``: key already stored, or not the first row of
     its key in ``order_col`` order.  Rows that are not ``eligible`` (already
-    rejected) take no part and get null."""
+    rejected) take no part and get null.
+
+    ``partition_col``: the target's partition column when the key determines
+    it (a filename embeds its content date).  The stored keys are then
+    matched on (partition, key), so dynamic partition pruning reads only the
+    target partitions of the dates in the batch, not the whole target."""
     elig = F.lit(True) if eligible is None else eligible
+    cols = [key] + ([partition_col] if partition_col else [])
     batch = df.where(elig & F.col(key).isNotNull()).select(
-        F.col(key), F.col(order_col).alias("_o"), F.lit(False).alias("_stored"))
+        *cols, F.col(order_col).alias("_o"), F.lit(False).alias("_stored"))
     keys = batch
     if target is not None:
-        stored = target.select(F.col(key), F.lit(None).cast(batch.schema["_o"].dataType).alias("_o"),
+        stored = target.select(*cols, F.lit(None).cast(batch.schema["_o"].dataType).alias("_o"),
                                F.lit(True).alias("_stored"))
-        # only stored keys that meet the batch matter; the semi join lets the
-        # runtime bloom filter prune the target scan
-        stored = stored.join(batch.select(key), key, "left_semi")
+        if partition_col:
+            # the batch's distinct partition values (dates: bounded by the
+            # calendar span of the batch) broadcast into a semi join on the
+            # partition column: the target scan is pruned to those partitions
+            parts = batch.select(partition_col).distinct()
+            stored = stored.join(F.broadcast(parts), partition_col, "left_semi")
+        # only stored keys that meet the batch matter: a semi join (and the
+        # runtime bloom filter) before the aggregation
+        stored = stored.join(batch.select(*cols).distinct(), cols, "left_semi")
         keys = batch.unionByName(stored)
     stats = keys.groupBy(key).agg(F.min("_o").alias("_first"), F.max("_stored").alias("_in_target"))
     out = df.join(stats, key, "left")

@@ -64,7 +64,8 @@ def target_press_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = articles(spark, sf_dir).where(F.col("id") % 2 == 0)
     g = agencies(spark, sf_dir)
     return (a.join(g, "a_id", "inner")
-             .select(article_filename(F.col("filename"), F.col("date"), F.col("head")).alias("filename")))
+             .select(article_filename(F.col("filename"), F.col("date"), F.col("head")).alias("filename"),
+                     F.col("date").alias("content_date")))
 
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
