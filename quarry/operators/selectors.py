@@ -182,6 +182,51 @@ def element_text(ctx: DataFrame, txts: DataFrame, keys, strip: bool = True) -> D
     return g.select(*_kp(keys), "c_lo", (strip_py(txt) if strip else txt).alias("text"))
 
 
+def first_fields(ctx: DataFrame, els: DataFrame, txts: DataFrame, keys, fields: dict,
+                 attr: str = "href") -> DataFrame:
+    """Several single-step ``find`` fields of every context in one pass.
+
+    One join of the contexts with their descendant elements finds, per
+    field, the first match (document order; a match without children is
+    'not found', as in ``select``) plus every link inside the context; one
+    join with the text nodes then gives the context's whole text and each
+    field's text.  Output per key: ``<field>_found``, ``<field>_attr``
+    (``attr`` of the match, else of the first link inside it),
+    ``<field>_text`` and ``text``.  Groups are one context of one page."""
+    kp = _kp(keys)
+    preds = {name: match_pred(st.kind, st.name) for name, st in fields.items()}
+    any_pred = None
+    for p in list(preds.values()) + [F.col("tag") == "a"]:
+        any_pred = p if any_pred is None else (any_pred | p)
+    m = els.where(any_pred).select(
+        F.col("page_id").alias("_pid"), F.col("lo").alias("m_lo"), F.col("hi").alias("m_hi"),
+        F.col("n_children").alias("m_nc"), F.try_element_at(F.col("attrs"), F.lit(attr)).alias("m_attr"),
+        (F.col("tag") == "a").alias("m_is_a"), *[p.alias(f"_f_{n}") for n, p in preds.items()])
+    cond = (ctx["page_id"] == m["_pid"]) & (m["m_lo"] > ctx["c_lo"]) & (m["m_lo"] <= ctx["c_hi"])
+    j = ctx.select(*kp, "c_lo", "c_hi").join(m, cond, "inner")
+    aggs = [F.array_sort(F.collect_list(F.when(F.col("m_is_a"), F.struct("m_lo", "m_attr")))).alias("_links")]
+    for n in fields:
+        aggs.append(F.min_by(F.struct("m_lo", "m_hi", "m_nc", "m_attr"),
+                             F.when(F.col(f"_f_{n}"), F.col("m_lo"))).alias(f"_m_{n}"))
+    a = j.groupBy(*kp, "c_lo", "c_hi").agg(*aggs)
+    a = ctx.select(*kp, "c_lo", "c_hi").join(a, [*kp, "c_lo", "c_hi"], "left")
+    t = txts.select(F.col("page_id").alias("_pid"), F.col("lo").alias("t_lo"), "text")
+    tcond = (a["page_id"] == t["_pid"]) & (t["t_lo"] > a["c_lo"]) & (t["t_lo"] <= a["c_hi"])
+    keep = [f"_m_{n}" for n in fields] + ["_links"]
+    b = a.join(t, tcond, "left").groupBy(*kp, "c_lo", *keep).agg(
+        F.array_sort(F.collect_list(F.when(F.col("t_lo").isNotNull(), F.struct("t_lo", "text")))).alias("_parts"))
+    out = [*kp, strip_py(F.array_join(F.transform("_parts", lambda x: x["text"]), "")).alias("text")]
+    for n in fields:
+        mm = F.col(f"_m_{n}")
+        found = mm.isNotNull() & (mm["m_nc"] > 0)
+        inside = F.filter("_links", lambda x: (x["m_lo"] > mm["m_lo"]) & (x["m_lo"] <= mm["m_hi"]))
+        own = F.coalesce(mm["m_attr"], F.get(inside, 0)["m_attr"])
+        txt = F.array_join(F.transform(F.filter("_parts", lambda x: (x["t_lo"] > mm["m_lo"]) & (x["t_lo"] <= mm["m_hi"])),
+                                       lambda x: x["text"]), "")
+        out += [found.alias(f"{n}_found"), F.when(found, own).alias(f"{n}_attr"), F.when(found, txt).alias(f"{n}_text")]
+    return b.select(*out)
+
+
 def attribute(ctx: DataFrame, els: DataFrame, name: str, keys) -> DataFrame:
     """Attribute of the context element."""
     e = els.select(F.col("page_id").alias("_pid"), F.col("lo").alias("_lo"), "attrs")

@@ -50,6 +50,13 @@ def incremental_ingest(stream: DataFrame, target_path: str, checkpoint: str, key
             w = w.partitionBy(partition_col)
         w.parquet(target_path)
 
+    spark = stream.sparkSession
+    if _read_or_none(spark, target_path) is None:
+        # an empty target with the stream's schema: every batch can anti join
+        w = spark.createDataFrame([], stream.schema).write.mode("append")
+        if partition_col:
+            w = w.partitionBy(partition_col)
+        w.parquet(target_path)
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination()
