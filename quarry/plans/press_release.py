@@ -41,13 +41,14 @@ def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | No
     post_head = T.post_headline(F.col("journal_name"), head)
     body = T.normalise_whitespace(
         T.article_body(as_of, post_head, T.drop_headline(F.col("desc"), head), F.col("url")))
+    # all text work before the lookup's shuffle: it runs where the rows are read
+    x = x.select("id", "a_id", "head", "date", "kw", "desc_len", "desc0", "url",
+                 T.truncate(post_head, P.HEADLINE_MAX).alias("headline"), body.alias("story_txt"))
 
     x = lookup(x, agencies.select("a_id", F.col("filename").alias("agency_filename")),
                "a_id", ["agency_filename"])
     x = x.select(
-        "id", "a_id", "head", "date", "kw", "desc_len", "desc0", "url",
-        T.truncate(post_head, P.HEADLINE_MAX).alias("headline"),
-        body.alias("story_txt"),
+        "id", "a_id", "head", "date", "kw", "desc_len", "desc0", "url", "headline", "story_txt",
         T.article_filename(F.col("agency_filename"), F.col("date"), head).alias("filename"))
 
     # the row-local stage feeds the key aggregation and the final join: keep
