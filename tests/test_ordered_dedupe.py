@@ -1,6 +1,7 @@
 """O1-O5, J4-J5 against brute force, with one hot group holding a third of the rows."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -76,3 +77,24 @@ def test_insert_if_absent(spark):
     assert got == want
     kept = {r["id"] for r in not_already_stored(df, target, "filename").collect()}
     assert kept == {i for i, k in rows if k not in ("k1", "k2")}
+
+
+def test_stored_check_pruned_to_batch_dates(spark):
+    import tempfile
+
+    from conftest import SF_SMALL
+    from quarry.plans.press_release import press_release
+    from quarry.plans.queries import FIXTURE
+    from quarry.sources import tables as S
+
+    d = tempfile.mkdtemp(prefix="quarry-prune-")
+    S.target_press_release(spark, SF_SMALL).write.partitionBy("content_date").parquet(d + "/t")
+    arts = S.articles(spark, SF_SMALL).where(F.col("date") <= F.lit("2024-01-04").cast("date"))
+    pruned = press_release(arts, S.agencies(spark, SF_SMALL), spark.read.parquet(d + "/t"), FIXTURE)
+    plain = press_release(arts, S.agencies(spark, SF_SMALL),
+                          S.target_press_release(spark, SF_SMALL).select("filename"), FIXTURE)
+    key = ["id", "reason", "filename"]
+    assert sorted(tuple(r) for r in pruned.select(*key).collect()) == \
+        sorted(tuple(r) for r in plain.select(*key).collect())
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[content_date#\d+ IN \(", plan)
