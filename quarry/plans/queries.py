@@ -955,11 +955,12 @@ def _stream_key():
 def w1_incremental_ingest(spark, sf):
     from quarry.streaming.ingest import file_stream, incremental_ingest
     base, schema = stage_events(spark, sf)
-    st = file_stream(spark, base + "/in", schema).withColumn("key", _stream_key())
-    incremental_ingest(st, base + "/target", base + "/ckpt", "key", ["ts", "event_id"])
+    day = F.to_date("ts").cast("string")
+    st = file_stream(spark, base + "/in", schema).withColumn("key", _stream_key()).withColumn("day", day)
+    incremental_ingest(st, base + "/target", base + "/ckpt", "key", ["ts", "event_id"], partition_col="day")
     # a rerun on the same folder adds nothing
-    st2 = file_stream(spark, base + "/in", schema).withColumn("key", _stream_key())
-    incremental_ingest(st2, base + "/target", base + "/ckpt2", "key", ["ts", "event_id"])
+    st2 = file_stream(spark, base + "/in", schema).withColumn("key", _stream_key()).withColumn("day", day)
+    incremental_ingest(st2, base + "/target", base + "/ckpt2", "key", ["ts", "event_id"], partition_col="day")
     return spark.read.parquet(base + "/target").select("key", "event_id")
 
 

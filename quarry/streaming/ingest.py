@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
+MAX_PRUNE_VALUES = 10000
+
+
 def _read_or_none(spark: SparkSession, path: str):
     try:
         return spark.read.parquet(path)
@@ -34,7 +37,9 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
 
 def incremental_ingest(stream: DataFrame, target_path: str, checkpoint: str, key: str, order_cols,
                        partition_col: str | None = None):
-    """Append rows whose key is new; first row per key wins."""
+    """Append rows whose key is new; first row per key wins.  With a
+    ``partition_col`` that the key determines (a day), the target is
+    partitioned by it and each batch reads only its own partitions."""
     order = [F.col(c) for c in order_cols]
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -44,6 +49,12 @@ def incremental_ingest(stream: DataFrame, target_path: str, checkpoint: str, key
                   .where(F.col("_o") == F.col("_first")).drop("_o", "_first"))
         stored = _read_or_none(spark, target_path)
         if stored is not None:
+            if partition_col:
+                # only the partitions this batch can collide with (static
+                # pruning; the batch's distinct partition values are few)
+                vals = [r[0] for r in b.select(partition_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
+                if len(vals) <= MAX_PRUNE_VALUES:
+                    stored = stored.where(F.col(partition_col).isin(vals))
             b = b.join(stored.select(key), key, "left_anti")
         w = b.write.mode("append")
         if partition_col:
