@@ -94,7 +94,12 @@ def apply_step(ctx: DataFrame, els: DataFrame, st: Step, keys, op: str = "slice"
                            F.col("_m.m_nc").alias("c_nc"), F.lit(0).alias("c_rank"))
     else:
         w = Window.partitionBy(*part).orderBy("m_lo")
-        j = j.withColumn("_r", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*part)))
+        j = j.withColumn("_r", F.row_number().over(w) - 1)
+        if any(i is not None and i < 0 for i in st.ints) or (st.ints and op == "slice" and len(st.ints) > 2):
+            # negative positions (and strides, which may step back) need the count
+            j = j.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*part)))
+        else:
+            j = j.withColumn("_n", F.lit(MAX_POS))
         if st.ints:
             if op == "index":
                 j = j.where(index_keep(F.col("_r"), F.col("_n"), st.ints[0]))
@@ -129,6 +134,14 @@ def select(ctx: DataFrame, els: DataFrame, spec: str, keys, op: str = "slice") -
         single = not steps[-1].find_all
         r = r.withColumn("_found", (F.col("c_nc") > 0) if single else F.lit(True))
         parts.append(r)
+    return _first_found(parts, keys)
+
+
+def _first_found(parts, keys) -> DataFrame:
+    """Rows of the first alternative that found something, per key.  With one
+    alternative that is just its found rows (no aggregate, no join)."""
+    if len(parts) == 1:
+        return parts[0].where("_found").drop("_found")
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -146,11 +159,7 @@ def container_then_content(ctx: DataFrame, els: DataFrame, spec: str, keys) -> D
         r = chain(ctx, els, steps, keys).withColumn("alt", F.lit(i))
         single = not steps[-1].find_all
         parts.append(r.withColumn("_found", (F.col("c_nc") > 0) if single else F.lit(True)))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    best = u.where("_found").groupBy(*keys).agg(F.min("alt").alias("_best"))
-    return u.join(best, list(keys)).where(F.col("alt") == F.col("_best")).drop("_best", "_found")
+    return _first_found(parts, keys)
 
 
 def remove_elements(txts: DataFrame, els: DataFrame, specs: str) -> DataFrame:
