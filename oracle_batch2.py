@@ -84,7 +84,8 @@ FROM pp"""
 SELECT page_id AS id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS name,
        CASE WHEN page_id % 3 <> 0 THEN url || '|' || regexp_extract(url, '^(https?://[^/?#]+)', 1) ELSE url END AS url_field
 FROM pages"""
-    latin = R.lit("[^\\x00-\\x7F\\xA0-\\xFF\\x81\\x8D\\x8F\\x90\\x9D" + Q.CP1252_EXTRA + "]")
+    from quarry.functions.text import LATIN1_KEEP
+    latin = R.lit(LATIN1_KEEP)
     q["S4_read_agencies"] = f"""
 SELECT CAST(c_custkey AS VARCHAR) AS a_id, c_name AS filename, regexp_replace(c_mktsegment || ' DATE', {latin}, '?', 'g') AS lede, n_name AS uname
 FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name LIKE 'NATION_1%'"""

@@ -204,6 +204,16 @@ def ap_dateline(lede: Column, d: Column) -> Column:
     return F.replace(lede, F.lit("DATE"), md)
 
 
+# Windows-1252 characters MySQL's latin1 keeps besides U+0000-U+00FF.
+CP1252_EXTRA = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+LATIN1_KEEP = "[^\\x00-\\x7F\\xA0-\\xFF\\x81\\x8D\\x8F\\x90\\x9D" + CP1252_EXTRA + "]"
+
+
+def to_latin1(c: Column) -> Column:
+    """CONVERT(x USING latin1): unmappable characters become '?'."""
+    return F.regexp_replace(c, LATIN1_KEEP, "?")
+
+
 def bad_characters(text: Column) -> Column:
     """Characters outside the accepted set, joined."""
     return F.regexp_replace(text, "[a-zA-Z0-9\\t\\n\\x0B\\f\\r\\x1C-\\x1F `~!@#$%^&*()_+\\-={}|:;<>?,./\\\\\"'\\[\\]]", "")

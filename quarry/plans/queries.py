@@ -362,20 +362,11 @@ def s4_read_agencies(spark, sf):
     g = S.table(spark, sf, "nation").select(F.col("n_nationkey").alias("ug_id"), F.col("n_name").alias("uname"),
                                             F.col("n_name").alias("descrip"))
     j = agency_group_join(c, g, "ug_id", "NATION_1%")
-    return j.select("a_id", "filename", to_latin1(F.col("lede_raw")).alias("lede"), "uname")
-
-
-# Windows-1252 characters MySQL's latin1 keeps besides U+0000-U+00FF.
-CP1252_EXTRA = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
-
-
-def to_latin1(c):
-    """CONVERT(x USING latin1): unmappable characters become '?'."""
-    return F.regexp_replace(c, "[^\\x00-\\x7F\\xA0-\\xFF\\x81\\x8D\\x8F\\x90\\x9D" + CP1252_EXTRA + "]", "?")
+    return j.select("a_id", "filename", T.to_latin1(F.col("lede_raw")).alias("lede"), "uname")
 
 
 def s5_to_latin1(spark, sf):
-    return _docs(spark, sf).select("doc_id", to_latin1(F.col("text")).alias("text"))
+    return _docs(spark, sf).select("doc_id", T.to_latin1(F.col("text")).alias("text"))
 
 
 def s6_read_pages(spark, sf):
