@@ -49,7 +49,7 @@ def p5_resolve_link(spark, sf):
     host = F.regexp_extract("url", "^(https?://[^/?#]+)", 1)
     x = pg.select("page_id", host.alias("prefix"),
                   F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias("n", "href"))
-    return x.select("page_id", "n", T.resolve_link(F.col("href"), F.col("prefix")).alias("link"))
+    return x.select("page_id", F.col("n").cast("long").alias("n"), T.resolve_link(F.col("href"), F.col("prefix")).alias("link"))
 
 
 def p6_truncate_columns(spark, sf):
@@ -334,7 +334,8 @@ def s3_parse_specs(spark, sf):
     long = t.select("page_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("spec"))
                                                      for f in SPEC_FIELDS])).alias("fs"))
     long = long.select("page_id", "fs.field", "fs.spec").where(F.col("spec") != "")
-    return spec_steps(long, "spec").drop("spec")
+    steps = spec_steps(long, "spec").drop("spec")
+    return steps.withColumn("alt", F.col("alt").cast("long")).withColumn("step", F.col("step").cast("long"))
 
 
 # ------------------------------------------------------------------ sources and sinks
