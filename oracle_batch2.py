@@ -156,7 +156,6 @@ WHERE length(line) > 0 GROUP BY doc_id"""
 SELECT count(*) FILTER (WHERE reason = 'loaded') AS loaded, count(*) FILTER (WHERE reason <> 'not_reached') AS looked_at,
        count(*) FILTER (WHERE reason = 'duplicate') AS duplicates, count(*) FILTER (WHERE reason = 'no_lede') AS no_lede,
        count(*) AS records FROM x2"""
-    from quarry.functions.text import bad_characters  # noqa: F401  (same class as the Spark side)
     acc = R.lit("[a-zA-Z0-9\\t\\n\\x0B\\f\\r\\x1C-\\x1F `~!@#$%^&*()_+\\-={}|:;<>?,./\\\\\"'\\[\\]]")
     q["A8_bad_characters"] = f"SELECT doc_id, regexp_replace({R.fold('text', 'T1')}, {acc}, '', 'g') AS bad FROM documents"
     kwl = R.first_contained("text", Q.FIXTURE.keyword_skips)

@@ -22,7 +22,6 @@ from __future__ import annotations
 import sys
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,9 +99,6 @@ def parse_html(html: str | None):
     return b.finish()
 
 
-NODE_ARROW = None
-
-
 def _arrow_schema():
     import pyarrow as pa
     return pa.schema([("page_id", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("parent", pa.int32()),

@@ -8,7 +8,6 @@ Parquet columns; ``.text`` is an export only, never a file per row.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CONFIG_SCHEMA = "id long, name string, url_field string"
 CONFIG_HEADER = ("# journal_id,  Journal Name,    url_field,    journal_containers,     landing_page_gathering,   "
