@@ -18,6 +18,8 @@ def get_spark(master: str | None = None, app: str = "quarry",
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          # the page parse gets whole pages per Arrow batch: bound the batch
+          .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
