@@ -89,3 +89,32 @@ def test_html_to_text(spark):
     df = spark.createDataFrame([(BROKEN,)], "h string")
     t = df.select(H.html_to_text(F.col("h")).alias("t")).first()["t"]
     assert "var t" not in t and "T & U" in t and "Head" in t and "<" not in t
+
+
+def test_first_fields_equals_general_path(spark):
+    import os
+
+    from conftest import SF_SMALL
+    from quarry.sources.pages import document_context, parsed_nodes
+    from quarry.sources.specs import parse_spec
+
+    pg = spark.read.parquet(os.path.join(SF_SMALL, "pages.parquet")).select("page_id", "html")
+    nodes = parsed_nodes(pg)
+    els, tx = elements(nodes), texts(nodes)
+    ctx = H.select(document_context(nodes), els, "find|elem|nav~find_all|elem|li", ["page_id"])
+    ctx = ctx.withColumn("item", F.col("c_lo"))
+    specs = {"a": "find|elem|a", "b": "find|elem|b", "ul": "find|elem|ul"}
+    fast = {(r["page_id"], r["item"]): r for r in
+            H.first_fields(ctx, els, tx, ["item"], {n: parse_spec(s)[0][0] for n, s in specs.items()}).collect()}
+    whole = {(r["page_id"], r["item"]): r["text"] for r in H.element_text(ctx, tx, ["item"]).collect()}
+    assert set(fast) == set(whole) and len(fast) > 0
+    for n, s in specs.items():
+        m = H.select(ctx, els, s, ["item"])
+        href = {(r["page_id"], r["item"]): r["href"] for r in H.attribute(m, els, "href", ["item"]).collect()}
+        txt = {(r["page_id"], r["item"]): r["text"] for r in H.element_text(m, tx, ["item"], strip=False).collect()}
+        for k, r in fast.items():
+            assert r[f"{n}_found"] == (k in txt), (n, k)
+            assert r[f"{n}_text"] == txt.get(k), (n, k)
+            if n == "a":
+                assert r["a_attr"] == href.get(k), k
+            assert r["text"] == whole[k]
