@@ -825,7 +825,7 @@ def comment_page_html(spark, sf):
     title = F.when(F.col("pdf_title").isNull(), F.lit("")) \
              .otherwise(F.concat(F.lit('<h5 class="h5 mt-0 mb-1">'), _esc(F.col("pdf_title")), F.lit("</h5>")))
     html = F.concat(F.lit("<html><body><div>"), title, links, F.lit("</div></body></html>"))
-    return cp.select(F.col("pdf_id").alias("page_id"), "url", html.alias("html"))
+    return _spread_pages(cp.select(F.col("pdf_id").alias("page_id"), "url", html.alias("html")))
 
 
 def h15_download_link(spark, sf):
@@ -1008,11 +1008,20 @@ def landing_pages(spark, sf):
     g = o.select(F.col("o_custkey").alias("journal"), bucket.alias("page_order"), "o_orderkey", li.alias("li"))
     pages = g.groupBy("journal", "page_order").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "li"))), lambda x: x["li"]), "").alias("body"))
-    return pages.select((F.col("journal") * 1000000 + F.col("page_order")).alias("page_id"), "journal", "page_order",
-                        F.concat(F.lit(ISSUE_HOST + "/loi/"), F.col("journal").cast("string"), F.lit("?page="),
-                                 F.col("page_order").cast("string")).alias("url"),
-                        F.concat(F.lit('<html><body><div class="issues"><ul>'), F.col("body"),
-                                 F.lit("</ul></div></body></html>")).alias("html"))
+    out = pages.select((F.col("journal") * 1000000 + F.col("page_order")).alias("page_id"), "journal", "page_order",
+                       F.concat(F.lit(ISSUE_HOST + "/loi/"), F.col("journal").cast("string"), F.lit("?page="),
+                                F.col("page_order").cast("string")).alias("url"),
+                       F.concat(F.lit('<html><body><div class="issues"><ul>'), F.col("body"),
+                                F.lit("</ul></div></body></html>")).alias("html"))
+    return _spread_pages(out)
+
+
+def _spread_pages(pages):
+    """Pages built through a shuffle: AQE would coalesce the few bytes into one
+    task, but parsing them is CPU work; an explicit page_id partitioning keeps
+    every core busy (AQE keeps a user-given partition count)."""
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.repartition(n, "page_id")
 
 
 def x1_journal_issues(spark, sf):
