@@ -98,3 +98,23 @@ def test_stored_check_pruned_to_batch_dates(spark):
         sorted(tuple(r) for r in plain.select(*key).collect())
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[content_date#\d+ IN \(", plan)
+
+
+def test_prune_fallback_past_cap(spark, monkeypatch):
+    import tempfile
+
+    from conftest import SF_SMALL
+    from quarry.plans import press_release as PR
+    from quarry.plans.queries import FIXTURE
+    from quarry.sources import tables as S
+
+    d = tempfile.mkdtemp(prefix="quarry-prune2-")
+    S.target_press_release(spark, SF_SMALL).write.partitionBy("content_date").parquet(d + "/t")
+    arts = S.articles(spark, SF_SMALL)
+    capped = PR.press_release(arts, S.agencies(spark, SF_SMALL), spark.read.parquet(d + "/t"), FIXTURE)
+    want = sorted(tuple(r) for r in capped.select("id", "reason").collect())
+    monkeypatch.setattr(PR, "MAX_PRUNE_DATES", 1)           # more dates than the cap: join path only
+    loose = PR.press_release(arts, S.agencies(spark, SF_SMALL), spark.read.parquet(d + "/t"), FIXTURE)
+    assert sorted(tuple(r) for r in loose.select("id", "reason").collect()) == want
+    plan = loose._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"PartitionFilters: \[content_date#\d+ IN \(", plan)

@@ -44,3 +44,26 @@ def test_replayed_file_adds_nothing(spark):
     incremental_ingest(st, base + "/t", base + "/c", "key", ["ts", "event_id"], partition_col="day")
     after = sorted(tuple(r) for r in spark.read.parquet(base + "/t").select("key", "event_id").collect())
     assert after == before and len(before) > 0
+
+
+def test_daily_outcomes_rerun_is_stable(spark):
+    from quarry.streaming.ingest import daily_outcomes
+
+    base = tempfile.mkdtemp(prefix="quarry-w4-")
+    e = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
+    for lo, hi in ((1, 15), (16, 31)):
+        e.where(F.dayofmonth("ts").between(lo, hi)).coalesce(1).write.mode("append").parquet(base + "/in")
+
+    def run():
+        st = file_stream(spark, base + "/in", e.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+        st = st.withColumn("reason", F.when(F.col("event_type") == "error", F.lit("rejected")).otherwise(F.lit("added")))
+        daily_outcomes(st, "ts", "reason", base + "/out", base + "/ckpt")
+        return sorted((str(r["day"]), r["reason"], r["n"]) for r in spark.read.parquet(base + "/out").collect())
+
+    first = run()
+    assert run() == first                                       # nothing new: same rows
+    want = {}
+    for r in e.select(F.to_date("ts").cast("string").alias("d"), "event_type").collect():
+        k = (r["d"], "rejected" if r["event_type"] == "error" else "added")
+        want[k] = want.get(k, 0) + 1
+    assert first == sorted((d, rs, n) for (d, rs), n in want.items())
