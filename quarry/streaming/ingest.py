@@ -24,7 +24,19 @@ from pyspark.sql.utils import AnalysisException
 MAX_PRUNE_VALUES = 10000
 
 
+def _path_exists(spark: SparkSession, path: str):
+    """Ask the file system (no failed read and its warning); None if unknown."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:
+        return None
+
+
 def _read_or_none(spark: SparkSession, path: str):
+    if _path_exists(spark, path) is False:
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException:
