@@ -31,13 +31,16 @@ def get_spark(master: str | None = None, app: str = "quarry",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a scratch folder is set.
+    A session on one machine (local tests) gets a scratch folder when nothing is set; on a
+    cluster a missing setting is an error, because executors do not share local folders.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
