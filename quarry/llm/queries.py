@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from quarry.llm import mixing
+from quarry.llm import mixing, quality
 
 
 def queries() -> dict:
     return {
+        "op1_quality_divergence": quality.op1_quality_divergence,
         "op5_mix_sources": mixing.op5_mix_sources,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_quality_divergence": quality.OP1_SQL,
         "op5_mix_sources": mixing.OP5_SQL,
     }
