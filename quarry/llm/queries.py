@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quarry.llm import mixing, quality
+from quarry.llm import minhash, mixing, quality
 
 
 def queries() -> dict:
     return {
         "op1_quality_divergence": quality.op1_quality_divergence,
+        "op3_minhash_near_dup": minhash.op3_minhash_near_dup,
         "op5_mix_sources": mixing.op5_mix_sources,
     }
 
@@ -15,5 +16,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_divergence": quality.OP1_SQL,
+        "op3_minhash_near_dup": minhash.OP3_SQL,
         "op5_mix_sources": mixing.OP5_SQL,
     }
