@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import minhash, mixing, quality, suffixes
+from quarry.llm import minhash, mixing, quality, suffixes, toxicity
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_quality_divergence": quality.op1_quality_divergence,
         "op3_minhash_near_dup": minhash.op3_minhash_near_dup,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op9_toxicity_ftrl": toxicity.op9_toxicity_ftrl,
         "op10_suffix_array_dedup": suffixes.op10_suffix_array_dedup,
     }
 
