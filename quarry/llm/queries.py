@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import minhash, mixing, quality, suffixes, toxicity
+from quarry.llm import minhash, mixing, quality, suffixes, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_quality_divergence": quality.op1_quality_divergence,
         "op3_minhash_near_dup": minhash.op3_minhash_near_dup,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op6_warc_zip_archives": warc.op6_warc_zip_archives,
         "op9_toxicity_ftrl": toxicity.op9_toxicity_ftrl,
         "op10_suffix_array_dedup": suffixes.op10_suffix_array_dedup,
     }
@@ -20,4 +21,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_divergence": quality.OP1_SQL,
         "op3_minhash_near_dup": minhash.OP3_SQL,
         "op5_mix_sources": mixing.OP5_SQL,
+        "op6_warc_zip_archives": warc.OP6_SQL,
     }

@@ -16,7 +16,7 @@ GRAMS = ((0,), (0, 1), (0, 2))   # words, pairs, pairs with one word skipped
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
 #: bound of the labelled sample that is learnt from, and the fixed number of shards that learn
 #: side by side, each on about MAX_ROWS / SHARDS rows
-MAX_ROWS, SHARDS, EPOCHS = 20_000, 4, 8
+MAX_ROWS, SHARDS, EPOCHS = 40_000, 4, 6
 SEED = "tox-1"
 ADDED = ("held_out", "score", "predicted")
 
