@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import minhash, mixing, quality, suffixes, toxicity, warc
+from quarry.llm import decontaminate, minhash, mixing, quality, suffixes, toxicity, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_minhash_near_dup": minhash.op3_minhash_near_dup,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_warc_zip_archives": warc.op6_warc_zip_archives,
+        "op7_spaced_seed_decontamination": decontaminate.op7_spaced_seed_decontamination,
         "op9_toxicity_ftrl": toxicity.op9_toxicity_ftrl,
         "op10_suffix_array_dedup": suffixes.op10_suffix_array_dedup,
     }
