@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quarry.llm import decontaminate, minhash, mixing, quality, suffixes, toxicity, warc
+from quarry.llm import decontaminate, linededup, minhash, mixing, quality, suffixes, toxicity, warc
 
 
 def queries() -> dict:
     return {
         "op1_quality_divergence": quality.op1_quality_divergence,
+        "op2_line_dedup": linededup.op2_line_dedup,
         "op3_minhash_near_dup": minhash.op3_minhash_near_dup,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_warc_zip_archives": warc.op6_warc_zip_archives,
@@ -20,6 +21,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_divergence": quality.OP1_SQL,
+        "op2_line_dedup": linededup.OP2_SQL,
         "op3_minhash_near_dup": minhash.OP3_SQL,
         "op5_mix_sources": mixing.OP5_SQL,
         "op6_warc_zip_archives": warc.OP6_SQL,
