@@ -15,8 +15,8 @@ BANDS, ROWS = 24, 4                 # a pair at 0.8 shares no band with probabil
 MINIMA = BANDS * ROWS
 SIMILARITY = 80                     # percent
 #: bands prove candidates only; a pair whose minima agree in fewer than this share is not
-#: looked at: six standard deviations below 0.8
-MIN_AGREEING = int(MINIMA * (0.8 - 6 * (0.8 * 0.2 / MINIMA) ** 0.5))
+#: looked at: five standard deviations below 0.8
+MIN_AGREEING = int(MINIMA * (0.8 - 5 * (0.8 * 0.2 / MINIMA) ** 0.5))
 
 _A = T.mix(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
 _B = T.mix(np.arange(1001, MINIMA + 1001, dtype=np.uint64))
@@ -116,16 +116,65 @@ def _agreeing(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
+def _items(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, items): the full sets of the named documents; rows that share a doc_id each bring one."""
+    texts = docs.select("doc_id", "text").join(written(nodes.distinct(), "minhash-wanted").withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    return written(texts.mapInArrow(_sets(size), "node long, items array<long>"), "minhash-sets")
+
+
+BLOCK = 1024                        # rows of a band that are compared in one task at a time
+
+
+def _links_across(similarity: int):
+    """Links between members of one block, or of two, that are in different components.
+
+    Overlaps are counted through an index of the block's shingles; only links leave the task.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        node, comp = table["node"].to_numpy(), table["c"].to_numpy()
+        lists = table["items"].combine_chunks()
+        size = np.asarray(lists.value_lengths())
+        begin = np.concatenate([[0], np.cumsum(size)])
+        _, code = np.unique(np.asarray(lists.flatten()), return_inverse=True)
+        owner = np.repeat(np.arange(node.size), size)[np.argsort(code, kind="stable")]
+        count = np.bincount(code) if code.size else np.zeros(0, dtype=np.int64)
+        at = np.cumsum(count) - count
+        kinds, n = np.unique(comp, return_counts=True)
+        us, vs = [], []
+        for u in np.flatnonzero(comp != kinds[np.argmax(n)]):
+            own = code[begin[u]: begin[u + 1]]
+            k = count[own]
+            where = np.arange(k.sum()) + np.repeat(at[own] - np.cumsum(k) + k, k)
+            common = np.bincount(owner[where], minlength=node.size)
+            v = node[(common > 0) & (comp != comp[u]) & (100 * common >= similarity * (size[u] + size - common))]
+            us.append(np.minimum(v, node[u]))
+            vs.append(np.maximum(v, node[u]))
+        flat = lambda x: np.concatenate(x) if x else np.zeros(0, dtype=np.int64)
+        return pa.table({"u": flat(us), "v": flat(vs)})
+    return run
+
+
+def _across(members: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
+    """Links between members (band, node, c, n) of a band whose components c differ.
+
+    A band of n members is split into blocks of about BLOCK rows, and every two blocks meet in a
+    task of their own, so a large band is neither one task nor a table of its pairs.
+    """
+    items = _items(members.select("node"), docs, size)
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = (members.withColumn("k", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+            .withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select("band", F.least("k", "o").alias("k1"), F.greatest("k", "o").alias("k2"), "node", "c"))
+    return rows.join(items, "node").groupBy("band", "k1", "k2").applyInArrow(_links_across(similarity), "u long, v long").distinct()
+
+
 def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, similarity: int) -> DataFrame:
     """The pairs (u, v) that agree in signature and then in their full sets."""
     sig = reps.select("node", "minima")
     near = written(
         pairs.join(sig.toDF("u", "mu"), "u").join(sig.toDF("v", "mv"), "v")
         .where(_agreeing("mu", "mv") >= MIN_AGREEING).select("u", "v"), "minhash-pairs")
-    wanted = near.select(F.col("u").alias("node")).union(near.select("v")).distinct()
-    # one text per class representative; rows that share a doc_id each bring their set
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    items = written(texts.mapInArrow(_sets(size), "node long, items array<long>"), "minhash-sets")
+    items = _items(near.select(F.col("u").alias("node")).union(near.select("v")), docs, size)
     both = near.join(items.toDF("u", "iu"), "u").join(items.toDF("v", "iv"), "v")
     common = F.size(F.array_intersect("iu", "iv"))
     return both.where((F.size("iu") > 0) & (F.size("iv") > 0) & (
@@ -139,8 +188,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = SIMILARITY
     alike are linked.  Equal sets form a class, and only one representative of a class is
     compared.  In every band the members meet the smallest and the largest one there, not each
     other.  What the first round of components leaves apart within a band is then compared across
-    components, so a link that neither end has is still found, and no band emits all its pairs
-    unless all its members are unlike.
+    components in blocks, so a link that neither end has is still found, and only links are emitted.
 
     Null, empty and blank texts have no shingles and are linked with nothing.  A null doc_id is
     linked with nothing either: component_id is null and the row is kept.  Rows that share a
@@ -166,11 +214,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: int = SIMILARITY
     # bands whose members are still in several components: compare across them
     placed = (shared.where("node <> lo and node <> hi").join(first, "node", "left")
               .select("band", "node", F.coalesce("component", "node").alias("c")))
-    mixed = placed.groupBy("band").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b").select("band")
-    open_ = written(placed.join(mixed, "band", "left_semi"), "minhash-open")
-    left, right = open_.toDF("band", "u", "cu"), open_.toDF("band", "v", "cv")
-    rest = left.join(right, "band").where("u < v and cu <> cv").select("u", "v").distinct()
-    more = written(_linked(rest, reps, plain, size, similarity), "minhash-more")
+    mixed = placed.groupBy("band").agg(F.min("c").alias("a"), F.max("c").alias("b"), F.count("*").alias("n")).where("a < b")
+    open_ = written(placed.join(mixed.select("band", "n"), "band"), "minhash-open")
+    more = written(_across(open_, plain, size, similarity), "minhash-more")
     final = written(components(links.unionByName(more)), "minhash-components")
 
     named = classes.join(final, "node", "left").select(
