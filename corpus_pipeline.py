@@ -1,6 +1,8 @@
 """Corpus preparation: stages over ``documents``, each written as Parquet and read again.
 
-Every stage function takes (spark, docs, sf_dir) and returns a DataFrame.
+Every stage function takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
+the columns of ``docs``.  Near-duplicates, here and in the stages, are documents whose sets of
+five-word shingles are 80 percent alike.
 """
 
 from __future__ import annotations
@@ -8,15 +10,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.common import table, written
+from quarry.llm.decontaminate import without_leaks
+from quarry.llm.linededup import dedup_lines
+from quarry.llm.minhash import keep_one
 from quarry.llm.mixing import mix
+from quarry.llm.quality import judge
 
 
-def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return judge(docs).where("kept").select(*docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that repeat an earlier one; a document left without words goes."""
+    return dedup_lines(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no passage with an item of ``benchmark``."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with size, source_size, target and taken: the words the mix takes of each."""
     return mix(docs)
 
 
 STAGES = [
-    ("mixing sources to target weights", mix_stage),
+    ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("MinHash near-dedup", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources to target weights", mixing_stage),
 ]
 
 
@@ -27,4 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
+# the overlaps of decontamination are ungapped extensions, which SQL does not express; see
+# tests/llm for the brute-force version of all stages
 ORACLE_SQL = None

@@ -32,22 +32,6 @@ def _seeds(h: np.ndarray, rows: np.ndarray):
         yield T.mix(g[ok] + np.uint64(k)), row_of[ok], ok - rows[row_of[ok]]
 
 
-def _words(column: pa.Array):
-    data, offsets = T.buffers(column)
-    return T.word_hashes(_plain(data), offsets, lower=True)
-
-
-# fixed value: marks that count as blanks here
-_MARKS = np.zeros(256, dtype=bool)
-_MARKS[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
-
-
-def _plain(data: np.ndarray) -> np.ndarray:
-    out = data.copy()
-    out[_MARKS[out]] = 32
-    return out
-
-
 _SEED = "seed long, item_id long, item_at long"
 _HIT = "seed long, doc_id long, doc_at long"
 
@@ -55,29 +39,20 @@ _HIT = "seed long, doc_id long, doc_at long"
 def _test_seeds(batches):
     for batch in batches:
         ids = batch.column("item_id").to_numpy(zero_copy_only=False)
-        h, rows = _words(batch.column("text"))
+        h, rows = T.bare_word_hashes(batch.column("text"))
         for seed, row, at in _seeds(h, rows):
             yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(ids[row]), pa.array(at)],
                                              names=["seed", "item_id", "item_at"])
 
 
-def _slices(batch: pa.RecordBatch, n_bytes: int = 4 << 20):
-    offsets = T.buffers(batch.column("text"))[1]
-    lo = 0
-    while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + n_bytes, "right")) - 1)
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 def _doc_seeds(bits):
     """Seeds of the documents that the filter of test seeds lets through."""
     def run(batches):
         known = bits.value
         for whole in batches:
-            for batch in _slices(whole):
+            for batch in T.pieces(whole):
                 ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-                h, rows = _words(batch.column("text"))
+                h, rows = T.bare_word_hashes(batch.column("text"))
                 for seed, row, at in _seeds(h, rows):
                     cell = (seed >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                     ok = np.flatnonzero((known[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1)
@@ -123,8 +98,8 @@ def _verify(batches):
         texts, items, shifts = (batch.column(c) for c in ("text", "item_text", "shifts"))
         found = []
         for r in range(batch.num_rows):
-            b = _words(texts.slice(r, 1))[0]
-            a = _words(items.slice(r, 1))[0]
+            b = T.bare_word_hashes(texts.slice(r, 1))[0]
+            a = T.bare_word_hashes(items.slice(r, 1))[0]
             best = max((best_overlap(a, b, s)[::-1] + (s,) for s in shifts[r].as_py()), default=(0, 0, 0, 0))
             matched, length, begin, shift = best
             if matched >= min(MIN_MATCHED, a.size) and 100 * matched >= MIN_SHARE * length:

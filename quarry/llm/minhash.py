@@ -57,23 +57,13 @@ def _unique_rows(x: np.ndarray, begin: np.ndarray):
     return x[first], np.concatenate([[0], np.cumsum(n)])
 
 
-def _slices(batch: pa.RecordBatch, n_bytes: int = 4 << 20):
-    """The batch in slices of whole rows of about ``n_bytes`` of text."""
-    offsets = T.buffers(batch.column("text"))[1]
-    lo = 0
-    while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + n_bytes, "right")) - 1)
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 _SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, minima array<int>, bands array<long>"
 
 
 def _sketch(size: int):
     def run(batches):
         for whole in batches:
-            for batch in _slices(whole):
+            for batch in T.pieces(whole):
                 x, begin = _unique_rows(*shingles(batch.column("text"), size))
                 n = np.diff(begin)
                 some = np.flatnonzero(n)
@@ -104,7 +94,7 @@ def _sketch(size: int):
 def _sets(size: int):
     def run(batches):
         for whole in batches:
-            for batch in _slices(whole):
+            for batch in T.pieces(whole):
                 x, begin = _unique_rows(*shingles(batch.column("text"), size))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(x.view(np.int64)))],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import decontaminate, linededup, minhash, mixing, quality, suffixes, toxicity, warc
+from quarry.llm import decontaminate, licenses, linededup, minhash, mixing, ngramlm, quality, suffixes, toxicity, warc
 
 
 def queries() -> dict:
@@ -10,9 +10,11 @@ def queries() -> dict:
         "op1_quality_divergence": quality.op1_quality_divergence,
         "op2_line_dedup": linededup.op2_line_dedup,
         "op3_minhash_near_dup": minhash.op3_minhash_near_dup,
+        "op4_license_patience": licenses.op4_license_patience,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op6_warc_zip_archives": warc.op6_warc_zip_archives,
         "op7_spaced_seed_decontamination": decontaminate.op7_spaced_seed_decontamination,
+        "op8_stupid_backoff": ngramlm.op8_stupid_backoff,
         "op9_toxicity_ftrl": toxicity.op9_toxicity_ftrl,
         "op10_suffix_array_dedup": suffixes.op10_suffix_array_dedup,
     }
@@ -25,4 +27,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_minhash_near_dup": minhash.OP3_SQL,
         "op5_mix_sources": mixing.OP5_SQL,
         "op6_warc_zip_archives": warc.OP6_SQL,
+        "op8_stupid_backoff": ngramlm.OP8_SQL,
     }

@@ -130,3 +130,26 @@ def gram_hashes(h: np.ndarray, offsets_in_gram) -> np.ndarray:
     for slot, d in enumerate(offsets_in_gram):
         out += h[d: d + n] * _SLOT[slot]
     return mix(out)
+
+
+# fixed value: ASCII marks that count as blanks where only letters and digits matter
+MARKS = np.zeros(256, dtype=bool)
+MARKS[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
+
+
+def bare_word_hashes(column: pa.Array):
+    """As ``word_hashes``, in lower case and with marks counted as blanks."""
+    data, offsets = buffers(column)
+    data = data.copy()
+    data[MARKS[data]] = 32
+    return word_hashes(data, offsets, lower=True)
+
+
+def pieces(batch: pa.RecordBatch, n_bytes: int = 4 << 20):
+    """The batch in slices of whole rows of about ``n_bytes`` of text."""
+    offsets = buffers(batch.column("text"))[1]
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + n_bytes, "right")) - 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi

@@ -27,9 +27,7 @@ def features(column: pa.Array):
     Words are taken in lower case (A-Z), and marks count as blanks.  Feature 0 is in every row:
     it learns how common the label is.
     """
-    data, offsets = T.buffers(column)
-    data = _without_marks(data)
-    h, rows = T.word_hashes(data, offsets, lower=True)
+    h, rows = T.bare_word_hashes(column)
     row_of = np.repeat(np.arange(rows.size - 1), np.diff(rows))
     keys = [np.arange(rows.size - 1, dtype=np.uint64) << np.uint64(BITS)]
     for k, gram in enumerate(GRAMS):
@@ -43,26 +41,6 @@ def features(column: pa.Array):
     return slots, np.searchsorted(keys >> np.uint64(BITS), np.arange(rows.size, dtype=np.uint64))
 
 
-# fixed value: marks that count as blanks here
-_MARKS = np.zeros(256, dtype=bool)
-_MARKS[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
-
-
-def _without_marks(data: np.ndarray) -> np.ndarray:
-    out = data.copy()
-    out[_MARKS[out]] = 32
-    return out
-
-
-def _slices(batch: pa.RecordBatch, n_bytes: int = 2 << 20):
-    offsets = T.buffers(batch.column("text"))[1]
-    lo = 0
-    while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + n_bytes, "right")) - 1)
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 def weights_of(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     """FTRL-proximal weights: zero while |z| stays within L1."""
     return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
@@ -92,7 +70,7 @@ def _shard(state):
         order = pa.compute.sort_indices(table, sort_keys=[("_rank", "ascending"), ("label", "ascending")])
         for lo in range(0, len(order), 200):
             for batch in table.take(order[lo: lo + 200]).combine_chunks().to_batches():
-                for part in _slices(batch):
+                for part in T.pieces(batch, 2 << 20):
                     slots, begin = features(part.column("text"))
                     learn(z, n, slots, begin, part.column("label").to_numpy(zero_copy_only=False))
         seen = np.flatnonzero(n != n0)
@@ -136,7 +114,7 @@ def _scores(names: list, weights):
         w = np.zeros(1 << BITS)
         w[slot] = value
         for whole in batches:
-            for batch in _slices(whole):
+            for batch in T.pieces(whole, 2 << 20):
                 slots, begin = features(batch.column("text"))
                 total = np.concatenate([[0.0], np.cumsum(w[slots])])
                 x = np.round(total[begin[1:]] - total[begin[:-1]], 9)
