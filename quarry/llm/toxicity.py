@@ -16,7 +16,7 @@ GRAMS = ((0,), (0, 1), (0, 2))   # words, pairs, pairs with one word skipped
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.1
 #: bound of the labelled sample that is learnt from, and the fixed number of shards that learn
 #: side by side, each on about MAX_ROWS / SHARDS rows
-MAX_ROWS, SHARDS, EPOCHS = 40_000, 4, 6
+MAX_ROWS, SHARDS, ROUNDS, EPOCHS = 40_000, 4, 2, 3
 SEED = "tox-1"
 ADDED = ("held_out", "score", "predicted")
 
@@ -59,33 +59,33 @@ def learn(z: np.ndarray, n: np.ndarray, slots: np.ndarray, begin: np.ndarray, la
         n[i] = ni + g * g
 
 
-_STATE = "slot int, z double, n double"
+_STATE = "z binary, n binary"
 
 
-def _shard(state):
-    """Learning over one shard, from the state the last epoch left."""
+def _shard(state, epochs: int):
+    """Learning over one shard, from the state the last round left: the changes, as 32-bit floats."""
     def run(table: pa.Table) -> pa.Table:
         z0, n0 = state.value
         z, n = z0.copy(), n0.copy()
         order = pa.compute.sort_indices(table, sort_keys=[("_rank", "ascending"), ("label", "ascending")])
-        for lo in range(0, len(order), 200):
+        for lo in [*range(0, len(order), 200)] * epochs:
             for batch in table.take(order[lo: lo + 200]).combine_chunks().to_batches():
                 for part in T.pieces(batch, 2 << 20):
                     slots, begin = features(part.column("text"))
                     learn(z, n, slots, begin, part.column("label").to_numpy(zero_copy_only=False))
-        seen = np.flatnonzero(n != n0)
-        return pa.table({"slot": pa.array(seen.astype(np.int32)), "z": z[seen] - z0[seen], "n": n[seen] - n0[seen]})
+        return pa.table({"z": [(z - z0).astype(np.float32).tobytes()], "n": [(n - n0).astype(np.float32).tobytes()]})
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS) -> np.ndarray:
+def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights learnt from the texts of ``docs`` and ``labels`` (doc_id, label).
 
     About MAX_ROWS labels are used: with more, those whose seeded hash falls under MAX_ROWS / all.
     That sample is what makes the labels small enough to send to the documents.  SHARDS fixed
-    shards learn side by side, each in the order of the hash; after each epoch their changes of z
-    and n are averaged over the shards that touched a coordinate, so the result does not depend on
-    where Spark runs them.  The state has 2**BITS cells, and that bounds what is gathered and sent.
+    shards learn side by side, each for EPOCHS passes in the order of the hash; after each of ROUNDS
+    rounds their changes of z and n are averaged over the shards that touched a coordinate, so the
+    result does not depend on where Spark runs them.  The state has 2**BITS cells: SHARDS states
+    of 8 bytes a cell are gathered, and one is sent out, whatever the corpus is.
     """
     spark = docs.sparkSession
     rank = F.md5(F.concat(F.lit(SEED), F.col("doc_id").cast("string")))
@@ -97,13 +97,13 @@ def train(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS) -> np.ndarra
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     rows = written(rows.select("text", "label", "_rank", F.pmod(F.crc32("_rank"), F.lit(SHARDS)).alias("_shard")), "toxic-rows")
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for _ in range(epochs):
+    for _ in range(ROUNDS):
         state = spark.sparkContext.broadcast((z, n))
-        moved = rows.groupBy("_shard").applyInArrow(_shard(state), _STATE)
-        moved = moved.groupBy("slot").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
-        slot = moved["slot"].to_numpy()
-        z[slot] += moved["z"].to_numpy()
-        n[slot] += moved["n"].to_numpy()
+        moved = rows.groupBy("_shard").applyInArrow(_shard(state, EPOCHS), _STATE).toArrow()
+        dz, dn = (np.stack([np.frombuffer(x.as_py(), dtype=np.float32).astype(np.float64) for x in moved[c]])
+                  if moved.num_rows else np.zeros((1, 1 << BITS)) for c in ("z", "n"))
+        touched = np.maximum((dn > 0).sum(axis=0), 1)
+        z, n = z + dz.sum(axis=0) / touched, n + dn.sum(axis=0) / touched
         state.unpersist()
     return weights_of(z, n)
 
