@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import drop_clashing, words, written
+from quarry.llm.common import words, written
 
 SHINGLE = 5                 # words in a shingle; shorter lines are left alone
 #: similarity of 4/5 or more, in integers
 UP, DOWN = 4, 5
 BUCKETS = 16                # rarity is counted over 2**BUCKETS buckets of shingle hashes
 NO_ID = -(1 << 63)          # a null doc_id comes before all others
-ADDED = ("n_lines", "n_removed", "removed_lines")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """(_key, line_no, line) of all lines; null texts have one empty line."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_key"), F.posexplode_outer(F.split(text, "\n")).alias("line_no", "line"))
 
 
 def _shingled(lines: DataFrame) -> DataFrame:
-    """``lines`` of five words and more with ``items``, their distinct shingle hashes."""
+    """``lines`` of five words and more with ``items``, their distinct shingle hashes.
+
+    Nothing may filter on ``items``: the optimizer would move that filter below, and then split the
+    line anew for every shingle.  A plain explode adds such a filter, the outer one does not.
+    """
     w = lines.withColumn("_w", words(F.col("line"))).drop("line").where(F.size("_w") >= SHINGLE)
     grams = F.transform(F.sequence(F.lit(1), F.size("_w") - (SHINGLE - 1)), lambda i: F.xxhash64(F.slice("_w", i, SHINGLE)))
     return w.withColumn("items", F.array_distinct(grams)).drop("_w")
@@ -36,7 +39,7 @@ def _rarity(items: DataFrame) -> Column:
     table has 2**BUCKETS cells whatever the corpus is.
     """
     bucket = F.shiftrightunsigned("h", 64 - BUCKETS)
-    counts = items.select(F.explode("items").alias("h")).groupBy(bucket.cast("int").alias("b")).count().toArrow()
+    counts = items.select(F.explode_outer("items").alias("h")).groupBy(bucket.cast("int").alias("b")).count().toArrow()
     seen = dict(zip(counts["b"].to_pylist(), counts["count"].to_pylist()))
     order = sorted(range(1 << BUCKETS), key=lambda b: (seen.get(b, 0), b))
     rank = [0] * len(order)
@@ -108,7 +111,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
                              F.struct("p._key", "p.line_no").alias("y"), F.struct("p.n", "p.i").alias("b")), "line-shared")
     lines_wanted = shared.select("x.*").distinct().groupBy("_key").agg(F.collect_list("line_no").alias("_wanted"))
     keyed = plain.withColumn("_key", F.coalesce("doc_id", F.lit(NO_ID))).join(written(lines_wanted, "line-wanted"), "_key")
-    picked = (keyed.select("_key", "_wanted", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    picked = (keyed.select("_key", "_wanted", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
               .where(F.array_contains("_wanted", F.col("line_no"))).drop("_wanted"))
     sets = written(_shingled(picked).dropDuplicates(["_key", "line_no"]), "line-sets")
 
@@ -127,10 +130,10 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def _with_removed(docs: DataFrame) -> DataFrame:
-    gone = written(repeated_lines(docs).groupBy("_key").agg(F.sort_array(F.collect_list("line_no")).alias("removed_lines")), "line-removed")
-    return (drop_clashing(docs, "_key", *ADDED).withColumn("_key", F.coalesce("doc_id", F.lit(NO_ID)))
-            .join(gone, "_key", "left").drop("_key")
-            .withColumn("removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>"))))
+    """``docs`` with ``_removed``, the numbers of the lines to remove."""
+    gone = written(repeated_lines(docs).groupBy(F.col("_key").alias("_doc")).agg(F.sort_array(F.collect_list("line_no")).alias("_removed")), "line-removed")
+    return (docs.join(gone, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("_doc"), "left").drop("_doc")
+            .withColumn("_removed", F.coalesce("_removed", F.array().cast("array<int>"))))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -142,11 +145,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     An empty table gives no rows.  A null doc_id comes before all others.
     """
     d = _with_removed(docs)
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("removed_lines", i)), "\n")
-    d = d.withColumn("_left", F.when(F.size("removed_lines") > 0, kept).otherwise(F.col("text")))
-    d = d.where((F.size("removed_lines") == 0) | F.col("_left").rlike(r"[^\x20\x09-\x0D]")).withColumn("text", F.col("_left"))
+    changed = F.size("_removed") > 0
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_removed", i)), "\n")
+    d = d.withColumn("_left", F.when(changed, kept).otherwise(F.col("text")))
+    d = d.where(~changed | F.col("_left").rlike(r"[^\x20\x09-\x0D]")).withColumn("text", F.col("_left"))
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(F.size("removed_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        d = d.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return d.select(*docs.columns)
 
 
@@ -155,9 +159,8 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
     from quarry.llm.common import table
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
-    d = _with_removed(docs).withColumn("n_lines", n_lines)
-    return d.select("doc_id", "n_lines", F.size("removed_lines").cast("long").alias("n_removed"),
-                    F.array_join("removed_lines", ",").alias("removed_lines"))
+    return _with_removed(docs).select("doc_id", n_lines.alias("n_lines"), F.size("_removed").cast("long").alias("n_removed"),
+                                      F.array_join("_removed", ",").alias("removed_lines"))
 
 
 # all lines against all that share a shingle

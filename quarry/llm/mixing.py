@@ -54,9 +54,9 @@ def plan(sized: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     ends inside slice ``edge``, ``edge_left`` words after its begin.
     """
     per = (targets(sized, max_epochs)
-           .withColumn("words", F.floor("target").cast("long"))
-           .withColumn("whole", F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(F.lit(0).cast("long")))
-           .withColumn("left", F.col("words") - F.col("whole") * F.col("source_size")))
+           .withColumn("_words", F.floor("target").cast("long"))
+           .withColumn("_whole", F.when(F.col("source_size") > 0, F.expr("_words div source_size")).otherwise(F.lit(0).cast("long")))
+           .withColumn("left", F.col("_words") - F.col("_whole") * F.col("source_size")))
     earlier = W.partitionBy("source").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     slices = (sized.groupBy("source", _slice(F.col("rank")).alias("slice")).agg(F.sum("size").alias("slice_size"))
               .withColumn("before", F.coalesce(F.sum("slice_size").over(earlier), F.lit(0).cast("long")))
@@ -64,8 +64,8 @@ def plan(sized: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     inside = (F.col("source").eqNullSafe(F.col("of")) & (F.col("before") <= F.col("left"))
               & (F.col("left") < F.col("before") + F.col("slice_size")))
     return (per.join(slices, inside, "left")
-            .select("source", "source_size", "target", "whole", F.col("slice").alias("edge"),
-                    (F.col("left") - F.col("before")).alias("edge_left")))
+            .select("source", "source_size", "target", "_whole", F.col("slice").alias("_edge"),
+                    (F.col("left") - F.col("before")).alias("_edge_left")))
 
 
 def _slice(rank):
@@ -98,18 +98,18 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> Data
     rows = (base.withColumn("_rank", rank)
             .join(per, F.col("source").eqNullSafe(F.col("_of")), "left").drop("_of")
             .withColumn("size", size))
-    at = F.when(F.col("edge").isNull(), F.lit(1)).otherwise(
-        F.when(_slice(F.col("_rank")) < F.col("edge"), F.lit(-1)).when(_slice(F.col("_rank")) > F.col("edge"), F.lit(1)).otherwise(F.lit(0)))
+    at = F.when(F.col("_edge").isNull(), F.lit(1)).otherwise(
+        F.when(_slice(F.col("_rank")) < F.col("_edge"), F.lit(-1)).when(_slice(F.col("_rank")) > F.col("_edge"), F.lit(1)).otherwise(F.lit(0)))
     rows = rows.withColumn("_at", at)
     easy = rows.where(F.col("_at") != 0).withColumn("_extra", F.when(F.col("_at") < 0, F.col("size")).otherwise(F.lit(0).cast("long")))
     seen = W.partitionBy("source").orderBy("_rank", "size").rowsBetween(W.unboundedPreceding, -1)
     edge = (rows.where(F.col("_at") == 0)
             .withColumn("_seen", F.coalesce(F.sum("size").over(seen), F.lit(0).cast("long")))
-            .withColumn("_extra", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("edge_left") - F.col("_seen"))))
+            .withColumn("_extra", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("_edge_left") - F.col("_seen"))))
             .drop("_seen"))
     return (easy.unionByName(edge)
-            .withColumn("taken", F.col("whole") * F.col("size") + F.col("_extra"))
-            .drop("_rank", "_at", "_extra", "whole", "edge", "edge_left"))
+            .withColumn("taken", F.col("_whole") * F.col("size") + F.col("_extra"))
+            .drop("_rank", "_at", "_extra", "_whole", "_edge", "_edge_left"))
 
 
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
