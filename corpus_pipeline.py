@@ -14,12 +14,12 @@ from quarry.llm.decontaminate import without_leaks
 from quarry.llm.linededup import dedup_lines
 from quarry.llm.minhash import keep_one
 from quarry.llm.mixing import mix
-from quarry.llm.quality import judge
+from quarry.llm.quality import keep
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return judge(docs).where("kept").select(*docs.columns)
+    return keep(docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

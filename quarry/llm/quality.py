@@ -87,8 +87,9 @@ def references(judged: DataFrame) -> DataFrame:
     """Summed histograms of each language over all documents that pass the base rules."""
     both = F.concat("_classes", "_common")
     n_classes = len(CLASSES) + 2
-    cells = (judged.where(~F.col("base_failed")).select("lang", F.posexplode(both).alias("k", "n"))
-             .groupBy("lang", "k").agg(F.sum("n").alias("n")))
+    # no filter on computed columns here: the optimizer would move it below and compute them twice
+    cells = (judged.select("lang", "base_failed", F.posexplode_outer(both).alias("k", "n"))
+             .groupBy("lang", "k").agg(F.sum(F.when(~F.col("base_failed"), F.col("n")).otherwise(F.lit(0))).alias("n")))
     rows = cells.groupBy(F.col("lang").alias("_lang")).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("k", "n"))), lambda x: x["n"]).alias("_all"))
     return rows.select("_lang", F.slice("_all", 1, n_classes).alias("_ref_classes"),
@@ -141,6 +142,14 @@ def judge(docs: DataFrame) -> DataFrame:
     return verdicts(features(docs), refs)
 
 
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, all columns as they were."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", "lang")
+    # the place keeps the filter above the computed columns, see ``references``
+    placed = judge(packed).withColumn("_place", F.monotonically_increasing_id())
+    return placed.where(F.col("kept") & (F.col("_place") >= 0)).select("_row.*")
+
+
 def op1_quality_divergence(spark, sf_dir: str) -> DataFrame:
     from quarry.llm.common import table
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -187,12 +196,12 @@ h AS (
   FROM f),
 rc AS (
   SELECT lang, list(n ORDER BY k) AS rc FROM (
-    SELECT lang, k, CAST(sum(hc[k]) AS BIGINT) AS n FROM h, range(1, {len(CLASSES) + 3}) r(k)
-    WHERE NOT base_failed GROUP BY lang, k) GROUP BY lang),
+    SELECT lang, k, CAST(coalesce(sum(hc[k]) FILTER (NOT base_failed), 0) AS BIGINT) AS n FROM h, range(1, {len(CLASSES) + 3}) r(k)
+    GROUP BY lang, k) GROUP BY lang),
 rw AS (
   SELECT lang, list(n ORDER BY k) AS rw FROM (
-    SELECT lang, k, CAST(sum(hw[k]) AS BIGINT) AS n FROM h, range(1, {len(COMMON_WORDS) + 2}) r(k)
-    WHERE NOT base_failed GROUP BY lang, k) GROUP BY lang),
+    SELECT lang, k, CAST(coalesce(sum(hw[k]) FILTER (NOT base_failed), 0) AS BIGINT) AS n FROM h, range(1, {len(COMMON_WORDS) + 2}) r(k)
+    GROUP BY lang, k) GROUP BY lang),
 j AS (
   SELECT h.*, CASE WHEN list_sum(rw) >= {MIN_REFERENCE_WORDS} AND word_chars >= {MIN_CHARS_JUDGED} THEN {js.format(h='hc', r='rc')} END AS class_distance,
          CASE WHEN list_sum(rw) >= {MIN_REFERENCE_WORDS} AND n_words >= {MIN_WORDS_JUDGED} THEN {js.format(h='hw', r='rw')} END AS word_distance
