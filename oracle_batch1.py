@@ -140,7 +140,9 @@ FROM articles a LEFT JOIN agencies g ON a.a_id = g.a_id"""
 SELECT o_orderkey, CAST(month(CAST(o_orderdate AS DATE)) <= 6 - 1 AS INTEGER) AS ok_month,
        CAST((1998 * 12 + 6) - (year(CAST(o_orderdate AS DATE)) * 12 + month(CAST(o_orderdate AS DATE))) >= 1 AS INTEGER) AS ok_year
 FROM orders"""
-    q["F13_page_cap"] = "SELECT page_id, CAST(coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 1) <= 1 AS INTEGER) AS ok FROM pages"
+    q["F13_page_cap"] = f"""
+SELECT page_id, CAST(CASE WHEN n > 0 THEN n <= {P.PAGE_CAP} ELSE TRUE END AS INTEGER) AS ok FROM (
+  SELECT page_id, coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 0) + page_id % 60 AS n FROM pages)"""
     from quarry.operators.rules import EMAIL_RX
     rx = R.lit(EMAIL_RX)
     addr = ("CASE WHEN c_custkey % 2 = 0 THEN lower(replace(c_name, '#', '.')) || '@example.com' "

@@ -32,10 +32,10 @@ def x2_cte():
 
 def comment_pages_cte():
     return """comment_pages AS (
-  SELECT '/comment/AG-' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS url, doc_id AS pdf_id,
+  SELECT '/comment/AG-' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS url, doc_id AS pdf_id, event_id AS for_event,
          CASE WHEN doc_id % 9 = 0 THEN NULL ELSE split_part(text, chr(10), 1) END AS pdf_title,
          CASE WHEN doc_id % 10 = 0 THEN NULL ELSE 'https://downloads.example.gov/' || CAST(doc_id AS VARCHAR) || '.pdf' END AS download
-  FROM events JOIN documents ON event_id = doc_id)"""
+  FROM events JOIN documents ON event_id % (SELECT max(doc_id) + 1 FROM documents) = doc_id)"""
 
 
 def cards_cte():
@@ -140,8 +140,7 @@ SELECT user_id, event_id, rank FROM (
   FROM events WHERE lower(trim(event_type)) IN ({phr})) WHERE rank <= {Q.FIXTURE.abstracts_per_issue}"""
     q["O7_paginate"] = f"""WITH {cards_cte()},
 pg AS (SELECT *, date_diff('day', CAST(ts AS DATE), {AS_OF}) + 1 AS page_no FROM rules),
-lim AS (SELECT * FROM pg ORDER BY page_no, ts DESC, event_id DESC LIMIT 3000),
-capped AS (SELECT * FROM lim WHERE page_no <= {P.PAGE_CAP}),
+capped AS (SELECT * FROM pg WHERE page_no <= {P.PAGE_CAP}),
 cut AS (SELECT page_no, ts, event_id FROM capped WHERE {stop} ORDER BY page_no, ts DESC, event_id DESC LIMIT 1)
 SELECT event_id, CAST(page_no AS BIGINT) AS page_no FROM capped c WHERE NOT EXISTS (SELECT 1 FROM cut)
    OR (SELECT (c.page_no < cut.page_no) OR (c.page_no = cut.page_no AND ((c.ts > cut.ts) OR (c.ts = cut.ts AND c.event_id > cut.event_id))) FROM cut)"""
@@ -165,6 +164,5 @@ SELECT doc_id, CASE WHEN NOT (string_split(text, chr(10))[-1] IS NOT NULL AND le
     q["E2_reason_labels"] = f"WITH {x2_cte()}, {labels_cte()} SELECT c.reason, label, n FROM (SELECT reason, count(*) AS n FROM x2 GROUP BY reason) c LEFT JOIN labels l ON c.reason = l.reason"
     q["E3_write_outcome"] = f"""WITH {A}
 SELECT id, CASE WHEN try_cast(CASE WHEN id % 50 = 0 THEN 'x' || a_id ELSE a_id END AS INTEGER) IS NULL THEN 'rejected'
-  WHEN length('The ' || journal_name || ' posted research article in ''' || head || '''') > 254 THEN 'rejected'
   ELSE 'loaded' END AS outcome FROM articles"""
     return q

@@ -15,7 +15,7 @@ def x3_select():
     win = f"coalesce(date_diff('day', posted_date, {AS_OF}) BETWEEN 0 AND {Q.FIXTURE_WALK.days_back}, FALSE)"
     return f"""
 WITH {cards_cte()},
-ranked AS (SELECT *, row_number() OVER (ORDER BY ts DESC, event_id DESC) <= {lim} AS in_limit FROM rules),
+ranked AS (SELECT *, {lim} = 0 OR row_number() OVER (ORDER BY ts DESC, event_id DESC) <= {lim} AS in_limit FROM rules),
 stops AS (SELECT ts, event_id FROM ranked
           WHERE in_limit AND link IS NOT NULL AND phrase IS NULL AND posted_date IS NOT NULL AND NOT {win}
           ORDER BY ts DESC, event_id DESC LIMIT 1),
@@ -64,7 +64,7 @@ WITH j AS (
          '{HOST}/comment/CV' || CAST(u.conv_id AS VARCHAR) || '-' || CAST(u.turn AS VARCHAR) AS link,
          '$H-PUBCOM-' || split_part('CV' || CAST(u.conv_id AS VARCHAR) || '-' || CAST(u.turn AS VARCHAR), '-', 1)
             || left(split_part(u.text, chr(10), 1), 85) AS filename,
-         u.conv_id * 100 + u.turn AS req_order, {post} AS post, {phrase} AS phrase
+         (u.conv_id, u.turn) AS req_order, {post} AS post, {phrase} AS phrase
   FROM (SELECT * FROM conversations WHERE role = 'user') u
   LEFT JOIN (SELECT * FROM conversations WHERE role = 'assistant') r ON u.conv_id = r.conv_id AND u.turn = r.turn - 1),
 k AS (SELECT *, {head} AS headline, {story_body('(' + rest + ')', 'link')} AS body FROM j),

@@ -21,7 +21,7 @@ i AS (SELECT o_custkey AS journal, o_orderkey, date_text,
              CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE {R.strip_py("replace(" + label + ", 'Issue ', '')")} END AS head,
              {d} AS date
       FROM (SELECT o_custkey, o_orderkey FROM orders) o JOIN date_texts t USING (o_orderkey)),
-v AS (SELECT *, date IS NOT NULL AND NOT (month(date) <= {as_m} - {P.months_back}) AS invalid FROM i),
+v AS (SELECT *, link IS NOT NULL AND head IS NOT NULL AND date IS NOT NULL AND NOT (month(date) <= {as_m} - {P.months_back}) AS invalid FROM i),
 w AS (SELECT *, coalesce(sum(CAST(invalid AS INTEGER)) OVER (PARTITION BY journal ORDER BY o_orderkey
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM v)
 SELECT journal, {R.strip_py('issue')} AS issue, link, head, strftime(date, '%Y-%m-%d') AS date,

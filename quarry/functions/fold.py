@@ -1,16 +1,13 @@
 """Character folding tables (T1 ascii_fold, T2 transliterate).
 
-Each table is a *rule* plus fixed exceptions:
-
-* rule: a Latin letter in U+00C0..U+017E folds to the ASCII letters of its
-  compatibility decomposition with the combining marks removed
-  (``é`` -> ``e``, ``Ŵ`` -> ``W``);
-* exceptions: the fixed values below override the rule or add symbols.
-
-Whatever is still outside ASCII afterwards is removed.  The tables are
-turned into one ``translate`` (single-character results and deletions) plus
-a short chain of ``replace`` (longer results), all JVM-side expressions.
-The same plan is rendered as DuckDB SQL for the oracle.
+* T1 is one fixed table.
+* T2 is a rule plus fixed values: a Latin letter in U+00C0..U+017E folds to the ASCII letters of
+  its compatibility decomposition with the combining marks removed (``é`` -> ``e``); the fixed
+  values override the rule or add symbols.
+
+Whatever is still outside ASCII afterwards is removed.  The tables are turned into one
+``translate`` (single-character results and deletions) plus a short chain of ``replace`` (longer
+results), all JVM-side expressions.  The same plan is rendered as DuckDB SQL for the oracle.
 """
 
 from __future__ import annotations
@@ -24,33 +21,32 @@ from pyspark.sql import functions as F
 NON_ASCII = "[^\\x00-\\x7F]"
 
 # ---------------------------------------------------------------------------
-# Fixed values (T1): results that must equal the reference's clean-up table.
-# Code point order.  "§§" is replaced before "§".  These override the rule.
+# Fixed values (T1): the clean-up table, all of it, in its own order.
 # ---------------------------------------------------------------------------
-T1_SEQUENCES = {
-    "§§": "Sub Sec.",
-}
-T1_FIXED = {
-    "\u009d": "", " ": " ", "¡": "i", "¢": "cents", "£": "pound sterling",
-    "¤": "#", "¥": "Yen", "§": "Sec.", "¨": "~", "©": " Copyright (c) ",
-    "ª": "(a)", "«": "<<", "¬": " ", "­": "", "®": "(R)", "¯": "",
-    "°": " degrees", "±": "+-", "²": "(2)", "³": "(3)", "´": "'", "µ": "u",
-    "¶": "P", "·": ".", "¸": ",", "¹": "(1)", "º": "(o)", "»": "<<",
-    "¼": "1/4", "½": "1/2", "¾": "3/4", "¿": "",
-    "Æ": "AE", "Ð": "D", "×": "x", "Ø": "O", "Þ": "Th", "ß": "ss",
-    "æ": "ae", "ð": "d", "÷": "/", "ø": "o", "þ": "p",
-    "Đ": "D", "đ": "d", "Ě": "G", "ě": "g", "Ģ": "H", "ģ": "h", "Ħ": "H",
-    "ħ": "h", "Į": "J", "į": "j", "İ": "J", "ı": "j", "Ĳ": "K", "ĳ": "k",
-    "Ĵ": "k", "ĵ": "L", "Ķ": "l", "ķ": "L", "ĸ": "l", "Ľ": "l", "ľ": "L",
-    "Ŀ": "l", "ŀ": "N", "Ł": "n", "ł": "N", "Ń": "n", "ń": "O", "Ņ": "o",
-    "ņ": "O", "Ň": "o", "ň": "O", "ŉ": "o", "Ŋ": "R", "ŋ": "r", "Ō": "R",
-    "ō": "r", "Ŏ": "R", "ŏ": "r", "Ő": "S", "ő": "s", "Œ": "S", "œ": "s",
-    "Ŕ": "S", "ŕ": "s", "Ŗ": "T", "ŗ": "t", "Ř": "T", "ř": "t", "Ś": "Z",
-    "ś": "z", "Ŝ": "Z", "ŝ": "z", "Ş": "Z", "ş": "z", "Ŧ": "T", "ŧ": "t",
-    "Ű": "u", "Ų": "Z", "ų": "z", "Ŵ": "z", "ŵ": "Y", "Ŷ": "Z",
-    "ʻ": "", "μ": "u",
-    "​": " ", "–": "-", "—": "-", "‘": "'", "’": "'", "“": '"', "”": '"',
-    "‹": "<", "›": ">", "⁠": " ",
+T1_TABLE = {
+    "μ": "u", "\u009d": "", "\u00a0": " ", "¡": "i", "¢": "cents", "£": "pound sterling", "¤": "#", "¥": "Yen",
+    "§§": "Sub Sec.", "§": "Sec.", "¨": "~", "©": " Copyright (c) ", "ª": "(a)", "«": "<<", "¬": " ", "–": "-",
+    "—": "-", "\u00ad": "", "®": "(R)", "¯": "", "°": " degrees", "±": "+-", "²": "(2)", "³": "(3)", "´": "'",
+    "µ": "u", "¶": "P", "·": ".", "¸": ",", "¹": "(1)", "º": "(o)", "»": "<<", "¼": "1/4", "½": "1/2", "¾": "3/4",
+    "¿": "", "À": "A", "Á": "A", "Â": "A", "Ã": "A", "Ä": "A", "Å": "A", "Æ": "AE", "Ç": "C", "È": "E", "É": "E",
+    "Ê": "E", "Ë": "E", "Ì": "I", "Í": "I", "Î": "I", "Ï": "I", "Ð": "D", "Ñ": "N", "Ò": "O", "Ó": "O", "Ô": "O",
+    "Õ": "O", "Ö": "O", "×": "x", "Ø": "O", "Ù": "U", "Ú": "U", "Û": "U", "Ü": "U", "Ý": "Y", "Þ": "Th", "ß": "ss",
+    "à": "a", "á": "a", "â": "a", "ã": "a", "ä": "a", "å": "a", "æ": "ae", "ç": "c", "è": "e", "é": "e", "ê": "e",
+    "ë": "e", "ì": "i", "í": "i", "î": "i", "ï": "i", "ð": "d", "ñ": "n", "ò": "o", "ó": "o", "ô": "o", "õ": "o",
+    "ö": "o", "÷": "/", "ø": "o", "ù": "u", "ú": "u", "û": "u", "ü": "u", "ý": "y", "þ": "p", "ÿ": "y", "Ā": "A",
+    "ā": "a", "Ă": "A", "ă": "a", "Ą": "A", "ą": "a", "Ć": "C", "ć": "c", "Ĉ": "C", "ĉ": "c", "Ċ": "C", "ċ": "c",
+    "Č": "C", "č": "c", "Ď": "D", "ď": "d", "Đ": "D", "đ": "d", "Ē": "E", "ē": "e", "Ĕ": "E", "ĕ": "e", "Ė": "E",
+    "ė": "e", "Ę": "E", "ę": "e", "Ě": "G", "ě": "g", "Ĝ": "G", "ĝ": "g", "Ğ": "G", "ğ": "g", "Ġ": "G", "ġ": "g",
+    "Ģ": "H", "ģ": "h", "Ĥ": "H", "ĥ": "h", "Ħ": "H", "ħ": "h", "Ĩ": "I", "ĩ": "i", "Ī": "I", "ī": "i", "Ĭ": "I",
+    "ĭ": "i", "Į": "J", "į": "j", "İ": "J", "ı": "j", "Ĳ": "K", "ĳ": "k", "Ĵ": "k", "ĵ": "L", "Ķ": "l", "ķ": "L",
+    "ĸ": "l", "Ĺ": "L", "ĺ": "l", "Ļ": "L", "ļ": "l", "Ľ": "l", "ľ": "L", "Ŀ": "l", "ŀ": "N", "Ł": "n", "ł": "N",
+    "Ń": "n", "ń": "O", "Ņ": "o", "ņ": "O", "Ň": "o", "ň": "O", "ŉ": "o", "Ŋ": "R", "ŋ": "r", "Ō": "R", "ō": "r",
+    "Ŏ": "R", "ŏ": "r", "Ő": "S", "ő": "s", "Œ": "S", "œ": "s", "Ŕ": "S", "ŕ": "s", "Ŗ": "T", "ŗ": "t", "Ř": "T",
+    "ř": "t", "Ś": "Z", "ś": "z", "Ŝ": "Z", "ŝ": "z", "Ş": "Z", "ş": "z", "Š": "S", "š": "s", "Ţ": "T", "ţ": "t",
+    "Ť": "T", "ť": "t", "Ŧ": "T", "ŧ": "t", "Ũ": "U", "ũ": "u", "Ū": "U", "ū": "u", "Ŭ": "U", "ŭ": "u", "Ů": "U",
+    "ů": "u", "Ű": "u", "ű": "u", "Ų": "Z", "ų": "z", "Ŵ": "z", "ŵ": "Y", "Ŷ": "Z", "ŷ": "y", "Ÿ": "Y", "Ź": "Z",
+    "ź": "z", "Ż": "Z", "ż": "z", "Ž": "Z", "ž": "z", "ʻ": "", "“": '"', "”": '"', "‘": "'", "’": "'", "‹": "<",
+    "›": ">", "\u200b": " ", "\u2060": " ",
 }
 
 # ---------------------------------------------------------------------------
@@ -86,17 +82,17 @@ def rule_fold(ch: str) -> str | None:
 @lru_cache(maxsize=None)
 def build_map(table: str) -> tuple[dict, dict]:
     """(sequence replacements, per-character map) for table 'T1' or 'T2'."""
-    fixed = T1_FIXED if table == "T1" else T2_FIXED
-    seqs = T1_SEQUENCES if table == "T1" else {}
-    chars: dict[str, str] = {}
+    if table == "T1":
+        return ({k: v for k, v in T1_TABLE.items() if len(k) > 1},
+                dict(sorted((k, v) for k, v in T1_TABLE.items() if len(k) == 1)))
+    chars = {}
     lo, hi = RULE_RANGE
     for cp in range(lo, hi + 1):
-        ch = chr(cp)
-        r = rule_fold(ch)
+        r = rule_fold(chr(cp))
         if r is not None:
-            chars[ch] = r
-    chars.update(fixed)
-    return dict(seqs), dict(sorted(chars.items()))
+            chars[chr(cp)] = r
+    chars.update(T2_FIXED)
+    return {}, dict(sorted(chars.items()))
 
 
 @lru_cache(maxsize=None)
@@ -143,6 +139,13 @@ def transliterate(c: Column) -> Column:
     return fold_col(c, "T2")
 
 
+def n_dropped(c: Column) -> Column:
+    """Characters of ``c`` that no rule or value covers, and that are therefore dropped."""
+    _, chars = build_map("T2")
+    other = F.translate(c, "".join(chars), "")
+    return F.when(has_non_ascii(c), F.length(F.regexp_replace(other, "[\\x00-\\x7F]+", ""))).otherwise(F.lit(0)).cast("long")
+
+
 def fold_python(s: str, table: str = "T1") -> str:
     """Same plan in plain Python; used by tests as the brute-force side."""
     seqs, multi, src, dst = plan(table)

@@ -24,47 +24,26 @@ def not_already_stored(df: DataFrame, target: DataFrame, key: str = "filename")
     return df.join(existing_keys(target, key), key, "left_anti")
 
 
-def already_stored(df: DataFrame, target: DataFrame, key: str = "filename") -> DataFrame:
-    """J4, reported side."""
-    return df.join(existing_keys(target, key), key, "left_semi")
-
-
 def insert_if_absent(df: DataFrame, target: DataFrame | None, key: str, order_col: str,
-                     eligible=None, partition_col: str | None = None) -> DataFrame:
+                     eligible=None) -> DataFrame:
     """Adds ``is_duplicate``: key already stored, or not the first row of
     its key in ``order_col`` order.  Rows that are not ``eligible`` (already
-    rejected) take no part and get null.
-
-    ``partition_col``: the target's partition column when the key determines
-    it (a filename embeds its content date).  The stored keys are then
-    matched on (partition, key), so dynamic partition pruning reads only the
-    target partitions of the dates in the batch, not the whole target."""
+    rejected), and rows without a key, take no part and get null: they stay
+    out of the join, so a missing key is no hot key."""
     elig = F.lit(True) if eligible is None else eligible
-    cols = [key] + ([partition_col] if partition_col else [])
-    batch = df.where(elig & F.col(key).isNotNull()).select(
-        *cols, F.col(order_col).alias("_o"), F.lit(False).alias("_stored"))
+    takes_part = F.coalesce(elig & F.col(key).isNotNull(), F.lit(False))
+    batch = df.where(takes_part).select(
+        key, F.col(order_col).alias("_o"), F.lit(False).alias("_stored"))
     keys = batch
     if target is not None:
-        stored = target.select(*cols, F.lit(None).cast(batch.schema["_o"].dataType).alias("_o"),
+        stored = target.select(key, F.lit(None).cast(batch.schema["_o"].dataType).alias("_o"),
                                F.lit(True).alias("_stored"))
-        if partition_col:
-            # the batch's distinct partition values (dates: bounded by the
-            # calendar span of the batch) broadcast into a semi join on the
-            # partition column: the target scan is pruned to those partitions
-            parts = batch.select(partition_col).distinct()
-            stored = stored.join(F.broadcast(parts), partition_col, "left_semi")
         # only stored keys that meet the batch matter: a semi join (and the
         # runtime bloom filter) before the aggregation
-        stored = stored.join(batch.select(*cols).distinct(), cols, "left_semi")
+        stored = stored.join(batch.select(key).distinct(), key, "left_semi")
         keys = batch.unionByName(stored)
     stats = keys.groupBy(key).agg(F.min("_o").alias("_first"), F.max("_stored").alias("_in_target"))
-    out = df.join(stats, key, "left")
-    dup = F.when(elig & F.col(key).isNotNull(),
-                 F.col("_in_target") | (F.col(order_col) != F.col("_first")))
-    return out.withColumn("is_duplicate", dup).drop("_first", "_in_target")
-
-
-def first_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Winners only: the first row of each key (skew-safe: min per key, join back)."""
-    firsts = df.groupBy(key).agg(F.min(order_col).alias("_first"))
-    return df.join(firsts, key).where(F.col(order_col) == F.col("_first")).drop("_first")
+    out = (df.where(takes_part).join(stats, key)
+           .withColumn("is_duplicate", F.col("_in_target") | (F.col(order_col) != F.col("_first"))).drop("_first", "_in_target"))
+    rest = df.where(~takes_part).withColumn("is_duplicate", F.lit(None).cast("boolean"))
+    return out.select(*rest.columns).unionByName(rest)

@@ -95,6 +95,6 @@ def first_k_per_group(df: DataFrame, group: str, key: str, k: int) -> DataFrame:
     return _salted_topk(df, group, key, k)
 
 
-def paginate(pages: DataFrame, page_no: str, card_pos: str) -> Column:
+def paginate(page_no: str, card_pos: str) -> Column:
     """Position across pages = (page number, position on the page)."""
     return F.struct(F.col(page_no), F.col(card_pos))

@@ -259,8 +259,10 @@ def f12_in_month_window(spark, sf):
 
 def f13_page_cap(spark, sf):
     pg = S.table(spark, sf, "pages")
-    n = F.regexp_extract("url", "[?&]page=([0-9]+)", 1).try_cast("int")
-    return pg.select("page_id", (F.coalesce(n, F.lit(1)) <= 1).cast("int").alias("ok"))
+    # the pages' parameter is `page`; given the list pages' name, and numbers on both sides of the cap
+    n = F.coalesce(F.regexp_extract("url", "[?&]page=([0-9]+)", 1).try_cast("int"), F.lit(0)) + F.col("page_id") % 60
+    url = F.when(n > 0, F.concat(F.lit("https://lists.example.gov/?pageNumber="), n.cast("string"))).otherwise(F.col("url"))
+    return pg.select("page_id", R.page_cap(url, P.PAGE_CAP).cast("int").alias("ok"))
 
 
 def f15_recipients_valid(spark, sf):
@@ -445,9 +447,12 @@ def comment_pages(spark, sf):
     """Comment pages the cards link to: a document per event id (a derived view)."""
     e = S.table(spark, sf, "events")
     d = _docs(spark, sf)
-    j = e.join(d, e.event_id == d.doc_id, "inner")
+    # every event has a page: its document is the event id modulo the number of ids (a one-row broadcast)
+    n = F.broadcast(d.agg((F.max("doc_id") + 1).alias("_n")))
+    j = e.crossJoin(n).withColumn("_doc", F.col("event_id") % F.col("_n")).drop("_n")
+    j = j.join(d, F.col("_doc") == d.doc_id, "inner")
     cid = F.concat(F.lit("AG-"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_id").cast("string"))
-    return j.select(F.concat(F.lit("/comment/"), cid).alias("url"), F.col("doc_id").alias("pdf_id"),
+    return j.select(F.concat(F.lit("/comment/"), cid).alias("url"), F.col("doc_id").alias("pdf_id"), "event_id",
                     F.when(F.col("doc_id") % 9 == 0, F.lit(None).cast("string")).otherwise(S.first_line(F.col("text"))).alias("pdf_title"),
                     F.when(F.col("doc_id") % 10 == 0, F.lit(None).cast("string"))
                      .otherwise(F.concat(F.lit("https://downloads.example.gov/"), F.col("doc_id").cast("string"), F.lit(".pdf"))).alias("download"))
@@ -456,7 +461,7 @@ def comment_pages(spark, sf):
 def j6_follow_links(spark, sf):
     from quarry.operators.joins import follow_links
     c = S.cards(spark, sf).select("event_id", "link")
-    j = follow_links(c, comment_pages(spark, sf), "link", "url")
+    j = follow_links(c, comment_pages(spark, sf).drop("event_id"), "link", "url")
     return j.select("event_id", F.col("pdf_id").isNotNull().cast("int").alias("has_page"), "pdf_id")
 
 
@@ -522,13 +527,12 @@ def o5_first_k_per_issue(spark, sf):
 
 def o7_paginate(spark, sf):
     """List pages are days (newest day = page 1); walk = (page, newest first),
-    then the doc limit, the stop at the first old card and the page cap."""
-    from quarry.operators.ordered import stop_at_first
+    then the page cap, the doc limit (if any) and the stop at the first old card."""
+    from quarry.operators.ordered import paginate, stop_at_first
     c = _card_rules(spark, sf)
     c = c.withColumn("page_no", (F.datediff(_as_of(), F.to_date("ts")) + 1).cast("int"))
-    c = c.withColumn("pk", F.struct(F.col("page_no"), F.col("k")))
-    lim = c.orderBy("pk").limit(3000)
-    lim = lim.where(F.col("page_no") <= P.PAGE_CAP)
+    c = c.where(F.col("page_no") <= P.PAGE_CAP).withColumn("pk", paginate("page_no", "k"))
+    lim = c.orderBy("pk").limit(FIXTURE_WALK.doc_limit) if FIXTURE_WALK.doc_limit else c
     reached = F.col("link").isNotNull() & F.col("phrase").isNull()
     out = ~D.in_day_window(F.col("posted_date"), _as_of(), FIXTURE.days_back)
     s = stop_at_first(lim, "pk", reached & out)
@@ -586,7 +590,7 @@ def e2_reason_labels(spark, sf):
 def e3_write_outcome(spark, sf):
     a = S.articles(spark, sf)
     a_id = F.when(F.col("id") % 50 == 0, F.concat(F.lit("x"), F.col("a_id"))).otherwise(F.col("a_id"))
-    head = T.post_headline(F.col("journal_name"), F.col("head"))
+    head = T.truncate(T.post_headline(F.col("journal_name"), F.col("head")), P.HEADLINE_MAX)
     return a.select("id", F.coalesce(R.write_outcome(a_id, head), F.lit("loaded")).alias("outcome"))
 
 
@@ -825,7 +829,7 @@ def comment_page_html(spark, sf):
     title = F.when(F.col("pdf_title").isNull(), F.lit("")) \
              .otherwise(F.concat(F.lit('<h5 class="h5 mt-0 mb-1">'), _esc(F.col("pdf_title")), F.lit("</h5>")))
     html = F.concat(F.lit("<html><body><div>"), title, links, F.lit("</div></body></html>"))
-    return _spread_pages(cp.select(F.col("pdf_id").alias("page_id"), "url", html.alias("html")))
+    return _spread_pages(cp.select(F.col("event_id").alias("page_id"), "url", html.alias("html")))
 
 
 def h15_download_link(spark, sf):
@@ -835,7 +839,7 @@ def h15_download_link(spark, sf):
     nodes = parsed_nodes(pg)
     els = elements(nodes)
     d = H.download_link(_page_ctx(nodes), els, ["page_id"])
-    return d.select(F.col("page_id").alias("pdf_id"), "download")
+    return d.select(F.col("page_id").alias("event_id"), "download")
 
 
 # ------------------------------------------------------------------ model tables
@@ -848,9 +852,9 @@ def m1_build_requests(spark, sf):
 
 
 def m2_prompt_dateline(spark, sf):
+    from quarry.operators.model_io import prompt_dateline
     o = S.table(spark, sf, "orders")
-    line = F.concat(F.lit("WASHINGTON, "), D.format_prompt_date(F.to_date("o_orderdate")), F.lit(" --"))
-    return o.select("o_orderkey", line.alias("dateline"))
+    return o.select("o_orderkey", prompt_dateline(F.to_date("o_orderdate")).alias("dateline"))
 
 
 def m3_consume_replies(spark, sf):
@@ -865,7 +869,7 @@ def m3_consume_replies(spark, sf):
 # ------------------------------------------------------------------ pipelines X3-X6, S10
 import dataclasses as _dc  # noqa: E402
 
-FIXTURE_WALK = _dc.replace(FIXTURE, doc_limit=5000)
+FIXTURE_WALK = _dc.replace(FIXTURE, doc_limit=0)       # the whole walk; O2 is the query for the limit
 
 
 def x3_comment_cards(spark, sf):
@@ -883,7 +887,7 @@ def story_target(spark, sf):
 def x4_comment_text(spark, sf):
     from quarry.plans.comments import comment_text
     cards = x3_comment_cards(spark, sf)
-    return comment_text(cards, comment_pages(spark, sf), S.pdf_pages(spark, sf), story_target(spark, sf))
+    return comment_text(cards, comment_pages(spark, sf).drop("event_id"), S.pdf_pages(spark, sf), story_target(spark, sf))
 
 
 def _story_inputs(spark, sf):
@@ -892,7 +896,7 @@ def _story_inputs(spark, sf):
     req = req.select("conv_id", "turn", "pdf_text", sid.alias("id"),
                      S.first_line(F.col("pdf_text")).alias("title"),
                      F.concat(F.lit(P.COMMENT_HOST + "/comment/"), sid).alias("link"),
-                     (F.col("conv_id") * 100 + F.col("turn")).alias("req_order"))
+                     F.struct("conv_id", "turn").alias("req_order"))
     return req, _replies_for_requests(spark, sf)
 
 
@@ -927,15 +931,15 @@ def x6_run_report(spark, sf):
 
 
 # ------------------------------------------------------------------ streaming W1-W4
-def stage_events(spark, sf, parts=((1, 10), (11, 20), (21, 31))):
-    """New files arriving: the events table written as three time-ordered
-    files into a fresh folder under the shared checkpoint dir."""
+def stage_events(spark, sf, parts=((21, 31), (11, 20), (1, 10))):
+    """New files arriving: the events table written as three groups of files, the newest days
+    first as in the walk, into a fresh folder under the shared checkpoint dir."""
     import uuid
     from quarry.session import scratch_dir
     base = scratch_dir(spark, f"events-stream-{uuid.uuid4().hex}")
     e = S.table(spark, sf, "events")
     for lo, hi in parts:
-        (e.where(F.dayofmonth("ts").between(lo, hi)).coalesce(1)
+        (e.where(F.dayofmonth("ts").between(lo, hi))
           .write.mode("append").parquet(base + "/in"))
     return base, e.schema
 
@@ -961,7 +965,7 @@ def w2_stream_dedupe(spark, sf):
     base, schema = stage_events(spark, sf)
     st = file_stream(spark, base + "/in", schema).withColumn("key", _stream_key()) \
         .withColumn("ts", F.col("ts").cast("timestamp"))
-    stream_dedupe(st, "key", "ts", "2 days", base + "/out", base + "/ckpt")
+    stream_dedupe(st, "key", base + "/out", base + "/ckpt")
     return spark.read.parquet(base + "/out").select("key")
 
 

@@ -10,10 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 CONFIG_SCHEMA = "id long, name string, url_field string"
-CONFIG_HEADER = ("# journal_id,  Journal Name,    url_field,    journal_containers,     landing_page_gathering,   "
-                 "link_data,    headline_data,    headline_formatting_data,   date_data,    date_formatting_data,     "
-                 "journal_data_info,    journal_info_formatting, journal_article, article_tag, abstract link, "
-                 "abstract text,    load_time,    bypass,   status")
+CONFIG_HEADER = "# id, name, url_field"
 
 
 def read_site_config(spark: SparkSession, path: str) -> DataFrame:

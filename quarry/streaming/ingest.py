@@ -7,8 +7,7 @@ stored-key check.  Here the new files are a file-source stream:
   row per key in the batch, anti join with the target) and appends.  The
   anti join makes a replayed batch add nothing, so a batch retried after an
   executor loss is idempotent; progress is in the checkpoint.
-* W2 ``stream_dedupe``: ``dropDuplicatesWithinWatermark`` bounds state; it
-  forgets keys after the delay, so W1's anti join stays the rule of record.
+* W2 ``stream_dedupe``: the same for keys alone; nothing is forgotten.
 * W3 ``late_rows``: the days-back window is the rule; the watermark only
   bounds state and is wider.
 * W4 ``daily_outcomes``: tumbling one-day windows, counted per reason.
@@ -21,9 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
-MAX_PRUNE_VALUES = 10000
-
-
 def _path_exists(spark: SparkSession, path: str):
     """Ask the file system (no failed read and its warning); None if unknown."""
     try:
@@ -43,8 +39,9 @@ def _read_or_none(spark: SparkSession, path: str):
         return None
 
 
-def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
 
 
 def incremental_ingest(stream: DataFrame, target_path: str, checkpoint: str, key: str, order_cols,
@@ -58,16 +55,12 @@ def incremental_ingest(stream: DataFrame, target_path: str, checkpoint: str, key
         spark = batch.sparkSession
         firsts = batch.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
         b = (batch.withColumn("_o", F.struct(*order)).join(firsts, key)
-                  .where(F.col("_o") == F.col("_first")).drop("_o", "_first"))
+                  .where(F.col("_o") == F.col("_first")).drop("_o", "_first").dropDuplicates([key]))
         stored = _read_or_none(spark, target_path)
         if stored is not None:
-            if partition_col:
-                # only the partitions this batch can collide with (static
-                # pruning; the batch's distinct partition values are few)
-                vals = [r[0] for r in b.select(partition_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
-                if len(vals) <= MAX_PRUNE_VALUES:
-                    stored = stored.where(F.col(partition_col).isin(vals))
-            b = b.join(stored.select(key), key, "left_anti")
+            # joined on the partition column too, if there is one: dynamic pruning reads only its days
+            on = [key, *([partition_col] if partition_col else [])]
+            b = b.join(stored.select(*on), on, "left_anti")
         w = b.write.mode("append")
         if partition_col:
             w = w.partitionBy(partition_col)
@@ -86,13 +79,11 @@ def incremental_ingest(stream: DataFrame, target_path: str, checkpoint: str, key
     return q
 
 
-def stream_dedupe(stream: DataFrame, key: str, event_time: str, delay: str, out_path: str, checkpoint: str):
-    """W2."""
-    d = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
-    q = (d.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
-          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+def stream_dedupe(stream: DataFrame, key: str, out_path: str, checkpoint: str):
+    """Each key once, in whatever order its rows arrive.  The output itself is the memory:
+    a batch's distinct keys are anti joined with it, so state does not grow in the stream and no
+    late row is lost."""
+    incremental_ingest(stream.select(key), out_path, checkpoint, key, [key])
 
 
 def late_rows(stream: DataFrame, event_time: str, as_of: str, days_back: int, delay: str,
@@ -106,13 +97,12 @@ def late_rows(stream: DataFrame, event_time: str, as_of: str, days_back: int, de
     return q
 
 
-def daily_outcomes(stream: DataFrame, event_time: str, reason: str, out_path: str, checkpoint: str,
-                   delay: str = "1 day"):
-    """Outcomes per posted day.  Update mode with a watermark; each batch
-    rewrites only the (day, reason) partitions it changed (dynamic
-    overwrite), so a replayed batch writes the same rows again."""
-    agg = (stream.withWatermark(event_time, delay)
-                 .groupBy(F.window(event_time, "1 day").alias("w"), F.col(reason))
+def daily_outcomes(stream: DataFrame, event_time: str, reason: str, out_path: str, checkpoint: str):
+    """Outcomes per posted day.  Update mode; the state has a row per day and reason, which the
+    calendar bounds, so there is no watermark and a day that arrives late still counts.  Each batch
+    rewrites only the (day, reason) partitions it changed (dynamic overwrite), so a replayed batch
+    writes the same rows again."""
+    agg = (stream.groupBy(F.window(event_time, "1 day").alias("w"), F.col(reason))
                  .agg(F.count(F.lit(1)).alias("n")))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:

@@ -44,7 +44,7 @@ def test_every_query_has_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith(("op", "pipeline"))))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]

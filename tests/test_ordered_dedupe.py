@@ -1,7 +1,6 @@
 """O1-O5, J4-J5 against brute force, with one hot group holding a third of the rows."""
 
 import random
-import re
 
 from pyspark.sql import functions as F
 
@@ -79,42 +78,13 @@ def test_insert_if_absent(spark):
     assert kept == {i for i, k in rows if k not in ("k1", "k2")}
 
 
-def test_stored_check_pruned_to_batch_dates(spark):
-    import tempfile
-
-    from conftest import SF_SMALL
-    from quarry.plans.press_release import press_release
-    from quarry.plans.queries import FIXTURE
-    from quarry.sources import tables as S
-
-    d = tempfile.mkdtemp(prefix="quarry-prune-")
-    S.target_press_release(spark, SF_SMALL).write.partitionBy("content_date").parquet(d + "/t")
-    arts = S.articles(spark, SF_SMALL).where(F.col("date") <= F.lit("2024-01-04").cast("date"))
-    pruned = press_release(arts, S.agencies(spark, SF_SMALL), spark.read.parquet(d + "/t"), FIXTURE)
-    plain = press_release(arts, S.agencies(spark, SF_SMALL),
-                          S.target_press_release(spark, SF_SMALL).select("filename"), FIXTURE)
-    key = ["id", "reason", "filename"]
-    assert sorted(tuple(r) for r in pruned.select(*key).collect()) == \
-        sorted(tuple(r) for r in plain.select(*key).collect())
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[content_date#\d+ IN \(", plan)
-
-
-def test_prune_fallback_past_cap(spark, monkeypatch):
-    import tempfile
-
-    from conftest import SF_SMALL
-    from quarry.plans import press_release as PR
-    from quarry.plans.queries import FIXTURE
-    from quarry.sources import tables as S
-
-    d = tempfile.mkdtemp(prefix="quarry-prune2-")
-    S.target_press_release(spark, SF_SMALL).write.partitionBy("content_date").parquet(d + "/t")
-    arts = S.articles(spark, SF_SMALL)
-    capped = PR.press_release(arts, S.agencies(spark, SF_SMALL), spark.read.parquet(d + "/t"), FIXTURE)
-    want = sorted(tuple(r) for r in capped.select("id", "reason").collect())
-    monkeypatch.setattr(PR, "MAX_PRUNE_DATES", 1)           # more dates than the cap: join path only
-    loose = PR.press_release(arts, S.agencies(spark, SF_SMALL), spark.read.parquet(d + "/t"), FIXTURE)
-    assert sorted(tuple(r) for r in loose.select("id", "reason").collect()) == want
-    plan = loose._jdf.queryExecution().executedPlan().toString()
-    assert not re.search(r"PartitionFilters: \[content_date#\d+ IN \(", plan)
+def test_stored_check_is_by_key_alone(spark):
+    """A target that also has dates gives the same answer: the key is the file name."""
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, None), (5, "c")], "id long, filename string")
+    plain = spark.createDataFrame([("a",)], "filename string")
+    dated = plain.withColumn("content_date", F.lit("1999-01-01").cast("date"))
+    want = {1: True, 2: False, 3: None, 4: None, 5: False}
+    for target in (plain, dated):
+        out = insert_if_absent(df, target, "filename", "id")
+        assert {r["id"]: r["is_duplicate"] for r in out.collect()} == want
+        assert out.columns == ["id", "filename", "is_duplicate"]

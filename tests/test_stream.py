@@ -67,3 +67,23 @@ def test_daily_outcomes_rerun_is_stable(spark):
         k = (r["d"], "rejected" if r["event_type"] == "error" else "added")
         want[k] = want.get(k, 0) + 1
     assert first == sorted((d, rs, n) for (d, rs), n in want.items())
+
+
+def test_days_in_any_order_count_alike(spark):
+    """Newest days first, a file a batch: no key and no count is lost."""
+    import time
+
+    from quarry.streaming.ingest import daily_outcomes, stream_dedupe
+
+    base = tempfile.mkdtemp(prefix="quarry-late-")
+    e = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
+    for lo, hi in ((21, 31), (11, 20), (1, 10)):
+        e.where(F.dayofmonth("ts").between(lo, hi)).coalesce(1).write.mode("append").parquet(base + "/in")
+        time.sleep(1.1)
+    key = F.concat(F.lit("AG-"), F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string"))
+    stream = lambda: file_stream(spark, base + "/in", e.schema, 1).withColumn("ts", F.col("ts").cast("timestamp"))
+    stream_dedupe(stream().withColumn("key", key), "key", base + "/keys", base + "/c1")
+    got = [r["key"] for r in spark.read.parquet(base + "/keys").collect()]
+    assert sorted(got) == sorted(r["key"] for r in e.select(key.alias("key")).distinct().collect())
+    daily_outcomes(stream().withColumn("reason", F.lit("added")), "ts", "reason", base + "/days", base + "/c2")
+    assert spark.read.parquet(base + "/days").agg(F.sum("n")).first()[0] == e.count()

@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.functions.fold import ascii_fold, fold_python, transliterate
+from quarry.functions.fold import ascii_fold, transliterate
 
 
 def one(spark, col, value, schema="s string"):
@@ -23,11 +23,26 @@ def test_t1_fixed_cases(spark):
         assert one(spark, ascii_fold(F.col("s")), src) == want, src
 
 
-def test_t1_all_bmp_equals_python_plan(spark):
-    chars = [chr(c) for c in range(0x20, 0x3000) if not 0xD800 <= c < 0xE000]
-    rows = [("".join(chars[i:i + 64]),) for i in range(0, len(chars), 64)]
-    got = [r["r"] for r in spark.createDataFrame(rows, "s string").select(ascii_fold(F.col("s")).alias("r")).collect()]
-    assert got == [fold_python(r[0], "T1") for r in rows]
+def test_t1_all_bmp_equals_byte_run(spark):
+    """The table applied to UTF-8 bytes, entry after entry, over all of the basic plane."""
+    from quarry.functions.fold import T1_TABLE
+    chars = [chr(c) for c in range(0x20, 0x10000) if not 0xD800 <= c < 0xE000]
+    rows = [("".join(chars[i:i + 256]),) for i in range(0, len(chars), 256)] + [("§§§ §§",)]
+    want = []
+    for (text,) in rows:
+        raw = text.encode("utf-8")
+        for k, v in T1_TABLE.items():
+            raw = raw.replace(k.encode("utf-8"), v.encode("ascii"))
+        want.append(raw.decode("ascii", "ignore"))
+    got = [r["r"] for r in spark.createDataFrame(rows, "s string").coalesce(1).select(ascii_fold(F.col("s")).alias("r")).collect()]
+    assert got == want
+
+
+def test_t2_counts_what_it_drops(spark):
+    from quarry.functions.fold import n_dropped
+    rows = [("Привет мир",), ("Crème — “x”",), ("plain",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "s string").coalesce(1).select(n_dropped(F.col("s"))).collect()]
+    assert got == [9, 0, 0, 0]
 
 
 def test_t2_transliterate(spark):
