@@ -9,6 +9,7 @@ is unpacked to disk.
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 import struct
 import uuid
@@ -24,6 +25,7 @@ from quarry.llm.common import drop_clashing, scratch_path, written
 MIN_REVISIT_BYTES = 100
 ROLL_BYTES = 64 << 20            # an archive is closed once its records pass this size
 BATCH_BYTES = 8 << 20            # payload bytes in a batch of records read back
+RECORDS_A_TASK = 4000           # records that a task reads back
 ADDED = ("payload_bytes", "payload_digest", "record_type", "refers_to")
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.tsv"
 
@@ -285,11 +287,17 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     payload_digest, payload (null for revisits).
 
     One stage reads directories and indexes and hands out blocks of 1,000 ranges; after a shuffle
-    of those, a second reads the ranges, so one large archive is read by many tasks.  A response's
-    digest is checked against its payload.
+    of those, a second reads the ranges, so one large archive is read by many tasks.  With the
+    column records, the number of tasks follows the number of records; the blocks themselves are
+    too small for Spark to tell.  A response's digest is checked against its payload.
     """
     places = archives.select("archive").mapInArrow(_locate, _PLACES)
-    return places.repartition("archive", "first").mapInArrow(_read(with_payload), _RECORD)
+    if "records" in archives.columns:
+        records = archives.agg(F.sum("records")).first()[0] or 0
+        places = places.repartition(max(1, math.ceil(records / RECORDS_A_TASK)), "archive", "first")
+    else:
+        places = places.repartition("archive", "first")
+    return places.mapInArrow(_read(with_payload), _RECORD)
 
 
 def op6_warc_zip_archives(spark, sf_dir: str) -> DataFrame:
