@@ -13,9 +13,10 @@ from quarry.llm.common import written
 #: fixed masks over 8 word positions, 1 compared and 0 ignored.  Together they hit any 14 words
 #: with two substitutions and any 18 with three but for one pattern in a thousand
 MASKS = ("11011011", "11101011", "10110111", "11100111")
-MIN_MATCHED = 12          # words that must agree in an overlap
+MIN_MATCHED = 12          # words that must agree in an overlap, or
+MIN_ITEM_SHARE = 60       # percent of a shorter item's words
 MIN_SHARE = 75            # percent of the overlap's words that must agree
-MISMATCH = 3              # what a differing word costs while an overlap is extended; an equal one gains 1
+MISMATCH = 2              # what a differing word costs while an overlap is extended; an equal one gains 1
 FILTER_BITS = 24          # the bit filter of test seeds has 2**FILTER_BITS bits, whatever their number
 
 
@@ -84,11 +85,16 @@ def best_overlap(a: np.ndarray, b: np.ndarray, shift: int):
     same = a[lo:hi] == b[lo + shift: hi + shift]
     total = np.concatenate([[0], np.cumsum(np.where(same, 1, -MISMATCH))])
     low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    begin = int(np.flatnonzero(total[: end + 1] == low[end])[-1])
+    gain = total - low
+    end = int(np.flatnonzero(gain == gain.max())[-1])              # of equal sums the longest stretch
+    begin = int(np.flatnonzero(total[: end + 1] == low[end])[0])
     return lo + begin, end - begin, int(same[begin:end].sum())
 
 
+def words_needed(item_words: int) -> int:
+    return min(MIN_MATCHED, -(-MIN_ITEM_SHARE * item_words // 100))
+
+
 _PAIR = "doc_id long, item_id long, matched long, overlap long, item_words long, doc_begin long"
 
 
@@ -102,7 +108,7 @@ def _verify(batches):
             a = T.bare_word_hashes(items.slice(r, 1))[0]
             best = max((best_overlap(a, b, s)[::-1] + (s,) for s in shifts[r].as_py()), default=(0, 0, 0, 0))
             matched, length, begin, shift = best
-            if matched >= min(MIN_MATCHED, a.size) and 100 * matched >= MIN_SHARE * length:
+            if matched >= words_needed(a.size) and 100 * matched >= MIN_SHARE * length:
                 found.append((batch.column("doc_id")[r].as_py(), batch.column("item_id")[r].as_py(), matched, length, a.size, begin + shift))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)],
@@ -119,8 +125,8 @@ def leaks(docs: DataFrame, tests: DataFrame) -> DataFrame:
     every place; the compared words are hashed, the ignored ones may differ.  Seeds of documents
     pass a bit filter of fixed size (false passes end in the join), join the test seeds on the
     hash, and give shifts between document and item.  Around each shift the best stretch is
-    verified on whole texts: MIN_MATCHED words agree (all words of a shorter item), MIN_SHARE
-    percent of the stretch.
+    verified on whole texts: MIN_MATCHED words agree (MIN_ITEM_SHARE percent of a shorter
+    item), and MIN_SHARE percent of the stretch.
 
     Null and empty texts have no seeds, nor have texts under the masks' width.  Rows without an
     id are left out.  Rows that share an id each count, and the best overlap is given.  Empty
