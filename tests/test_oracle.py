@@ -41,7 +41,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    own = lambda names: {n for n in names if not n.startswith(("op", "pipeline"))}
+    assert own(E.queries()) == own(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith(("op", "pipeline"))))
