@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import words, written
 
-SHINGLE = 5                 # words in a shingle; shorter lines are left alone
+SHINGLE = 5                 # words in a shingle; a shorter line has its whole word sequence as its one item
 #: similarity of 4/5 or more, in integers
 UP, DOWN = 4, 5
 BUCKETS = 16                # rarity is counted over 2**BUCKETS buckets of shingle hashes
@@ -20,14 +20,15 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_key"), F.posexplode_outer(F.split(text, "\n")).alias("line_no", "line"))
 
 
-def _shingled(lines: DataFrame) -> DataFrame:
-    """``lines`` of five words and more with ``items``, their distinct shingle hashes.
+def _shingled(lines: DataFrame, shortest: int) -> DataFrame:
+    """``lines`` of ``shortest`` words and more with ``items``, their distinct shingle hashes.
 
     Nothing may filter on ``items``: the optimizer would move that filter below, and then split the
     line anew for every shingle.  A plain explode adds such a filter, the outer one does not.
     """
-    w = lines.withColumn("_w", words(F.col("line"))).drop("line").where(F.size("_w") >= SHINGLE)
-    grams = F.transform(F.sequence(F.lit(1), F.size("_w") - (SHINGLE - 1)), lambda i: F.xxhash64(F.slice("_w", i, SHINGLE)))
+    w = lines.withColumn("_w", words(F.col("line"))).drop("line").where(F.size("_w") >= shortest)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - (SHINGLE - 1), F.lit(1)))
+    grams = F.transform(starts, lambda i: F.xxhash64(F.slice("_w", i, SHINGLE)))
     return w.withColumn("items", F.array_distinct(grams)).drop("_w")
 
 
@@ -84,20 +85,21 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("x._key", "x.line_no").distinct())
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, shortest: int = SHINGLE) -> DataFrame:
     """(_key, line_no) of each line that is at least 4/5 alike an earlier line of the corpus.
 
     Lines are compared as sets of five-word shingles (Jaccard), all against all, on the input as
-    it is: what an earlier line resembles does not matter.  Equal sets form a class that its first
+    it is: what an earlier line resembles does not matter.  Lines of fewer than ``shortest`` words
+    are left alone; OP2_SQL leaves alone those of fewer than five.  Equal sets form a class that its first
     line stands for.  Each class gives the rarest items of its set (the prefix any similar set
     must share); those that no other class gives end there.  First every class meets the earliest
     class at each of its items, which settles large groups of near copies in one step; classes
     still open then meet all earlier classes at their items.
     """
     plain = docs.select("doc_id", "text")
-    ranks = _rarity(_shingled(_lines(plain)))
+    ranks = _rarity(_shingled(_lines(plain), shortest))
     n = F.size("items")
-    base = _shingled(_lines(plain)).withColumn("items", _ordered(F.col("items"), ranks))
+    base = _shingled(_lines(plain), shortest).withColumn("items", _ordered(F.col("items"), ranks))
     lines = written(base.select(
         "_key", "line_no", n.alias("n"), F.xxhash64("items").alias("s1"), F.xxhash64(F.lit(1), "items").alias("s2"),
         F.slice("items", 1, _prefix_length(n, UP, DOWN)).alias("prefix")), "line-prefixes")
@@ -113,7 +115,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     keyed = plain.withColumn("_key", F.coalesce("doc_id", F.lit(NO_ID))).join(written(lines_wanted, "line-wanted"), "_key")
     picked = (keyed.select("_key", "_wanted", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
               .where(F.array_contains("_wanted", F.col("line_no"))).drop("_wanted"))
-    sets = written(_shingled(picked).dropDuplicates(["_key", "line_no"]), "line-sets")
+    sets = written(_shingled(picked, shortest).dropDuplicates(["_key", "line_no"]), "line-sets")
 
     near = shared.where("x <> y").where(_possible("a", "b")).select("x", "y").distinct()
     settled = written(_similar(near, sets), "line-settled")
@@ -129,22 +131,23 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
             .where("beaten or _key <> k or line_no <> l").select("_key", "line_no").distinct())
 
 
-def _with_removed(docs: DataFrame) -> DataFrame:
+def _with_removed(docs: DataFrame, shortest: int = SHINGLE) -> DataFrame:
     """``docs`` with ``_removed``, the numbers of the lines to remove."""
-    gone = written(repeated_lines(docs).groupBy(F.col("_key").alias("_doc")).agg(F.sort_array(F.collect_list("line_no")).alias("_removed")), "line-removed")
+    gone = written(repeated_lines(docs, shortest).groupBy(F.col("_key").alias("_doc")).agg(F.sort_array(F.collect_list("line_no")).alias("_removed")), "line-removed")
     return (docs.join(gone, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("_doc"), "left").drop("_doc")
             .withColumn("_removed", F.coalesce("_removed", F.array().cast("array<int>"))))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, shortest: int = 1) -> DataFrame:
     """``docs`` with text that lacks its repeated lines; documents that lose all lines with words go.
 
     Columns and their order stay; n_chars, if there, is the length of the new text.  Lines of fewer
-    than five words stay unless nothing else does.  Null, empty and blank texts stay as they are.
+    than ``shortest`` words stay unless nothing else does; with 1, a line of one to four words goes
+    when an earlier line has the same words.  Null, empty and blank texts stay as they are.
     Rows that share a doc_id count as one document: a line equal in place is not its own repeat.
     An empty table gives no rows.  A null doc_id comes before all others.
     """
-    d = _with_removed(docs)
+    d = _with_removed(docs, shortest)
     changed = F.size("_removed") > 0
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_removed", i)), "\n")
     d = d.withColumn("_left", F.when(changed, kept).otherwise(F.col("text")))

@@ -127,6 +127,14 @@ def test_line_dedup_brute(plain):
     assert got == gone and gone
 
 
+def test_line_dedup_takes_short_lines(spark):
+    texts = ["All rights reserved.\none\n\nthe first line of five words", "all rights reserved.\nAll  rights reserved.\none two\nkept",
+             "one\nAll rights reserved.", "one two three four\none two three four five\n ", "one two three four\nlast"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()} == {
+        0: texts[0], 1: "all rights reserved.\none two\nkept", 3: texts[3], 4: "last"}
+
+
 def test_near_duplicates_brute(plain):
     df, texts = plain
     sets = {}
