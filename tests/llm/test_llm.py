@@ -189,6 +189,29 @@ def test_patience_alignment_brute(docs, spark):
     assert licenses.align(list("abxcd"), list("abcd")) == [(0, 0), (1, 1), (3, 2), (4, 3)]
 
 
+def test_licenses_are_told_apart(spark):
+    every = {**licenses.TEMPLATES, **licenses.MORE}
+    said = {"Released under the BSD License.": {"bsd-notice"}, "Licensed under CC BY-SA 4.0": {"cc-by-sa-4.0-notice"},
+            "Licensed under CC BY 4.0": {"cc-by-4.0-notice"}, "Licensed under CC BY-NC 4.0.": {"cc-by-nc-4.0-notice"},
+            "This work is licensed under the GNU Lesser General Public License, version 3.": {"lgpl-3.0-notice"},
+            "This work is licensed under the GNU General Public License, version 2.": {"gpl-2.0-notice"},
+            "This work is licensed under the GNU Lesser General Public License, version 3, or the GNU General Public License, version 3.":
+            {"lgpl-3.0-notice", "gpl-3.0-notice"}, "Released under the new BSD or some other License": set()}
+    full = [n for n in every if not n.endswith("notice")]
+    texts = [*said, *("Copyright A. N. Other\n" + every[n] for n in full)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in licenses.license_scan(df).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    for k, want in enumerate(said.values()):
+        assert got.get(k, set()) == want, texts[k]
+    for k, n in enumerate(full, len(said)):
+        # a full text may hold its own license's header or notice, but names no other license
+        assert n in got[k] and {x.split("-")[0] for x in got[k]} == {n.split("-")[0]}, (n, got[k])
+        if not n[0].isdigit() and n not in licenses.TEXTS:
+            assert {x for x in got[k] if not x.endswith("notice")} <= {n}, (n, got[k])
+
+
 def test_mix_brute(plain):
     df, texts = plain
     got = mixing.mix(df).collect()
