@@ -395,6 +395,22 @@ def test_toxicity(spark):
     assert toxicity.score(nothing, toxicity.train(nothing, learnt.where("false"))).count() == 0
 
 
+def test_toxicity_learns_from_the_whole_sample(spark):
+    """The weights are those of plain passes over all labelled rows in the order of their hash."""
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(6)
+    rows = [(k, prose(rng, 30) + " vile rancid" * (k % 5 == 0), int(k % 5 == 0)) for k in range(200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    got = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int"))
+    rows.sort(key=lambda r: hashlib.md5(f"{toxicity.SEED}{r[0]}".encode()).hexdigest())
+    slots, begin = toxicity.features(pa.array([r[1] for r in rows]))
+    z, n = np.zeros(1 << toxicity.BITS), np.zeros(1 << toxicity.BITS)
+    for _ in range(toxicity.EPOCHS):
+        toxicity.learn(z, n, slots, begin, np.array([r[2] for r in rows], dtype=float))
+    assert np.allclose(got, toxicity.weights_of(z, n)) and (got > 0).any()
+
+
 def test_pipeline(spark, tmp_path):
     """Every stage once, each against brute force on its own input."""
     import corpus_pipeline as P
