@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from quarry.session import scratch_dir
 
@@ -46,3 +47,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def drop_clashing(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that an operator is about to add."""
     return df.drop(*[c for c in df.columns if c in names])
+
+
+_IN_PART = (1 << 33) - 1            # rows of a partition in monotonically_increasing_id
+
+
+def in_order(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with ``position`` (0, 1, 2... in the given order) and ``_part``, the task that holds the row.
+
+    A range sort, written, so parts and places are fixed; a part's first position is the number of
+    rows in the parts before it (a row per part, sent to all).  No task sees more than its part.
+    Rows equal in all of ``order`` take positions in any order.
+    """
+    placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn("_place", F.monotonically_increasing_id()), name)
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = (placed.groupBy("_part").agg(F.count("*").alias("_n"))
+             .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_before")))
+    return (placed.join(F.broadcast(written(parts, f"{name}-parts")), "_part")
+            .withColumn("position", F.col("_before") + F.col("_place").bitwiseAND(F.lit(_IN_PART)))
+            .drop("_before", "_place"))

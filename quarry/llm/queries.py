@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quarry.llm import decontaminate, licenses, linededup, minhash, mixing, ngramlm, quality, suffixes, toxicity, warc
+from quarry.llm import (decontaminate, gracehash, licenses, linededup, manifest, minhash, mixing, ngramlm, quality,
+                        resampling, suffixes, toxicity, warc)
 
 
 def queries() -> dict:
@@ -17,6 +18,9 @@ def queries() -> dict:
         "op8_stupid_backoff": ngramlm.op8_stupid_backoff,
         "op9_toxicity_ftrl": toxicity.op9_toxicity_ftrl,
         "op10_suffix_array_dedup": suffixes.op10_suffix_array_dedup,
+        "op11_merkle_multiproof": manifest.op11_merkle_multiproof,
+        "op12_exact_grace_dedup": gracehash.op12_exact_grace_dedup,
+        "op13_importance_resample": resampling.op13_importance_resample,
     }
 
 
@@ -28,4 +32,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_mix_sources": mixing.OP5_SQL,
         "op6_warc_zip_archives": warc.OP6_SQL,
         "op8_stupid_backoff": ngramlm.OP8_SQL,
+        "op11_merkle_multiproof": manifest.OP11_SQL,
+        "op12_exact_grace_dedup": gracehash.OP12_SQL,
+        "op13_importance_resample": resampling.OP13_SQL,
     }
