@@ -60,7 +60,7 @@ def sql():
 SELECT page_id, string_split(f, '|')[1] AS full_url, coalesce(string_split(f, '|')[2], '') AS prefix
 FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN url || '|' || {HOST} ELSE url END AS f FROM pages)"""
     q["P5_resolve_link"] = f"""
-SELECT page_id, n, CASE WHEN contains(href, 'lww') THEN href ELSE prefix || trim(href) END AS link
+SELECT page_id, n, prefix || {R.strip_py('href')} AS link, CASE WHEN contains(href, 'lww') THEN href ELSE prefix || href END AS abstract_link
 FROM (SELECT page_id, {HOST} AS prefix, unnest(l) AS href, generate_subscripts(l, 1) - 1 AS n
       FROM (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages))"""
     q["P6_truncate_columns"] = f"""

@@ -15,7 +15,7 @@ NL = "chr(10)"
 
 ARTICLES = f"""articles AS (
   SELECT doc_id AS id, CAST(doc_id * 2 AS VARCHAR) AS a_id,
-         split_part(text, {NL}, 1) AS head,
+         {R.fold(f"split_part(text, {NL}, 1)", "T2")} AS head,
          string_split(text, {NL})[2:] AS abstract_texts,
          source AS journal_name,
          DATE '2024-01-01' + CAST(doc_id % 28 AS INTEGER) AS date,
@@ -32,15 +32,16 @@ TARGET_PR = """target_press_release AS (
   FROM articles a JOIN agencies g ON a.a_id = g.a_id WHERE a.id % 2 = 0)"""
 
 
-def press_release_sql(keywords=P.KEYWORD_SKIPS) -> str:
+def press_release_sql(keywords=P.KEYWORD_SKIPS, articles=ARTICLES, as_of=AS_OF, target=True) -> str:
+    stored = "x5.filename IN (SELECT filename FROM target_press_release) OR " if target else ""
     desc = R.strip_boilerplate(R.fold("desc0", "T2"))
     kw = R.first_contained("dtext", keywords)
-    body_raw = ("chr(10) || 'WASHINGTON, ' || strftime(DATE '" + AS_OF + "', '%b. %d') || ' -- ' || post_head || ':' || chr(10) || '*' || chr(10) "
+    body_raw = ("chr(10) || 'WASHINGTON, ' || strftime(DATE '" + as_of + "', '%b. %d') || ' -- ' || post_head || ':' || chr(10) || '*' || chr(10) "
                 "|| (CASE WHEN length(head) > 0 THEN replace(dtext, head, '') ELSE dtext END) "
                 "|| chr(10) || chr(10) || '***' || chr(10) || chr(10) || 'Original text here: ' || url")
     body = R.normalise_whitespace(body_raw)
     return f"""
-WITH {ARTICLES}, {AGENCIES}, {TARGET_PR},
+WITH {articles}, {AGENCIES}, {TARGET_PR if target else "none AS (SELECT 1)"},
 x0 AS (SELECT id, a_id, head, journal_name, date, url, array_to_string(abstract_texts, ' ') AS desc0 FROM articles),
 x1 AS (SELECT *, {desc} AS dtext FROM x0),
 x2 AS (SELECT *, {kw} AS kw, length(dtext) AS desc_len,
@@ -57,7 +58,7 @@ x5 AS (SELECT *, CASE WHEN desc0 IS NULL OR length(desc0) = 0 THEN 'description_
                       WHEN filename IS NULL THEN 'filename_is_none' END AS pre_reason FROM x4),
 firsts AS (SELECT filename, min(id) AS first_id FROM x5 WHERE pre_reason IS NULL GROUP BY filename),
 x6 AS (SELECT x5.*, CASE WHEN pre_reason IS NOT NULL THEN pre_reason
-                         WHEN x5.filename IN (SELECT filename FROM target_press_release) OR x5.id <> f.first_id THEN 'duplicate'
+                         WHEN {stored}x5.id <> f.first_id THEN 'duplicate'
                          WHEN try_cast(a_id AS INTEGER) IS NULL OR length(headline) > {P.HEADLINE_MAX} THEN 'rejected'
                          ELSE 'loaded' END AS reason
        FROM x5 LEFT JOIN firsts f ON x5.filename = f.filename)

@@ -1,8 +1,8 @@
 """Date operators (D1-D7, F11, F12): Column -> Column.
 
 ``as_of`` is always a parameter, never the clock.  Free-form date finding is
-re-aimed as a fixed list of forms tried in order (month day year, day month
-year, month year, ISO, m/d/y); a missing day becomes 1.
+re-aimed as the leftmost match of a fixed list of forms (month day year, day
+month year, month year, ISO, m/d/y); a missing day becomes 1.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ PAREN_MONTHS = (
 MONTH3 = "janfebmaraprmayjunjulaugsepoctnovdec"
 MON = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\\.?"
 
-# Forms tried in order by parse_date (D5):
+# Forms of a date (D5):
 # (regex, group of year, group of month, group of day or None, month is a name).
 DATE_FORMS = (
     (MON + WS + "+([0-9]{1,2}),?" + WS + "*([0-9]{4})", 3, 1, 2, True),
@@ -62,20 +62,27 @@ def _form_template(gy, gm, gd, ref: str) -> str:
     return f"{ref}{gy}|{ref}{gm}|{day}"
 
 
+# any form; at one place in the text the forms are tried in their order
+ANY_DATE = "|".join("(?:" + rx.replace("(", "(?:") + ")" for rx, *_ in DATE_FORMS)
+
+
 def parse_date(c: Column) -> Column:
-    """First of the fixed forms that matches; null when none does.
-    Expects lower-case text (D1 runs first).  Per form: one extract of the
-    match, one rewrite of it to ``y|m|d``."""
-    cands = []
-    for rx, gy, gm, gd, named in DATE_FORMS:
-        hit = F.regexp_extract(c, rx, 0)
-        parts = F.split(F.regexp_replace(hit, rx, _form_template(gy, gm, gd, "$")), "\\|")
-        m = F.get(parts, 1)
-        if named:
-            m = _month_no(m).cast("string")
-        s = F.concat_ws("-", F.get(parts, 0), F.lpad(m, 2, "0"), F.lpad(F.get(parts, 2), 2, "0"))
-        cands.append(F.when(hit != "", F.try_to_date(s, "yyyy-MM-dd")))
-    return F.coalesce(*cands)
+    """The first date in the text, whatever its form; null when there is none.
+    Expects lower-case text (D1 runs first).  All hits of any form are taken from left to right,
+    each is rewritten to ``y|m|d`` by the first form it has, and the first that is a date counts:
+    february 30 is passed over.  A missing day is 1."""
+    def one(hit):
+        cands = []
+        for rx, gy, gm, gd, named in DATE_FORMS:
+            parts = F.split(F.regexp_replace(hit, rx, _form_template(gy, gm, gd, "$")), "\\|")
+            m = F.get(parts, 1)
+            if named:
+                m = _month_no(m).cast("string")
+            s = F.concat_ws("-", F.get(parts, 0), F.lpad(m, 2, "0"), F.lpad(F.get(parts, 2), 2, "0"))
+            cands.append(F.when(F.rlike(hit, F.lit("^(?:" + rx + ")$")), F.try_to_date(s, "yyyy-MM-dd")))
+        return F.coalesce(*cands)
+    hits = F.transform(F.regexp_extract_all(c, F.lit(ANY_DATE), 0), one)
+    return F.get(F.filter(hits, lambda d: d.isNotNull()), 0)
 
 
 def formatting_steps(text: Column, steps: str) -> Column:

@@ -153,9 +153,14 @@ def split_url_field(url_field: Column):
     return F.get(parts, 0), F.coalesce(F.get(parts, 1), F.lit(""))
 
 
-def resolve_link(href: Column, prefix: Column) -> Column:
-    """P5: prefix + trimmed href; links on the lww host keep no prefix."""
-    return F.when(F.contains(href, F.lit("lww")), href).otherwise(F.concat(prefix, F.trim(href)))
+def issue_link(href: Column, prefix: Column) -> Column:
+    """P5, links of issues: prefix + href without the blanks around it."""
+    return F.concat(prefix, F.regexp_replace(href, "^" + WS + "+|" + WS + "+$", ""))
+
+
+def abstract_link(href: Column, prefix: Column) -> Column:
+    """P5, links of abstracts: as they are; those on the lww host keep no prefix."""
+    return F.when(F.contains(href, F.lit("lww")), href).otherwise(F.concat(prefix, href))
 
 
 def truncate(c: Column, n: int) -> Column:

@@ -3,7 +3,8 @@
 No broadcast hints on tables whose size grows with the data: AQE converts a
 sort-merge join to a broadcast at run time when a side turns out small, and
 splits skewed partitions otherwise.  Fixed small tables (templates, reason
-labels) are broadcast because their size is bounded by construction.
+labels) are broadcast, or become an expression, because their size is bounded
+by construction.
 """
 
 from __future__ import annotations
@@ -19,29 +20,33 @@ def agency_group_join(agencies: DataFrame, groups: DataFrame, key: str = "ug_id"
     return agencies.join(g, key, "inner")
 
 
-def dedupe_dimension(dim: DataFrame, key: str, cols) -> DataFrame:
-    """One row per key, deterministic pick (greatest struct) when keys repeat.
-    Partial aggregation keeps this skew-safe."""
-    agg = F.max(F.struct(*[F.col(c) for c in cols])).alias("_v")
+def dedupe_dimension(dim: DataFrame, key: str, cols, order: str | None = None) -> DataFrame:
+    """One row per key: of rows that share a key the last in ``order`` counts, as in a lookup table
+    filled row by row.  Without ``order`` (a dimension with one row per key) the greatest values do,
+    so the pick doesn't change between runs.  Partial aggregation keeps this skew-safe."""
+    row = F.struct(*[F.col(c) for c in cols])
+    agg = (F.max(row) if order is None else F.max_by(row, F.struct(F.col(order), row))).alias("_v")
     return dim.groupBy(key).agg(agg).select(key, *[F.col("_v." + c).alias(c) for c in cols])
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, cols) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, key: str, cols, order: str | None = None) -> DataFrame:
     """Left join on the deduplicated dimension; a miss leaves nulls
     (turned into a reason by the caller)."""
-    return df.join(dedupe_dimension(dim, key, cols), key, "left")
+    return df.join(dedupe_dimension(dim, key, cols, order), key, "left")
 
 
 def template_match(rows: DataFrame, field: str, templates: DataFrame) -> DataFrame:
-    """First template keyword (lowest prio) contained in the field.
-
-    The template table is a fixed handful of rows: a broadcast nested-loop
-    join on ``contains`` then ``min_by`` per row id.  Rows matching no
-    template get null ``template``."""
-    t = F.broadcast(templates.select("prio", "keyword", "template"))
-    cand = rows.select("row_id", field).join(t, F.contains(F.col(field), F.col("keyword")), "inner")
-    best = cand.groupBy("row_id").agg(F.min_by(F.struct("keyword", "template"), F.col("prio")).alias("_m"))
-    return (rows.join(best, "row_id", "left")
+    """``rows`` with keyword and template of the first template (lowest prio) whose keyword the
+    field contains; null when none does.
+
+    The templates are configuration, a handful of rows: they become one expression over the field,
+    decided where a row is read, without a join."""
+    known = sorted(templates.select("prio", "keyword", "template").collect())
+    found = F.lit(None).cast("struct<keyword:string,template:string>")
+    for t in reversed(known):
+        found = F.when(F.contains(F.col(field), F.lit(t["keyword"])),
+                       F.struct(F.lit(t["keyword"]).alias("keyword"), F.lit(t["template"]).alias("template"))).otherwise(found)
+    return (rows.withColumn("_m", found)
                 .select(*rows.columns, F.col("_m.keyword").alias("keyword"), F.col("_m.template").alias("template")))
 
 

@@ -16,6 +16,7 @@ REASON_LABELS = {
     "no_template": "Unable to Assign Row, Invalid Domain:",
     "landing_page_html_is_none": "Landing Page HTML is None:",
     "landing_page_containers_html_is_none": "Landing Page Containers HTML is None:",
+    "issue_page_html_is_none": "Issue Page HTML is None:",
     "link_is_none": "Link Found NoneType:",
     "title_is_none": "Title Found NoneType:",
     "date_is_none": "Date Found NoneType:",

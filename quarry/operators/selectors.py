@@ -9,6 +9,8 @@ spreads the join evenly.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,6 +126,14 @@ def chain(ctx: DataFrame, els: DataFrame, steps, keys, op: str = "slice") -> Dat
     return cur
 
 
+def dedicated(ctx: DataFrame, els: DataFrame, spec: str, keys) -> DataFrame:
+    """H5/H6 as the article lists use them: a chain of steps whose one number is an index, and where
+    every kind but ``elem`` means a class.  There are no alternatives, and a single element counts as
+    found whether or not it has children."""
+    steps = [replace(st, kind="elem" if st.kind == "elem" else "class") for st in parse_spec(spec)[0]]
+    return chain(ctx, els, steps, keys, "index")
+
+
 def select(ctx: DataFrame, els: DataFrame, spec: str, keys, op: str = "slice") -> DataFrame:
     """H7: alternatives, the first that finds something wins.  'Found' for a
     single element means it has children (as the reference's length test)."""
@@ -162,17 +172,64 @@ def container_then_content(ctx: DataFrame, els: DataFrame, spec: str, keys) -> D
     return _first_found(parts, keys)
 
 
-def remove_elements(txts: DataFrame, els: DataFrame, specs: str) -> DataFrame:
-    """H9: drop text nodes inside removed subtrees (several specs joined by ``~``);
-    a range anti join on ``page_id``."""
-    removed = None
-    for s in specs.split("~"):
-        st = parse_spec(s)[0][0]
-        r = els.where(match_pred(st.kind, st.name)).select(
-            F.col("page_id").alias("_pid"), F.col("lo").alias("r_lo"), F.col("hi").alias("r_hi"))
-        removed = r if removed is None else removed.unionByName(r)
-    cond = (txts["page_id"] == removed["_pid"]) & (txts["lo"] >= removed["r_lo"]) & (txts["lo"] <= removed["r_hi"])
-    return txts.join(removed, cond, "left_anti")
+def removed_spans(ctx: DataFrame, els: DataFrame, specs: str, keys) -> DataFrame:
+    """H9: ``ctx`` with ``removed``, the disjoint spans (lo, hi) that ``specs`` take out of each context.
+
+    Several specs are joined by ``~`` and applied in turn: each searches what the ones before it left.
+    ``find`` takes the first match only, ``find_all`` its slice; of alternatives (``<>``) the first that
+    finds something counts, else the last one.  One join collects a context's candidate elements (bounded
+    by the context), the rest is array work on them.  Contexts without a match have an empty array.
+    """
+    rounds = [[alt[0] for alt in parse_spec(s)] for s in specs.split("~")]
+    flags = {(k, i): match_pred(st.kind, st.name) for k, alts in enumerate(rounds) for i, st in enumerate(alts)}
+    wanted = None
+    for p in flags.values():
+        wanted = p if wanted is None else wanted | p
+    m = els.where(wanted).select(
+        F.col("page_id").alias("_pid"),
+        F.struct("lo", "hi", "n_children", *[p.alias(f"f{k}_{i}") for (k, i), p in flags.items()]).alias("_m"))
+    part = [*_kp(keys), "c_lo", "c_hi"]
+    cond = (ctx["page_id"] == m["_pid"]) & (m["_m.lo"] > ctx["c_lo"]) & (m["_m.lo"] <= ctx["c_hi"])
+    got = ctx.join(m, cond, "left").groupBy(*part).agg(F.array_sort(F.collect_list("_m")).alias("_all"))
+    gone = F.array().cast("array<struct<lo:int,hi:int>>")
+
+    def inside(x, spans):
+        return F.exists(spans, lambda g: (x["lo"] >= g["lo"]) & (x["lo"] <= g["hi"]))
+
+    for k, alts in enumerate(rounds):
+        got = got.withColumn("_gone", gone)
+        for i, st in enumerate(alts):
+            hits = F.filter("_all", lambda x: F.coalesce(x[f"f{k}_{i}"], F.lit(False)) & ~inside(x, F.col("_gone")))
+            got = got.withColumn(f"_h{i}", hits if st.find_all else F.slice(hits, 1, 1))
+            if st.find_all and st.ints:
+                n = F.size(f"_h{i}")
+                got = got.withColumn(f"_h{i}", F.filter(f"_h{i}", lambda x, r: python_slice_keep(r, n, st.ints)))
+        taken = F.col(f"_h{len(alts) - 1}")
+        for i in range(len(alts) - 2, -1, -1):
+            found = F.size(f"_h{i}") > 0
+            if not alts[i].find_all:
+                found = found & (F.get(f"_h{i}", 0)["n_children"] > 0)
+            taken = F.when(found, F.col(f"_h{i}")).otherwise(taken)
+        gone = F.concat("_gone", F.transform(taken, lambda x: F.struct(x["lo"].alias("lo"), x["hi"].alias("hi"))))
+    got = got.withColumn("_gone", F.array_distinct(gone))
+    # nested removals: what lies in another span is part of it
+    outer = F.filter("_gone", lambda x: ~F.exists("_gone", lambda g: (g["lo"] < x["lo"]) & (x["lo"] <= g["hi"])))
+    return got.select(*part, F.array_sort(outer).alias("removed"))
+
+
+def remove_elements(txts: DataFrame, els: DataFrame, specs: str, ctx: DataFrame | None = None, keys=("page_id",)) -> DataFrame:
+    """H9: text nodes without those inside removed subtrees.
+
+    Without ``ctx`` the page is the context and all text nodes of the page are judged; with it only
+    text nodes inside a context are kept, each with the context's keys and ``c_lo``."""
+    if ctx is None:
+        ctx = txts.select("page_id").distinct().select("page_id", F.lit(-1).alias("c_lo"), F.lit(MAX_POS).alias("c_hi"))
+        return remove_elements(txts, els, specs, ctx).select(*txts.columns)
+    spans = removed_spans(ctx, els, specs, keys)
+    t = txts.withColumnRenamed("page_id", "_pid")
+    cond = (spans["page_id"] == t["_pid"]) & (t["lo"] > spans["c_lo"]) & (t["lo"] <= spans["c_hi"])
+    j = spans.join(t, cond).where(~F.exists("removed", lambda g: (F.col("lo") >= g["lo"]) & (F.col("lo") <= g["hi"])))
+    return j.drop("_pid", "removed", "c_hi")
 
 
 def strip_py(c: Column) -> Column:
@@ -274,19 +331,80 @@ def html_to_text(html: Column) -> Column:
     return c
 
 
+# What the start and end of an element put into its readable text.
+BLOCK_MARKS = {
+    **{t: ("\n\n", "\n\n") for t in ("p", "div", "ul", "ol", "dl", "blockquote", "body", "html", "head", "title")},
+    **{f"h{n}": ("\n\n" + "#" * n + " ", "\n\n") for n in range(1, 7)},
+    "li": ("\n\x02* ", "\n"), "dt": ("\n", "\n"), "dd": ("\n\x03", "\n"), "br": ("\n", ""), "tr": ("", "\n"), "hr": ("\n\n* * *\n\n", ""),
+}
+BLOCK_TAIL = (("[ \\t]+", " "), (" ?\n ?", "\n"), ("\n{3,}", "\n\n"), ("^[ \\n]+|[ \\n]+$", ""), ("\x02", "  "), ("\x03", "    "))
+
+
+def block_text(ctx: DataFrame, els: DataFrame, txts: DataFrame, keys) -> DataFrame:
+    """H11 for any element: keys, page_id, c_lo, text of each context.
+
+    The element is walked in document order.  Text nodes are parted by a blank and runs of blanks are
+    one; block elements (the context itself too) start and end lines, headings and list items get
+    their mark, links, images, tables and emphasis leave their text only.  What ``removed`` (array of
+    spans, see ``removed_spans``) covers is left out.  A context without text gives an empty string.
+    Groups are one element of one page.
+    """
+    blank = F.regexp_replace("text", WS + "+", " ")
+    t = txts.select(F.col("page_id").alias("_pid"), F.col("lo").alias("e_lo"), F.col("lo").alias("at"), F.lit(1).alias("turn"),
+                    F.concat(F.lit(" "), blank, F.lit(" ")).alias("piece"))
+    marks = F.create_map(*[x for tag, (a, b) in BLOCK_MARKS.items() for x in (F.lit(tag), F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")))])
+    b = (els.where(F.col("tag").isin(list(BLOCK_MARKS)))
+         .select("page_id", "lo", "hi", marks[F.col("tag")].alias("_m"))
+         .select(F.col("page_id").alias("_pid"), F.col("lo").alias("e_lo"), F.explode(F.array(
+             F.struct(F.col("lo").alias("at"), F.lit(1).alias("turn"), F.col("_m.a").alias("piece")),
+             F.struct(F.col("hi").alias("at"), F.lit(2).alias("turn"), F.col("_m.b").alias("piece")))).alias("_e"))
+         .select("_pid", "e_lo", "_e.*").where("piece <> ''"))
+    e = t.unionByName(b)
+    part = [*_kp(keys), "c_lo", "c_hi"]
+    held = ["removed"] if "removed" in ctx.columns else []
+    c = ctx.select(*part, *held)
+    cond = (c["page_id"] == e["_pid"]) & (e["e_lo"] >= c["c_lo"]) & (e["e_lo"] <= c["c_hi"])
+    j = c.join(e, cond, "left")
+    piece = F.struct("at", "turn", "piece")
+    if held:
+        piece = F.when(~F.exists("removed", lambda g: (F.col("e_lo") >= g["lo"]) & (F.col("e_lo") <= g["hi"])), piece)
+    g = j.groupBy(*_kp(keys), "c_lo").agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
+    text = F.array_join(F.transform("_pieces", lambda x: x["piece"]), "")
+    for pat, rep in BLOCK_TAIL:
+        text = F.regexp_replace(text, pat, rep)
+    return g.select(*_kp(keys), "c_lo", text.alias("text"))
+
+
 def labelled_items(ctx: DataFrame, els: DataFrame, txts: DataFrame, keys, labels=("ID", "Posted")) -> DataFrame:
-    """List items with a bold label; every label is read regardless of order."""
-    li = apply_step(ctx, els, Step("find_all", "elem", "li", ()), keys)
-    li = li.select(*_kp(keys), F.col("c_lo").alias("li_lo"), "c_lo", "c_hi")
-    li_text = element_text(li.withColumn("_li", F.col("li_lo")), txts, [*keys, "_li"], strip=False)
-    strong = apply_step(li.withColumn("_li", F.col("li_lo")), els, Step("find", "elem", "strong", ()), [*keys, "_li"])
-    strong_text = element_text(strong, txts, [*keys, "_li"])
-    j = (li_text.select(*keys, "_li", F.col("text").alias("li_text"))
-         .join(strong_text.select(*keys, "_li", F.col("text").alias("label")), [*keys, "_li"]))
-    value = strip_py(F.replace(F.col("li_text"), F.col("label"), F.lit("")))
-    aggs = [F.max_by(F.when(F.col("label") == lab, value), F.when(F.col("label") == lab, F.col("_li"))).alias(lab.lower())
-            for lab in labels]
-    return j.groupBy(*keys).agg(*aggs)
+    """List items with a bold label; every label is read regardless of order.
+
+    ``keys`` name one context, for example (page_id, card_lo): a page may hold any number of cards.
+    The item and the bold label's text come from one join of the contexts with items, labels and
+    text nodes; the rest is array work inside a context."""
+    part = [*_kp(keys), "c_lo", "c_hi"]
+    m = els.where(F.col("tag").isin("li", "strong")).select(
+        F.col("page_id").alias("_pid"), F.col("lo").alias("e_lo"), F.struct("lo", "hi", (F.col("tag") == "li").alias("li")).alias("_el"),
+        F.lit(None).cast("string").alias("_t"))
+    t = txts.select(F.col("page_id").alias("_pid"), F.col("lo").alias("e_lo"),
+                    F.lit(None).cast(m.schema["_el"].dataType).alias("_el"), F.col("text").alias("_t"))
+    e = m.unionByName(t)
+    cond = (ctx["page_id"] == e["_pid"]) & (e["e_lo"] > ctx["c_lo"]) & (e["e_lo"] <= ctx["c_hi"])
+    g = ctx.select(*part).join(e, cond).groupBy(*_kp(keys)).agg(
+        F.array_sort(F.collect_list("_el")).alias("_els"),
+        F.array_sort(F.collect_list(F.when(F.col("_t").isNotNull(), F.struct(F.col("e_lo").alias("lo"), F.col("_t").alias("t"))))).alias("_ts"))
+
+    def text_in(el):
+        parts = F.filter("_ts", lambda x: (x["lo"] > el["lo"]) & (x["lo"] <= el["hi"]))
+        return F.array_join(F.transform(parts, lambda x: x["t"]), "")
+
+    items = F.filter("_els", lambda x: x["li"])
+    bold = lambda li: F.get(F.filter("_els", lambda x: ~x["li"] & (x["lo"] > li["lo"]) & (x["lo"] <= li["hi"])), 0)
+    read = F.transform(items, lambda li: F.struct(text_in(li).alias("all"), strip_py(text_in(bold(li))).alias("label")))
+    g = g.select(*_kp(keys), F.filter(read, lambda x: x["label"].isNotNull()).alias("_items"))
+    value = lambda x: strip_py(F.replace(x["all"], x["label"], F.lit("")))
+    out = [F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.transform(
+        F.filter("_items", lambda x: x["label"] == lab), value)), -1).alias(lab.lower()) for lab in labels]
+    return g.where(F.size("_items") > 0).select(*keys, *out)
 
 
 def download_link(ctx: DataFrame, els: DataFrame, keys) -> DataFrame:
@@ -306,6 +424,21 @@ def title_format(title: Column, literal: str) -> Column:
     return strip_py(F.replace(title, F.lit(literal), F.lit("")) if literal else title)
 
 
+def title_without_child(ctx: DataFrame, els: DataFrame, txts: DataFrame, spec: str, keys) -> DataFrame:
+    """H16, element form ``find|elem|tag`` or ``find|attribute|value``: the trimmed text of each context
+    (keys, page_id, c_lo, text) without the trimmed text of the first such element inside it.  No such
+    element: the text as it is.  Only ``find`` can remove; another mode leaves the title alone."""
+    title = element_text(ctx, txts, keys, strip=False)
+    mode, kind, name = (spec.split("|") + ["", ""])[:3]
+    if mode != "find":
+        return title.withColumn("text", strip_py("text"))
+    at = [*_kp(keys), "c_lo"]
+    inner = apply_step(ctx.withColumn("_in", F.col("c_lo")), els, Step("find", kind, name, ()), [*keys, "_in"])
+    child = element_text(inner, txts, [*keys, "_in"]).select(*_kp(keys), F.col("_in").alias("c_lo"), F.col("text").alias("_child"))
+    text = F.when(F.coalesce(F.length("_child"), F.lit(0)) > 0, F.replace("text", "_child", F.lit(""))).otherwise(F.col("text"))
+    return title.join(child, at, "left").select(*at, strip_py(text).alias("text"))
+
+
 def zip_fields(df: DataFrame, titles: str, dates: str, links: str) -> DataFrame:
     """H17 after F10: n-th title, date and link form one record."""
     z = F.arrays_zip(F.col(titles).alias("title"), F.col(dates).alias("date"), F.col(links).alias("link"))

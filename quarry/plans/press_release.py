@@ -4,8 +4,8 @@ Order of the rules follows the reference's insert routine: description
 present (F6) -> transliterate (T2) -> boilerplate (T3) -> keyword (F4) ->
 length (F7) -> drop headline (T4) -> headline and body (P9, P10) ->
 whitespace (T5) -> filename (J2 + P7) -> insert-if-absent (J4 + J5) ->
-write checks (E3).  All row-local work is one projection; the shuffles are
-the agency lookup and the one keyed aggregation of J5.
+write checks (E3).  The description is cleaned once, into a table; lookup, J5
+and checks run on slim rows, and a body is built for loaded rows only.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from quarry.functions.fold import transliterate
 from quarry.operators.dedupe import insert_if_absent
 from quarry.operators.joins import lookup
 from quarry.operators.rules import first_failing, write_outcome
+from quarry.session import written
 
 
 def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | None,
@@ -30,51 +31,51 @@ def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | No
     link = F.concat_ws(": ", F.col("a_id"), F.col("url"))
     who = F.concat_ws(": ", F.col("a_id"), head)
 
+    # the text chain runs once, into a table; the rules below read its slim columns only
     x = issues.select(
         "id", "a_id", "head", "journal_name", "date", "url",
         F.array_join(F.col("abstract_texts"), " ").alias("desc0"))
     x = x.withColumn("desc_t", transliterate(F.col("desc0")))
     x = x.withColumn("desc", T.strip_boilerplate(F.col("desc_t"))).drop("desc_t")
-    x = x.withColumn("kw", T.first_contained(F.col("desc"), params.keyword_skips))
-    x = x.withColumn("desc_len", F.length("desc"))
-    post_head = T.post_headline(F.col("journal_name"), head)
-    body = T.normalise_whitespace(
-        T.article_body(as_of, post_head, T.drop_headline(F.col("desc"), head), F.col("url")))
-    # all text work before the lookup's shuffle: it runs where the rows are read
-    x = x.select("id", "a_id", "head", "date", "kw", "desc_len", "desc0", "url",
-                 T.truncate(post_head, P.HEADLINE_MAX).alias("headline"), body.alias("story_txt"))
-
-    x = lookup(x, agencies.select("a_id", F.col("filename").alias("agency_filename")),
-               "a_id", ["agency_filename"])
-    x = x.select(
-        "id", "a_id", "head", "date", "kw", "desc_len", "desc0", "url", "headline", "story_txt",
-        T.article_filename(F.col("agency_filename"), F.col("date"), head).alias("filename"))
+    x = written(x.select(
+        F.monotonically_increasing_id().alias("row"), "id", "a_id", "head", "journal_name", "date", "url", "desc",
+        (F.length("desc0") > 0).alias("described"),
+        T.first_contained(F.col("desc"), params.keyword_skips).alias("kw"), F.length("desc").alias("desc_len")), "descriptions")
 
+    slim = lookup(x.drop("desc"), agencies.select("a_id", F.col("filename").alias("agency_filename")),
+                  "a_id", ["agency_filename"])
+    slim = slim.withColumn("headline", T.truncate(T.post_headline(F.col("journal_name"), head), P.HEADLINE_MAX))
+    slim = slim.withColumn("filename", T.article_filename(F.col("agency_filename"), F.col("date"), head))
     pre = first_failing(
-        (~(F.col("desc0").isNotNull() & (F.length("desc0") > 0)), "description_is_none"),
+        (~F.coalesce("described", F.lit(False)), "description_is_none"),
         (F.col("kw").isNotNull(), "keyword"),
         (F.col("desc_len") <= P.ARTICLE_MIN_CHARS, "too_short"),
         (F.col("filename").isNull(), "filename_is_none"),
     )
-    x = x.withColumn("pre_reason", pre)
-    x = insert_if_absent(x, target, "filename", "id", eligible=F.col("pre_reason").isNull())
+    slim = written(slim.withColumn("pre_reason", pre).drop("agency_filename", "described"), "article-rows")
+    y = insert_if_absent(slim, target, "filename", "id", eligible=F.col("pre_reason").isNull())
     reason = F.coalesce(F.col("pre_reason"),
                         F.when(F.col("is_duplicate"), F.lit("duplicate")),
                         write_outcome(F.col("a_id"), F.col("headline")),
                         F.lit("loaded"))
-    x = x.withColumn("reason", reason)
+    y = y.withColumn("reason", reason)
     detail = (F.when(F.col("reason") == "keyword", F.concat(link, F.lit(" Word: "), F.col("kw")))
                .when(F.col("reason") == "too_short",
                      F.concat(link, F.lit(" Description Length: "), F.col("desc_len").cast("string")))
                .when(F.col("reason") == "filename_is_none", F.col("a_id"))
                .otherwise(who))
+    # only loaded rows meet their text again
     ok = F.col("reason") == "loaded"
-    return x.select(
-        "id", "a_id", "reason", detail.alias("detail"),
-        F.col("filename"),
+    y = y.withColumn("detail", detail).withColumn("text_row", F.when(ok, F.col("row")))
+    y = y.join(x.select(F.col("row").alias("text_row"), "desc"), "text_row", "left")
+    post_head = T.post_headline(F.col("journal_name"), head)
+    body = T.normalise_whitespace(
+        T.article_body(as_of, post_head, T.drop_headline(F.col("desc"), head), F.col("url")))
+    return y.select(
+        "id", "a_id", "reason", "detail", "filename",
         F.when(ok, F.col("headline")).alias("headline"),
         F.when(ok, F.date_format("date", "yyyy-MM-dd")).alias("content_date"),
-        F.when(ok, F.col("story_txt")).alias("story_txt"),
+        F.when(ok, body).alias("story_txt"),
         F.when(ok, F.lit("D")).alias("box"))
 
 

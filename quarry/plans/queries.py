@@ -16,6 +16,7 @@ from quarry.functions import dates as D
 from quarry.functions import text as T
 from quarry.functions.fold import ascii_fold, transliterate
 from quarry.operators import rules as R
+from quarry.session import written
 from quarry.sources import tables as S
 
 FIXTURE = P.RunParams(
@@ -49,7 +50,8 @@ def p5_resolve_link(spark, sf):
     host = F.regexp_extract("url", "^(https?://[^/?#]+)", 1)
     x = pg.select("page_id", host.alias("prefix"),
                   F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias("n", "href"))
-    return x.select("page_id", F.col("n").cast("long").alias("n"), T.resolve_link(F.col("href"), F.col("prefix")).alias("link"))
+    return x.select("page_id", F.col("n").cast("long").alias("n"), T.issue_link(F.col("href"), F.col("prefix")).alias("link"),
+                    T.abstract_link(F.col("href"), F.col("prefix")).alias("abstract_link"))
 
 
 def p6_truncate_columns(spark, sf):
@@ -439,8 +441,10 @@ def j4_not_already_stored(spark, sf):
 
 def j5_insert_if_absent(spark, sf):
     from quarry.operators.dedupe import insert_if_absent
-    d = _docs(spark, sf).select("doc_id", "text")
-    return insert_if_absent(d, None, "text", "doc_id").select("doc_id", F.col("is_duplicate").cast("int").alias("is_duplicate"))
+    # a digest and the length stand for the text as key, so no text is shuffled
+    key = F.struct(F.sha2("text", 256).alias("sha"), F.length("text").alias("n"))
+    d = _docs(spark, sf).select("doc_id", F.when(F.col("text").isNotNull(), key).alias("key"))
+    return insert_if_absent(d, None, "key", "doc_id").select("doc_id", F.col("is_duplicate").cast("int").alias("is_duplicate"))
 
 
 def comment_pages(spark, sf):
@@ -656,8 +660,16 @@ def h4_slice_matches(spark, sf):
 
 
 def h5_index_match(spark, sf):
-    r = _li_texts(spark, sf, "find_all|elem|li|-1", op="index")
-    return r.select("page_id", "text")
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    # the first kind names a class here, whatever it is called: no page has one, so no page is lost by it
+    m = H.dedicated(_page_ctx(nodes), els, "find_all|elem|li|-1", ["page_id"])
+    ads = H.dedicated(_page_ctx(nodes), els, "find_all|id|ad|0", ["page_id"])
+    both = m.select("page_id", "c_lo", F.lit("li").alias("kind")).unionByName(ads.select("page_id", "c_lo", F.lit("ad").alias("kind")))
+    t = H.element_text(m.unionByName(ads), tx, ["page_id"])
+    return both.join(t, ["page_id", "c_lo"]).select("page_id", "kind", "text")
 
 
 def h6_chain(spark, sf):
@@ -694,7 +706,12 @@ def h9_remove_elements(spark, sf):
     kept = H.remove_elements(tx, els, REMOVE_SPEC)
     body = H.select(_page_ctx(nodes), els, "find|elem|body", ["page_id"])
     t = H.element_text(body, kept, ["page_id"])
-    return t.select("page_id", "text")
+    # in the navigation: the first link only, then a slice of the items that are left
+    nav = H.select(_page_ctx(nodes), els, "find|elem|nav", ["page_id"]).select("page_id", "c_lo", "c_hi", "c_nc")
+    some = H.remove_elements(tx, els, "find|elem|missing<>find|elem|a~find_all|elem|li|1|3", nav)
+    rest = some.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("lo", "text"))).alias("_t")).select(
+        "page_id", H.strip_py(F.array_join(F.transform("_t", lambda x: x["text"]), "")).alias("nav"))
+    return t.select("page_id", "text").join(rest, "page_id", "left")
 
 
 def h10_element_text(spark, sf):
@@ -707,6 +724,17 @@ def h11_html_to_text(spark, sf):
     return S.table(spark, sf, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
+def h11_element_to_text(spark, sf):
+    """The element form: the navigation of each page, without its advertisements."""
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    nav = H.select(_page_ctx(nodes), els, "find|elem|nav", ["page_id"]).select("page_id", "c_lo", "c_hi", "c_nc")
+    spans = H.removed_spans(nav, els, "find_all|class|ad~find_all|elem|script", ["page_id"])
+    return H.block_text(spans, els, tx, ["page_id"]).select("page_id", "text")
+
+
 def h12_attribute(spark, sf):
     from quarry.operators import selectors as H
     from quarry.sources.pages import elements
@@ -720,8 +748,16 @@ def h12_attribute(spark, sf):
 
 def h16_title_format(spark, sf):
     from quarry.operators.selectors import title_format
-    _, t = _first_text(spark, sf, "find|elem|title", strip=False)
-    return t.select("page_id", title_format(F.col("text"), "%%%").alias("title"))
+    from quarry.operators import selectors as H
+    from quarry.sources.pages import elements, texts
+    nodes = _nodes(spark, sf)
+    els, tx = elements(nodes), texts(nodes)
+    m = H.select(_page_ctx(nodes), els, "find|elem|title", ["page_id"])
+    t = H.element_text(m, tx, ["page_id"], strip=False)
+    # element form: the first item of the navigation without the text of its link
+    li = H.select(_page_ctx(nodes), els, "find|elem|nav~find|elem|li", ["page_id"]).select("page_id", "c_lo", "c_hi", "c_nc")
+    bare = H.title_without_child(li, els, tx, "find|elem|a", ["page_id"]).select("page_id", F.col("text").alias("item"))
+    return t.select("page_id", title_format(F.col("text"), "%%%").alias("title")).join(bare, "page_id", "left")
 
 
 def h17_zip_fields(spark, sf):
@@ -991,16 +1027,21 @@ def w4_daily_outcomes(spark, sf):
 
 # ------------------------------------------------------------------ X1
 ISSUE_LINE = (",,,find|class|issues~find_all|class|issue,True,find|elem|a,find|elem|a,Issue ,find|class|cover-date,,"
-              "find|elem|article,,find_all|elem|p,find|elem|b,find|elem|a,find|elem|p,5,,D")
+              "find|elem|article,find_all|class|ad,find_all|elem|p,find|elem|b,find|elem|a,find|elem|p,5,,D")
 ISSUE_HOST = "https://journals.example.org"
 ISSUE_BUCKET = 4096
-FIXTURE_ISSUES = _dc.replace(FIXTURE, as_of=__import__("datetime").date(1998, 8, 2), months_back=1)
+FIXTURE_ISSUES = _dc.replace(FIXTURE, as_of=__import__("datetime").date(1998, 8, 2), months_back=1,
+                             abstract_phrases=P.ABSTRACT_PHRASES)
+
+
+NO_TEMPLATE, SHORT_TEMPLATE, NO_CONTAINER, NO_HTML = 43, 47, 37, 41       # journals whose pages give no issues: multiples
 
 
 def landing_pages(spark, sf):
     """Issue list pages made from orders: one page per customer and order-key
     range (at most ISSUE_BUCKET issues a page), issues in key order; every
-    eleventh issue has no link."""
+    eleventh issue has no link.  Some journals have another host, a template
+    that is too short, pages without a container or without html."""
     o = date_texts(spark, sf).join(S.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     ok = F.col("o_orderkey").cast("string")
     label = F.concat(F.lit("Issue "), ok, F.lit(", pp 1-"), (F.col("o_orderkey") % 90 + 10).cast("string"))
@@ -1012,14 +1053,52 @@ def landing_pages(spark, sf):
     g = o.select(F.col("o_custkey").alias("journal"), bucket.alias("page_order"), "o_orderkey", li.alias("li"))
     pages = g.groupBy("journal", "page_order").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "li"))), lambda x: x["li"]), "").alias("body"))
-    out = pages.select((F.col("journal") * 1000000 + F.col("page_order")).alias("page_id"), "journal", "page_order",
-                       F.concat(F.lit(ISSUE_HOST + "/loi/"), F.col("journal").cast("string"), F.lit("?page="),
+    host = F.when(F.col("journal") % NO_TEMPLATE == 0, F.lit("https://elsewhere.example.net")) \
+            .when(F.col("journal") % SHORT_TEMPLATE == 0, F.lit("https://psycnet.example.org")).otherwise(F.lit(ISSUE_HOST))
+    box = F.when(F.col("journal") % NO_CONTAINER == 0, F.lit("other")).otherwise(F.lit("issues"))
+    html = F.concat(F.lit('<html><body><div class="'), box, F.lit('"><ul>'), F.col("body"), F.lit("</ul></div></body></html>"))
+    out = pages.select((F.col("journal") * (1 << 31) + F.col("page_order")).alias("page_id"), "journal", "page_order",
+                       F.concat(host, F.lit("/loi/"), F.col("journal").cast("string"), F.lit("?page="),
                                 F.col("page_order").cast("string")).alias("url"),
-                       F.concat(F.lit('<html><body><div class="issues"><ul>'), F.col("body"),
-                                F.lit("</ul></div></body></html>")).alias("html"))
+                       F.when(F.col("journal") % NO_HTML != 0, html).alias("html"))
     return _spread_pages(out)
 
 
+ABSTRACT_DOCS = 1100                # an abstract's document is the part key modulo this; some have no page
+
+
+def issue_pages(spark, sf):
+    """Issue pages made from orders and lineitem: an article per line item, its phrase by the return
+    flag, a link to an abstract; every seventh order has no page, every thirteenth page no articles."""
+    li = S.table(spark, sf, "lineitem")
+    phrase = F.when(F.col("l_returnflag") == "A", F.lit("Articles")).when(F.col("l_returnflag") == "R", F.lit(" research\n article ")) \
+              .otherwise(F.lit("News"))
+    phrase = F.when(F.col("l_returnflag") == "R", F.lit(" Research ")).otherwise(phrase)
+    n = F.col("l_linenumber").cast("string")
+    p = F.concat(F.lit("<p><b>"), phrase, F.lit("</b> item "), n, F.lit(' <i>of</i> part<br>'), F.col("l_partkey").cast("string"),
+                 F.when(F.col("l_linenumber") % 5 == 4, F.lit("<em>no link</em>")).otherwise(F.concat(
+                     F.lit('<a href="/abstract/'), (F.col("l_partkey") % ABSTRACT_DOCS).cast("string"), F.lit('">abstract</a>'))),
+                 F.lit("</p>"))
+    per = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", p.alias("p")))), lambda x: x["p"]), "").alias("ps"))
+    o = S.table(spark, sf, "orders").where(F.col("o_orderkey") % 7 != 0).select("o_orderkey").join(per, "o_orderkey")
+    ok = F.col("o_orderkey").cast("string")
+    box = F.when(F.col("o_orderkey") % 13 == 0, F.lit("section")).otherwise(F.lit("article"))
+    html = F.concat(F.lit("<html><body><nav>menu</nav><"), box, F.lit("><h2>Issue &amp; list "), ok,
+                    F.lit('</h2><div class="ad">buy <p>now</p></div>'), F.col("ps"), F.lit("</"), box, F.lit("></body></html>"))
+    return o.select(F.col("o_orderkey").alias("page_id"), F.concat(F.lit(ISSUE_HOST + "/issue/"), ok).alias("url"), html.alias("html"))
+
+
+def abstract_pages(spark, sf):
+    """Abstract pages made from documents; every ninth has no paragraph."""
+    d = _docs(spark, sf)
+    k = F.col("doc_id").cast("string")
+    tag = F.when(F.col("doc_id") % 9 == 0, F.lit("pre")).otherwise(F.lit("p"))
+    return d.select(F.col("doc_id").alias("page_id"), F.concat(F.lit(ISSUE_HOST + "/abstract/"), k).alias("url"),
+                    F.concat(F.lit("<html><body><"), tag, F.lit(">"), _esc(F.coalesce("text", F.lit(""))), F.lit("</"), tag,
+                             F.lit("></body></html>")).alias("html"))
+
+
 def _spread_pages(pages):
     """Pages built through a shuffle: AQE would coalesce the few bytes into one
     task, but parsing them is CPU work; an explicit page_id partitioning keeps
@@ -1028,14 +1107,40 @@ def _spread_pages(pages):
     return pages.repartition(n, "page_id")
 
 
-def x1_journal_issues(spark, sf):
+def _issue_run(spark, sf):
+    """(landing pages, their templates, the templates)."""
     from quarry.operators.joins import template_match
-    from quarry.plans.journal_issues import journal_issues
     from quarry.sources.specs import TEMPLATES
     tpls = TEMPLATES + (("journals.example.org", ISSUE_LINE),)
     pages = landing_pages(spark, sf)
     t = spark.createDataFrame([(i, k, line) for i, (k, line) in enumerate(tpls)], "prio int, keyword string, template string")
     m = template_match(pages.select(F.col("page_id").alias("row_id"), "url"), "url", t)
-    matched = m.where(F.col("keyword").isNotNull()).select(F.col("row_id").alias("page_id"), "keyword",
-                                                           F.lit(ISSUE_HOST).alias("prefix"))
-    return journal_issues(pages, matched, tpls, FIXTURE_ISSUES)
+    return pages, m.select(F.col("row_id").alias("page_id"), "keyword", F.lit(ISSUE_HOST).alias("prefix")), tpls
+
+
+def x1_journal_issues(spark, sf):
+    from quarry.plans.journal_issues import journal_issues
+    return journal_issues(*_issue_run(spark, sf), FIXTURE_ISSUES)
+
+
+def _issue_records(spark, sf):
+    """The chain from landing pages to issue records, written once: X1 and X2 read it."""
+    from quarry.plans.journal_issues import issue_records, listed_issues
+    pages, matched, tpls = _issue_run(spark, sf)
+    listed = written(listed_issues(pages, matched, tpls, FIXTURE_ISSUES), "listed-issues")
+    return issue_records(listed, issue_pages(spark, sf), abstract_pages(spark, sf), tpls, FIXTURE_ISSUES)
+
+
+def x1_issue_records(spark, sf):
+    r = _issue_records(spark, sf)
+    return r.select("a_id", "url", "head", F.date_format("date", "yyyy-MM-dd").alias("date"), "jdata",
+                    F.array_join("abstract_texts", "\n--\n").alias("abstracts"), "reason")
+
+
+def x2_from_issues(spark, sf):
+    """Press releases of the complete issue records."""
+    r = _issue_records(spark, sf).where(F.col("reason") == "ok")
+    issues = r.withColumn("journal_name", F.concat(F.lit("Journal "), F.col("a_id")))
+    from quarry.plans.press_release import press_release
+    out = press_release(issues, S.agencies(spark, sf), None, FIXTURE_ISSUES)
+    return out.drop("id")

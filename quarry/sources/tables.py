@@ -11,6 +11,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.fold import transliterate
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -31,14 +32,14 @@ def first_line(c):
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Issue records as X1 would hand them to X2 (FIXTURES §2).
 
-    ``abstract_texts`` are the lines after the first; a quarter of the
+    Headlines come folded; ``abstract_texts`` are the lines after the first; a quarter of the
     agency keys (2 x doc_id) find no agency on purpose."""
     d = table(spark, sf_dir, "documents")
     lines = F.split(F.col("text"), "\n")
     return d.select(
         F.col("doc_id").alias("id"),
         (F.col("doc_id") * 2).cast("string").alias("a_id"),
-        first_line(F.col("text")).alias("head"),
+        transliterate(first_line(F.col("text"))).alias("head"),
         F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("abstract_texts"),
         F.col("source").alias("journal_name"),
         F.date_add(F.lit(ARTICLE_EPOCH).cast("date"), (F.col("doc_id") % ARTICLE_DAYS).cast("int")).alias("date"),

@@ -51,17 +51,17 @@ def clean_date_text(expr: str) -> str:
 
 
 def parse_date(expr: str) -> str:
-    from quarry.functions.dates import DATE_FORMS, MONTH3, _form_template
+    from quarry.functions.dates import ANY_DATE, DATE_FORMS, MONTH3, _form_template
     cands = []
     for rx, gy, gm, gd, named in DATE_FORMS:
-        hit = f"regexp_extract({expr}, {lit(rx)}, 0)"
-        parts = f"string_split(regexp_replace({hit}, {lit(rx)}, {lit(_form_template(gy, gm, gd, chr(92)))}), '|')"
+        parts = f"string_split(regexp_replace(hit, {lit(rx)}, {lit(_form_template(gy, gm, gd, chr(92)))}), '|')"
         m = f"{parts}[2]"
         if named:
             m = f"CAST((instr('{MONTH3}', {m}) - 1) // 3 + 1 AS VARCHAR)"
         s = f"concat_ws('-', {parts}[1], lpad({m}, 2, '0'), lpad({parts}[3], 2, '0'))"
-        cands.append(f"CASE WHEN {hit} <> '' THEN CAST(try_strptime({s}, '%Y-%m-%d') AS DATE) END")
-    return "coalesce(" + ", ".join(cands) + ")"
+        cands.append(f"CASE WHEN regexp_full_match(hit, {lit(rx)}) THEN CAST(try_strptime({s}, '%Y-%m-%d') AS DATE) END")
+    hits = f"list_transform(regexp_extract_all({expr}, {lit(ANY_DATE)}), lambda hit: coalesce({', '.join(cands)}))"
+    return f"list_filter({hits}, lambda d: d IS NOT NULL)[1]"
 
 
 def signer_split(expr: str, signers):
