@@ -38,11 +38,14 @@ def comment_pages_cte():
   FROM events JOIN documents ON event_id % (SELECT max(doc_id) + 1 FROM documents) = doc_id)"""
 
 
-def cards_cte():
+def cards_cte(from_pages=False):
+    """``from_pages``: cards as read from the list pages, where every seventh has no link and so no title."""
+    some = "CASE WHEN event_id % 7 <> 0 THEN " if from_pages else "("
+    end = " END" if from_pages else ")"
     rej = R.first_contained("title", Q.FIXTURE.title_reject, case_sensitive=False)
     return f"""cards AS (
   SELECT ts, event_id, user_id, 'AG-' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS id,
-         event_type AS title, '/comment/AG-' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS link,
+         {some}event_type{end} AS title, {some}'/comment/AG-' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR){end} AS link,
          strftime(ts, '%b %-d, %Y') AS posted FROM events),
 rules AS (
   SELECT *, {rej} AS phrase, CAST(try_strptime(posted, '%b %d, %Y') AS DATE) AS posted_date FROM cards)"""

@@ -14,7 +14,7 @@ def x3_select():
     lim = Q.FIXTURE_WALK.doc_limit
     win = f"coalesce(date_diff('day', posted_date, {AS_OF}) BETWEEN 0 AND {Q.FIXTURE_WALK.days_back}, FALSE)"
     return f"""
-WITH {cards_cte()},
+WITH {cards_cte(from_pages=True)},
 ranked AS (SELECT *, {lim} = 0 OR row_number() OVER (ORDER BY ts DESC, event_id DESC) <= {lim} AS in_limit FROM rules),
 stops AS (SELECT ts, event_id FROM ranked
           WHERE in_limit AND link IS NOT NULL AND phrase IS NULL AND posted_date IS NOT NULL AND NOT {win}
@@ -38,19 +38,19 @@ tgt AS (SELECT DISTINCT '$H-PUBCOM-' || split_part(x.id, '-', 1) || left(p.pdf_t
         FROM (SELECT 'AG-' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS id,
                      '/comment/AG-' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS link FROM events) x
         JOIN comment_pages p ON x.link = p.url WHERE p.pdf_id % 4 = 0),
-pdf AS (SELECT doc_id AS id, string_agg(line || chr(10), '' ORDER BY page_no) AS pdf_text
+pdf AS MATERIALIZED (SELECT id, length(pdf_text) AS n, {R.fold('pdf_text', 'T1')} AS clean FROM (SELECT doc_id AS id, string_agg(line || chr(10), '' ORDER BY page_no) AS pdf_text
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS page_no FROM documents)
-        WHERE length(line) > 0 GROUP BY doc_id),
-j AS (SELECT a.event_id, a.id, a.link, p.url AS page_url, p.pdf_id, p.pdf_title, p.download,
-             '$H-PUBCOM-' || split_part(a.id, '-', 1) || left(p.pdf_title, 85) AS filename
+        WHERE length(line) > 0 GROUP BY doc_id)),
+j AS (SELECT a.event_id, a.id, a.link, p.url AS page_url, p.pdf_id, nullif(p.pdf_title, '') AS pdf_title, p.download,
+             '$H-PUBCOM-' || split_part(a.id, '-', 1) || left(nullif(p.pdf_title, ''), 85) AS filename
       FROM (SELECT * FROM x3 WHERE reason = 'accepted') a LEFT JOIN comment_pages p ON a.link = p.url),
 k AS (SELECT j.*, CASE WHEN page_url IS NULL THEN 'no_comment_page' WHEN pdf_title IS NULL THEN 'no_pdf_found'
                        WHEN filename IN (SELECT filename FROM tgt) THEN 'duplicate' WHEN download IS NULL THEN 'no_pdf_found' END AS pre,
-             pdf.pdf_text FROM j LEFT JOIN pdf ON j.pdf_id = pdf.id),
-m AS (SELECT *, coalesce(pre, CASE WHEN coalesce(length(pdf_text), 0) < {P.PDF_MIN_CHARS} THEN 'no_pdf_text' END, 'added') AS reason FROM k)
+             pdf.n, pdf.clean FROM j LEFT JOIN pdf ON j.pdf_id = pdf.id),
+m AS (SELECT *, coalesce(pre, CASE WHEN coalesce(n, 0) < {P.PDF_MIN_CHARS} THEN 'no_pdf_text' END, 'added') AS reason FROM k)
 SELECT event_id, id, filename, reason,
        CASE WHEN reason = 'duplicate' THEN filename || ' ' || '{HOST}' || link ELSE '{HOST}' || link END AS detail,
-       CASE WHEN reason = 'added' THEN {R.fold('pdf_text', 'T1')} END AS clean_text
+       CASE WHEN reason = 'added' THEN clean END AS clean_text
 FROM m"""
 
 

@@ -810,51 +810,44 @@ def _esc(c):
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
+CARDS_PER_PAGE = 25
+
+
 def card_pages(spark, sf):
-    """One list page per event, in the card layout of the comment site (a view
-    Spark builds from events): ID before Posted on every fifth card, no link
-    on every seventh."""
-    e = S.table(spark, sf, "events")
+    """The list pages of the comment site, 25 cards each, newest first (a view Spark builds from
+    events): ID before Posted on every fifth card, no link on every seventh."""
+    from quarry.operators.ordered import global_position, newest_first_key
+    e = S.table(spark, sf, "events").select("ts", "event_id", "user_id", "event_type").withColumn("k", newest_first_key())
+    e = global_position(e, "k").withColumn("at", F.col("pos") - 1)
     cid = F.concat(F.lit("AG-"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_id").cast("string"))
     posted = F.concat(F.lit("<li><strong>Posted</strong> "), F.date_format("ts", "MMM d, yyyy"), F.lit("</li>"))
     ident = F.concat(F.lit("<li><strong>ID</strong> "), cid, F.lit("</li>"))
     items = F.when(F.col("event_id") % 5 == 0, F.concat(ident, posted)).otherwise(F.concat(posted, ident))
     title = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("<span>"), _esc(F.col("event_type")), F.lit("</span>"))) \
              .otherwise(F.concat(F.lit('<a href="/comment/'), cid, F.lit('">'), _esc(F.col("event_type")), F.lit("</a>")))
-    html = F.concat(F.lit('<html><body><div class="results-container"><div class="card card-type-comment ember-view">'),
-                    title, F.lit('<div class="card-metadata"><ul>'), items, F.lit("</ul></div></div></div></body></html>"))
-    return e.select(F.col("event_id").alias("page_id"), F.concat(F.lit("https://comments.example.gov/list/"),
-                    F.col("event_id").cast("string")).alias("url"), html.alias("html"))
-
-
-def _cards_from_pages(spark, sf):
-    from quarry.operators import selectors as H
-    from quarry.sources.pages import elements, parsed_nodes, texts
-    pg = card_pages(spark, sf)
-    nodes = parsed_nodes(pg)
-    els, tx = elements(nodes), texts(nodes)
-    ctx = _page_ctx(nodes)
-    cards = H.select(ctx, els, "find|class|results-container~find_all|class|card card-type-comment ember-view", ["page_id"])
-    return cards, els, tx
+    card = F.concat(F.lit('<div class="card card-type-comment ember-view">'), title, F.lit('<div class="card-metadata"><ul>'),
+                    items, F.lit("</ul></div></div>"))
+    page = e.groupBy(F.expr(f"at div {CARDS_PER_PAGE}").alias("page_id")).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("at", card.alias("card")))), lambda x: x["card"]), "").alias("cards"))
+    return page.select("page_id", F.concat(F.lit("https://comments.example.gov/list?pageNumber="), (F.col("page_id") + 1).cast("string")).alias("url"),
+                       F.concat(F.lit('<html><body><div class="results-container">'), F.col("cards"), F.lit("</div></body></html>")).alias("html"))
 
 
 def h13_labelled_items(spark, sf):
     from quarry.operators import selectors as H
-    cards, els, tx = _cards_from_pages(spark, sf)
-    meta = H.apply_step(cards.select("page_id", "c_lo", "c_hi", "c_nc"), els,
-                        H.parse_spec("find|class|card-metadata")[0][0], ["page_id"])
-    lab = H.labelled_items(meta, els, tx, ["page_id"])
-    return lab.select(F.col("page_id").alias("event_id"), F.col("id"), F.col("posted"))
+    from quarry.plans.comments import card_contexts
+    cards, els, tx = card_contexts(card_pages(spark, sf))
+    keys = ["page_id", "card_lo"]
+    meta = H.apply_step(cards, els, H.parse_spec("find|class|card-metadata")[0][0], keys)
+    lab = H.labelled_items(meta, els, tx, keys)
+    return lab.select(F.element_at(F.split("id", "-"), -1).cast("long").alias("event_id"), "id", "posted")
 
 
 def h14_card_rows(spark, sf):
-    from quarry.operators import selectors as H
-    cards, els, tx = _cards_from_pages(spark, sf)
-    link = H.select(cards.select("page_id", "c_lo", "c_hi", "c_nc"), els, "find|elem|a", ["page_id"])
-    lt = H.element_text(link, tx, ["page_id"]).select("page_id", F.col("text").alias("title"))
-    out = cards.select("page_id").join(lt, "page_id", "left")
-    return out.select(F.col("page_id").alias("event_id"), "title",
-                      F.when(F.col("title").isNull(), F.lit("link_is_none")).otherwise(F.lit("ok")).alias("reason"))
+    from quarry.plans.comments import cards_from_pages
+    c = cards_from_pages(card_pages(spark, sf))
+    return c.select("page_id", F.col("n").cast("long").alias("n"), "title",
+                    F.when(F.col("link").isNull(), F.lit("link_is_none")).otherwise(F.lit("ok")).alias("reason"))
 
 
 def comment_page_html(spark, sf):
@@ -910,7 +903,14 @@ FIXTURE_WALK = _dc.replace(FIXTURE, doc_limit=0)       # the whole walk; O2 is t
 
 def x3_comment_cards(spark, sf):
     from quarry.plans.comments import comment_cards
-    return comment_cards(S.cards(spark, sf), FIXTURE_WALK)
+    return comment_cards(_list_cards(spark, sf), FIXTURE_WALK)
+
+
+def _list_cards(spark, sf):
+    """The cards read from the list pages, in the order of the walk."""
+    from quarry.plans.comments import cards_from_pages
+    c = cards_from_pages(card_pages(spark, sf))
+    return c.withColumn("event_id", F.element_at(F.split("id", "-"), -1).cast("long"))
 
 
 def story_target(spark, sf):
@@ -921,9 +921,16 @@ def story_target(spark, sf):
 
 
 def x4_comment_text(spark, sf):
-    from quarry.plans.comments import comment_text
-    cards = x3_comment_cards(spark, sf)
-    return comment_text(cards, comment_pages(spark, sf).drop("event_id"), S.pdf_pages(spark, sf), story_target(spark, sf))
+    return _comment_texts(spark, sf, written(x3_comment_cards(spark, sf), "cards"))
+
+
+def _comment_texts(spark, sf, cards):
+    from quarry.plans.comments import comment_text, read_comment_pages
+    accepted = cards.where(F.col("reason") == "accepted").select("link")
+    pages = read_comment_pages(comment_page_html(spark, sf), accepted)
+    # the file a download link leads to is the document with that number
+    pages = pages.withColumn("pdf_id", F.regexp_extract("download", "([0-9]+)[.]pdf$", 1).try_cast("long"))
+    return comment_text(cards, pages, S.pdf_pages(spark, sf), story_target(spark, sf))
 
 
 def _story_inputs(spark, sf):
@@ -959,8 +966,8 @@ def s10_append_story(spark, sf):
 
 def x6_run_report(spark, sf):
     from quarry.plans.report import run_report
-    x3 = x3_comment_cards(spark, sf).select("reason", "detail")
-    x4 = x4_comment_text(spark, sf).select("reason", "detail")
+    cards = written(x3_comment_cards(spark, sf), "cards")
+    x3, x4 = cards.select("reason", "detail"), _comment_texts(spark, sf, cards).select("reason", "detail")
     outcomes = x3.where(F.col("reason") != "accepted").unionByName(x4)
     counts, _, _ = run_report(outcomes, "added")
     return counts.select("reason", "label", F.col("n").cast("long").alias("n"))

@@ -13,13 +13,14 @@ an end tag with nothing to close is ignored; void elements close at once;
 whatever is open at the end closes with the document.  Script and style
 bodies are raw text, so ``"</p>"`` inside a script is not a tag.
 
-This is the only Python stage of the pipeline (``mapInArrow``: Arrow
+The table is written once per job, see ``parsed_nodes``.  The parse is the only Python stage of the pipeline (``mapInArrow``: Arrow
 batches in and out); every selector afterwards is a join on this table.
 """
 
 from __future__ import annotations
 
 import sys
+import uuid
 from html.parser import HTMLParser
 
 from pyspark import cloudpickle
@@ -129,44 +130,60 @@ def _parse_arrow(batches):
         yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+BUCKET_BYTES = 64 << 20             # html whose nodes one bucket of the node table should hold
+
+
 def page_nodes(pages: DataFrame) -> DataFrame:
-    """H1: parse every page once.  One task per input split; when the input
-    has fewer splits than the cluster has cores (a few large files), pages
-    are first spread by ``page_id`` so the Python parse runs on every core."""
-    p = pages.select("page_id", "html")
-    spark = pages.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if p.rdd.getNumPartitions() < cores:
-        p = p.repartition(cores * 2, "page_id")
-    return p.mapInArrow(_parse_arrow, NODE_SCHEMA)
+    """H1: parse every page once, where it is read."""
+    return pages.select("page_id", "html").mapInArrow(_parse_arrow, NODE_SCHEMA)
 
 
 def document_context(nodes: DataFrame) -> DataFrame:
     """The page as a selector context, taken from the node table so it keeps
     the node table's partitioning by page_id (no shuffle before the joins)."""
-    return nodes.where(F.col("tag") == "#document").select(
+    return nodes.where((F.col("kind") == "e") & (F.col("tag") == "#document") if "kind" in nodes.columns else F.col("tag") == "#document").select(
         "page_id", F.lit(-1).alias("c_lo"), F.lit(2 ** 31 - 1).alias("c_hi"), F.lit(1).alias("c_nc"))
 
 
 def elements(nodes: DataFrame) -> DataFrame:
+    if "kind" in nodes.columns:
+        nodes = nodes.where("kind = 'e'").drop("kind", "text", "raw")
     return nodes.where(~F.col("tag").startswith("#"))
 
 
 def texts(nodes: DataFrame) -> DataFrame:
+    if "kind" in nodes.columns:
+        return nodes.where("kind = 't'").select("page_id", "lo", "parent", "text")
     return nodes.where((F.col("tag") == "#text") & ~F.col("raw")).select("page_id", "lo", "parent", "text")
 
 
-def parsed_nodes(pages: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """H1 once per job: the node table is hash-partitioned by ``page_id`` and
-    written to the shared checkpoint folder (reliable checkpoint).  The
-    checkpoint keeps that partitioning, so every selector join, window and
-    aggregate keyed on (page_id, ...) runs without another shuffle, nothing
-    parses twice, and a lost executor does not re-run the parse."""
-    nodes = page_nodes(pages)
+def n_buckets(pages: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets of the node table: one for every ``bucket_bytes`` of html, and at least the session's
+    shuffle partitions, so the selectors use the cluster however the pages are cut into files."""
+    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    return max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
+
+
+def parsed_nodes(pages: DataFrame, checkpoint: bool = True, buckets: int | None = None) -> DataFrame:
+    """H1 once per job: the node table as a written columnar store.
+
+    Elements (kind 'e') and texts (kind 't') are Parquet files apart, bucketed by ``page_id`` and
+    sorted by page and place, in the shared folder.  Selector joins, windows and aggregates keyed on
+    (page_id, ...) run without a shuffle, tag filters and the columns a selector names reach the scan,
+    nothing parses twice, and a lost executor does not re-run the parse.  Script and style bodies and
+    comments are no text and are left out; the ``#document`` row of each page is kept.
+    """
     if not checkpoint:
-        return nodes
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    nodes = nodes.repartition(n, "page_id")
-    from quarry.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(pages.sparkSession)
-    return nodes.checkpoint(eager=True)
+        return page_nodes(pages)
+    from quarry.session import scratch_dir
+    spark = pages.sparkSession
+    n = buckets or n_buckets(pages)
+    text = F.col("tag") == "#text"
+    # the html is dealt out, not its many nodes: a task then holds the pages of one bucket and writes one file a kind
+    dealt = pages.select("page_id", "html").repartition(n, "page_id")
+    rows = (page_nodes(dealt).where(~(text & F.col("raw")) & (F.col("tag") != "#comment"))
+            .withColumn("kind", F.when(text, F.lit("t")).otherwise(F.lit("e"))))
+    name = f"nodes_{uuid.uuid4().hex}"
+    (rows.write.option("path", scratch_dir(spark, name)).partitionBy("kind")
+     .bucketBy(n, "page_id").sortBy("page_id", "lo").saveAsTable(name))
+    return spark.table(name)
