@@ -119,10 +119,10 @@ def gains(raw: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> DataFram
             .unionByName(raw.sparkSession.range(buckets).select(
                 F.col("id").alias("bucket"), F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("t"))))
     per = written(both.groupBy("bucket").agg(F.sum("s").alias("s"), F.sum("t").alias("t")), "resample-counts")
-    all_ = per.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
+    all_s, all_t = per.agg(F.sum("s"), F.sum("t")).first()
     one = lambda c: F.col(c).cast("double")
-    ratio = ((one("t") + 1) * (one("all_s") + buckets)) / ((one("s") + 1) * (one("all_t") + buckets))
-    return per.join(F.broadcast(all_)).select("bucket", F.floor(F.lit(1000.0) * F.log(ratio)).alias("gain"))
+    ratio = ((one("t") + 1) * F.lit(float(all_s + buckets))) / ((one("s") + 1) * F.lit(float(all_t + buckets)))
+    return per.select("bucket", F.floor(F.lit(1000.0) * F.log(ratio)).alias("gain"))
 
 
 def _weigh(shared, buckets: int, id_type: pa.DataType):
