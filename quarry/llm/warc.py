@@ -101,12 +101,19 @@ def _store(uri: str):
 
 # ---- records
 
-def record(kind: str, uri: str, payload: bytes, digest: str, page_id, refers_to) -> bytes:
-    """A WARC/1.1 record; a revisit carries the digest and size of its payload, but not the payload."""
+def _field(value: str) -> str:
+    """A header value in one line: control characters, which no address may hold, are percent-encoded."""
+    return "".join(f"%{ord(c):02X}" if c < " " or c == "\x7f" else c for c in value)
+
+
+def record(kind: str, uri: str | None, payload: bytes, digest: str, page_id, refers_to) -> bytes:
+    """A WARC/1.1 record; a revisit carries the digest and size of its payload, but not the payload.
+
+    A null address has no header field and reads back as null."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     block = http if kind == "revisit" else http + payload
     head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
-            ("WARC-Target-URI", uri), ("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Payload-Digest", f"sha256:{digest}"),
+            *([] if uri is None else [("WARC-Target-URI", _field(uri))]), ("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Payload-Digest", f"sha256:{digest}"),
             ("X-Payload-Length", str(len(payload))), ("Content-Type", "application/http; msgtype=response"),
             ("Content-Length", str(len(block)))]
     if kind == "revisit":
@@ -164,7 +171,7 @@ def _write(folder: str):
                 rows = batch.slice(lo, 64).to_pylist()
                 for r in rows:
                     payload = (r["html"] or "").encode("utf-8")
-                    archive.add(record(r["record_type"], r["url"] or "", payload, r["payload_digest"], r["page_id"], r["refers_to"]))
+                    archive.add(record(r["record_type"], r["url"], payload, r["payload_digest"], r["page_id"], r["refers_to"]))
                     if archive.at > ROLL_BYTES:
                         yield _listed([archive.close()])
                         archive = _Archive(folder)
@@ -264,7 +271,7 @@ def _read(with_payload: bool):
                         if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
                             raise ValueError(f"payload of {fields['WARC-Record-ID']} in {uri} does not have its digest")
                         refers = fields.get("WARC-Refers-To")
-                        rows.append((page(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], kind, page(refers) if refers else None,
+                        rows.append((page(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), kind, page(refers) if refers else None,
                                      len(payload) if kind == "response" else int(fields["X-Payload-Length"]), digest,
                                      payload if with_payload and kind == "response" else None))
                         size += len(payload)
