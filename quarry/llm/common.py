@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,9 +31,34 @@ def n_words(text: Column) -> Column:
     return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, BLANK_RE))).cast("long")
 
 
+_scope: list[str] | None = None     # folders made inside the scope that is open
+
+
+@contextlib.contextmanager
+def scratch_scope(made: list[str]):
+    """Folders that ``scratch_path`` gives inside go to ``made``, for ``remove`` once nothing reads them."""
+    global _scope
+    before, _scope = _scope, made
+    try:
+        yield
+    finally:
+        _scope = before
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Remove scratch folders from the shared store."""
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
-    return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    if _scope is not None:
+        _scope.append(path)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -44,6 +70,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, *read: str) -> DataFrame:
+    """``df`` as ``_row``, a struct of all its columns, beside the columns that are read: no name that an
+    operator gives meets one of the table's."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *read)
+
+
+def unpacked(df: DataFrame, columns: list[str], *added: str) -> DataFrame:
+    """The columns of ``_row``, without those named like an added one, and the added ones."""
+    return df.select(*[F.col(f"_row.`{c}`") for c in columns if c not in added], *added)
+
+
 def drop_clashing(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that an operator is about to add."""
     return df.drop(*[c for c in df.columns if c in names])

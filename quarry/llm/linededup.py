@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import words, written
+from quarry.llm.common import packed, words, written
 
 SHINGLE = 5                 # words in a shingle; a shorter line has its whole word sequence as its one item
 #: similarity of 4/5 or more, in integers
@@ -20,13 +20,13 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_key"), F.posexplode_outer(F.split(text, "\n")).alias("line_no", "line"))
 
 
-def _shingled(lines: DataFrame, shortest: int) -> DataFrame:
-    """``lines`` of ``shortest`` words and more with ``items``, their distinct shingle hashes.
+def _shingled(lines: DataFrame) -> DataFrame:
+    """``lines`` with a word, with ``items``, their distinct shingle hashes.
 
     Nothing may filter on ``items``: the optimizer would move that filter below, and then split the
     line anew for every shingle.  A plain explode adds such a filter, the outer one does not.
     """
-    w = lines.withColumn("_w", words(F.col("line"))).drop("line").where(F.size("_w") >= shortest)
+    w = lines.withColumn("_w", words(F.col("line"))).drop("line").where(F.size("_w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - (SHINGLE - 1), F.lit(1)))
     grams = F.transform(starts, lambda i: F.xxhash64(F.slice("_w", i, SHINGLE)))
     return w.withColumn("items", F.array_distinct(grams)).drop("_w")
@@ -85,21 +85,20 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("x._key", "x.line_no").distinct())
 
 
-def repeated_lines(docs: DataFrame, shortest: int = SHINGLE) -> DataFrame:
+def repeated_lines(docs: DataFrame) -> DataFrame:
     """(_key, line_no) of each line that is at least 4/5 alike an earlier line of the corpus.
 
     Lines are compared as sets of five-word shingles (Jaccard), all against all, on the input as
-    it is: what an earlier line resembles does not matter.  Lines of fewer than ``shortest`` words
-    are left alone; OP2_SQL leaves alone those of fewer than five.  Equal sets form a class that its first
-    line stands for.  Each class gives the rarest items of its set (the prefix any similar set
+    it is: what an earlier line resembles does not matter.  A line of one to four words has its whole
+    word sequence as its one item.  Equal sets form a class that its first line stands for.  Each class gives the rarest items of its set (the prefix any similar set
     must share); those that no other class gives end there.  First every class meets the earliest
     class at each of its items, which settles large groups of near copies in one step; classes
     still open then meet all earlier classes at their items.
     """
     plain = docs.select("doc_id", "text")
-    ranks = _rarity(_shingled(_lines(plain), shortest))
+    ranks = _rarity(_shingled(_lines(plain)))
     n = F.size("items")
-    base = _shingled(_lines(plain), shortest).withColumn("items", _ordered(F.col("items"), ranks))
+    base = _shingled(_lines(plain)).withColumn("items", _ordered(F.col("items"), ranks))
     lines = written(base.select(
         "_key", "line_no", n.alias("n"), F.xxhash64("items").alias("s1"), F.xxhash64(F.lit(1), "items").alias("s2"),
         F.slice("items", 1, _prefix_length(n, UP, DOWN)).alias("prefix")), "line-prefixes")
@@ -115,7 +114,7 @@ def repeated_lines(docs: DataFrame, shortest: int = SHINGLE) -> DataFrame:
     keyed = plain.withColumn("_key", F.coalesce("doc_id", F.lit(NO_ID))).join(written(lines_wanted, "line-wanted"), "_key")
     picked = (keyed.select("_key", "_wanted", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
               .where(F.array_contains("_wanted", F.col("line_no"))).drop("_wanted"))
-    sets = written(_shingled(picked, shortest).dropDuplicates(["_key", "line_no"]), "line-sets")
+    sets = written(_shingled(picked).dropDuplicates(["_key", "line_no"]), "line-sets")
 
     near = shared.where("x <> y").where(_possible("a", "b")).select("x", "y").distinct()
     settled = written(_similar(near, sets), "line-settled")
@@ -131,30 +130,33 @@ def repeated_lines(docs: DataFrame, shortest: int = SHINGLE) -> DataFrame:
             .where("beaten or _key <> k or line_no <> l").select("_key", "line_no").distinct())
 
 
-def _with_removed(docs: DataFrame, shortest: int = SHINGLE) -> DataFrame:
-    """``docs`` with ``_removed``, the numbers of the lines to remove."""
-    gone = written(repeated_lines(docs, shortest).groupBy(F.col("_key").alias("_doc")).agg(F.sort_array(F.collect_list("line_no")).alias("_removed")), "line-removed")
-    return (docs.join(gone, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("_doc"), "left").drop("_doc")
-            .withColumn("_removed", F.coalesce("_removed", F.array().cast("array<int>"))))
+def _removed(docs: DataFrame) -> DataFrame:
+    """(doc, removed): the numbers of the lines to remove, for each document that loses some."""
+    gone = repeated_lines(docs).groupBy(F.col("_key").alias("doc")).agg(F.sort_array(F.collect_list("line_no")).alias("removed"))
+    return written(gone, "line-removed")
 
 
-def dedup_lines(docs: DataFrame, shortest: int = 1) -> DataFrame:
+def _key():
+    return F.coalesce("doc_id", F.lit(NO_ID))
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with text that lacks its repeated lines; documents that lose all lines with words go.
 
-    Columns and their order stay; n_chars, if there, is the length of the new text.  Lines of fewer
-    than ``shortest`` words stay unless nothing else does; with 1, a line of one to four words goes
-    when an earlier line has the same words.  Null, empty and blank texts stay as they are.
-    Rows that share a doc_id count as one document: a line equal in place is not its own repeat.
+    Columns and their order stay; n_chars, if there, is the length of the new text.  A line of one to
+    four words goes when an earlier line has the same words.  Null, empty and blank texts stay as they
+    are.  Rows that share a doc_id count as one document: a line equal in place is not its own repeat.
     An empty table gives no rows.  A null doc_id comes before all others.
     """
-    d = _with_removed(docs, shortest)
-    changed = F.size("_removed") > 0
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_removed", i)), "\n")
-    d = d.withColumn("_left", F.when(changed, kept).otherwise(F.col("text")))
-    d = d.where(~changed | F.col("_left").rlike(r"[^\x20\x09-\x0D]")).withColumn("text", F.col("_left"))
+    d = packed(docs, "doc_id", "text").join(_removed(docs), _key() == F.col("doc"), "left")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("removed", i)), "\n")
+    changed = F.col("removed").isNotNull()
+    d = d.select("_row", changed.alias("changed"), F.when(changed, kept).otherwise(F.col("text")).alias("left"))
+    d = d.where(~F.col("changed") | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("left")}
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return d.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("changed"), F.length("left").cast("long")).otherwise(F.col("_row.n_chars"))
+    return d.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
@@ -162,8 +164,9 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
     from quarry.llm.common import table
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long")
-    return _with_removed(docs).select("doc_id", n_lines.alias("n_lines"), F.size("_removed").cast("long").alias("n_removed"),
-                                      F.array_join("_removed", ",").alias("removed_lines"))
+    d = docs.join(_removed(docs), _key() == F.col("doc"), "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    return d.select("doc_id", n_lines.alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
+                    F.array_join("removed", ",").alias("removed_lines"))
 
 
 # all lines against all that share a shingle
@@ -172,8 +175,9 @@ WITH l AS (
   SELECT doc_id, i - 1 AS line_no, regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+') AS w, len(lines) AS n_lines
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents)),
 s AS (
-  SELECT doc_id, line_no, list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS g
-  FROM l WHERE len(w) >= 5),
+  SELECT doc_id, line_no, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g
+  FROM l WHERE len(w) > 0),
 c AS (SELECT g, min((doc_id, line_no)) AS f, row_number() OVER () AS cid, len(g) AS n FROM s GROUP BY g),
 e AS (SELECT cid, f, n, unnest(g) AS x FROM c),
 beaten AS (

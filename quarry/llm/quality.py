@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import drop_clashing, words, written
+from quarry.llm.common import drop_clashing, packed, unpacked, words, written
 
 # fixed values: frequent function words of English, German, French and Spanish, each counted once
 COMMON_WORDS = (
@@ -139,15 +139,16 @@ def judge(docs: DataFrame) -> DataFrame:
     replaced; all others are kept.
     """
     refs = written(references(features(docs.select("text", "lang"))), "quality-refs")
-    return verdicts(features(docs), refs)
+    judged = verdicts(features(packed(docs, "text", "lang")), refs)
+    return unpacked(judged, docs.columns, *ADDED)
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, all columns as they were."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", "lang")
+    """The rows of ``docs`` that ``judge`` keeps, all columns as they were; null, empty and short texts go."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "text", "lang")
     # the place keeps the filter above the computed columns, see ``references``
-    placed = judge(packed).withColumn("_place", F.monotonically_increasing_id())
-    return placed.where(F.col("kept") & (F.col("_place") >= 0)).select("_row.*")
+    placed = judge(rows).withColumn("_place", F.monotonically_increasing_id())
+    return placed.where(F.col("kept") & (F.col("_place") >= 0)).select("whole.*")
 
 
 def op1_quality_divergence(spark, sf_dir: str) -> DataFrame:

@@ -87,6 +87,45 @@ def test_odd_rows_and_empty_tables(op, docs, empty):
         assert n == docs.count()
 
 
+INTERNAL = ("_row", "_lang", "_left", "_removed", "_key", "_doc", "_place", "_words", "_classes", "whole", "removed", "changed", "left", "doc")
+
+
+@pytest.mark.parametrize("op", [quality.judge, quality.keep, linededup.dedup_lines])
+def test_columns_named_like_internal_ones(op, docs):
+    """The names an operator gives inside don't touch a table's columns, nor do these touch it."""
+    wide = docs.withColumns({c: F.lit(f"own {c}") for c in INTERNAL})
+    out = op(wide)
+    assert [c for c in out.columns if c in wide.columns] == wide.columns
+    assert {tuple(r) for r in out.select(*INTERNAL).distinct().collect()} == {tuple(f"own {c}" for c in INTERNAL)}
+    assert sorted(out.select("doc_id", "text").collect(), key=str) == sorted(op(docs).select("doc_id", "text").collect(), key=str)
+
+
+def test_workers_need_no_install(tmp_path):
+    """A driver that alone can import the package: functions for the workers travel with the task."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from quarry.session import get_spark
+spark = get_spark("local[2]", shuffle_partitions=2)
+from quarry.llm import gracehash, licenses, manifest, minhash, ngramlm, resampling, suffixes, toxicity, warc
+docs = spark.createDataFrame([(k, "a few words of text " * (k % 4 + 6), "en", "s", 1) for k in range(9)], "doc_id long, text string, lang string, source string, n_chars long")
+labels = spark.createDataFrame([(k, k % 2) for k in range(9)], "doc_id long, label int")
+pages = docs.selectExpr("doc_id page_id", "'u' url", "text html")
+for f in (gracehash.exact_groups, licenses.license_scan, minhash.near_duplicates, ngramlm.backoff_scores, suffixes.remove_repeats,
+          lambda d: resampling.resample(d, d), lambda d: manifest.prove(manifest.build(manifest.leaves_of(d))),
+          lambda d: toxicity.score(d, toxicity.train(d, labels)), lambda d: warc.read_archives(warc.write_archives(pages))):
+    f(docs).count()
+print("all", "ran")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=500)
+    assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
 def test_filters_keep_columns(docs):
     wide = clashing(docs)
     for op in (quality.keep, linededup.dedup_lines, minhash.keep_one):
@@ -116,7 +155,7 @@ def test_line_dedup_brute(plain):
     for key, t in sorted(texts):
         for k, line in enumerate((t or "").split("\n")):
             w = split(line)
-            s = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+            s = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
             if not s:
                 continue
             if any(5 * len(s & o) >= 4 * len(s | o) for o in seen):
@@ -127,6 +166,14 @@ def test_line_dedup_brute(plain):
     assert got == gone and gone
 
 
+def test_addresses_that_would_break_a_header(spark):
+    """Control characters of an address are percent-encoded, a null one stays null."""
+    df = spark.createDataFrame([(1, "http://a/\r\nWARC-Type: metadata", "<p>x</p>"), (2, None, "y"), (3, "http://b/?q=%0A&é", None), (4, "", "z")],
+                               "page_id long, url string, html string")
+    back = {r.page_id: (r.url, bytes(r.payload)) for r in warc.read_archives(warc.write_archives(df)).collect()}
+    assert back == {1: ("http://a/%0D%0AWARC-Type: metadata", b"<p>x</p>"), 2: (None, b"y"), 3: ("http://b/?q=%0A&é", b""), 4: ("", b"z")}
+
+
 def test_line_dedup_takes_short_lines(spark):
     texts = ["All rights reserved.\none\n\nthe first line of five words", "all rights reserved.\nAll  rights reserved.\none two\nkept",
              "one\nAll rights reserved.", "one two three four\none two three four five\n ", "one two three four\nlast"]
@@ -415,6 +462,7 @@ def test_pipeline(spark, tmp_path):
     """Every stage once, each against brute force on its own input."""
     import corpus_pipeline as P
     mine = rows()[:24] + rows()[60:66] + [r for r in rows() if r[0] in (80, 81, 83)]
+    mine = [(k, t + "\nAll rights reserved." if k in (2, 5, 7) else t, *r) for k, t, *r in mine]
     leak = " ".join(split(mine[10][1])[:30])
     spark.createDataFrame(mine, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, leak)], "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
@@ -436,7 +484,7 @@ def test_pipeline(spark, tmp_path):
         keep = []
         for line in judged[k].text.split("\n"):
             w = split(line)
-            s = {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+            s = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
             if not any(s and 5 * len(s & o) >= 4 * len(s | o) for o in lines):
                 keep.append(line)
             lines.append(s)
