@@ -161,10 +161,10 @@ def normalised(text):
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK_RE, " ")
 
 
-def _n_buckets(rows: DataFrame, bucket_bytes: int) -> int:
-    """So many that each has ``bucket_bytes`` of content if contents were spread evenly."""
-    total = rows.agg(F.sum(F.octet_length("content") + ENTRY_BYTES)).first()[0] or 0
-    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
+def _n_buckets(content: DataFrame, bucket_bytes: int) -> int:
+    """So many that each has ``bucket_bytes`` of the one column's content if it were spread evenly."""
+    total = content.agg(F.sum(F.coalesce(F.octet_length(content.columns[0]), F.lit(0)) + ENTRY_BYTES)).first()[0] or 0
+    return max(int(content.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
 
 
 def exact_groups(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, table_bytes: int = TABLE_BYTES,
@@ -189,14 +189,14 @@ def exact_groups(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, table_bytes:
     of_id = "string" if kind == pa.string() else "long"
     rows = docs.select(F.col("doc_id").cast(of_id).alias("doc_id"), F.lit(None).cast("long").alias("id"),
                        F.lit(1).cast("long").alias("n"), normalised(F.col("text")).cast("binary").alias("content"))
-    rounds = []
+    rounds, held = [], docs.select("text")
     while True:
         hashed = rows.withColumn("h", F.xxhash64("content", F.lit(len(rounds))))
         one = hashed.mapInArrow(_collapse(local_bytes, kind), f"kind int, rep long, doc_id {of_id}, id long, h long, "
                                                               "n long, many boolean, content binary")
         # members follow their row, contents their hash: neither lands with all copies of one text
         place = F.when(F.col("kind") == REP, F.col("h")).otherwise(F.xxhash64("rep"))
-        dealt = one.repartition(_n_buckets(rows, min(bucket_bytes, table_bytes)), place)
+        dealt = one.repartition(_n_buckets(held, min(bucket_bytes, table_bytes)), place)
         out = written(dealt.mapInArrow(_match(table_bytes, kind), f"kind int, rep long, doc_id {of_id}, id long, n long, "
                       f"many boolean, content binary, keep_id {of_id}, group_size long, kept boolean, text_sha256 string"),
                       f"grace-{len(rounds)}")
@@ -205,6 +205,7 @@ def exact_groups(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, table_bytes:
         if spilled.isEmpty():
             break
         rows = spilled.select("doc_id", F.col("rep").alias("id"), "n", "content")
+        held = spilled.select("content")
     found = ("keep_id", "group_size", "kept", "text_sha256")
     later = None
     for out in reversed(rounds):
