@@ -829,8 +829,9 @@ def card_pages(spark, sf):
                     items, F.lit("</ul></div></div>"))
     page = e.groupBy(F.expr(f"at div {CARDS_PER_PAGE}").alias("page_id")).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("at", card.alias("card")))), lambda x: x["card"]), "").alias("cards"))
-    return page.select("page_id", F.concat(F.lit("https://comments.example.gov/list?pageNumber="), (F.col("page_id") + 1).cast("string")).alias("url"),
-                       F.concat(F.lit('<html><body><div class="results-container">'), F.col("cards"), F.lit("</div></body></html>")).alias("html"))
+    out = page.select("page_id", F.concat(F.lit("https://comments.example.gov/list?pageNumber="), (F.col("page_id") + 1).cast("string")).alias("url"),
+                      F.concat(F.lit('<html><body><div class="results-container">'), F.col("cards"), F.lit("</div></body></html>")).alias("html"))
+    return written(out, "list-pages")           # as a crawl would leave them: a table
 
 
 def h13_labelled_items(spark, sf):
