@@ -32,9 +32,11 @@ TARGET_PR = """target_press_release AS (
   FROM articles a JOIN agencies g ON a.a_id = g.a_id WHERE a.id % 2 = 0)"""
 
 
-def press_release_sql(keywords=P.KEYWORD_SKIPS, articles=ARTICLES, as_of=AS_OF, target=True) -> str:
+def press_release_sql(keywords=P.KEYWORD_SKIPS, articles=ARTICLES, as_of=AS_OF, target=True, replies=None) -> str:
+    """``replies``: SQL of (id, told), a model's replies that take the place of the descriptions."""
     stored = "x5.filename IN (SELECT filename FROM target_press_release) OR " if target else ""
-    desc = R.strip_boilerplate(R.fold("desc0", "T2"))
+    desc = R.strip_boilerplate(R.fold("told", "T2"))
+    told, join = ("told", f"LEFT JOIN ({replies}) t USING (id)") if replies else ("array_to_string(abstract_texts, ' ') AS told", "")
     kw = R.first_contained("dtext", keywords)
     body_raw = ("chr(10) || 'WASHINGTON, ' || strftime(DATE '" + as_of + "', '%b. %d') || ' -- ' || post_head || ':' || chr(10) || '*' || chr(10) "
                 "|| (CASE WHEN length(head) > 0 THEN replace(dtext, head, '') ELSE dtext END) "
@@ -42,17 +44,18 @@ def press_release_sql(keywords=P.KEYWORD_SKIPS, articles=ARTICLES, as_of=AS_OF,
     body = R.normalise_whitespace(body_raw)
     return f"""
 WITH {articles}, {AGENCIES}, {TARGET_PR if target else "none AS (SELECT 1)"},
-x0 AS (SELECT id, a_id, head, journal_name, date, url, array_to_string(abstract_texts, ' ') AS desc0 FROM articles),
+x0 AS (SELECT id, a_id, head, journal_name, date, url, array_to_string(abstract_texts, ' ') AS desc0, {told} FROM articles {join}),
 x1 AS (SELECT *, {desc} AS dtext FROM x0),
 x2 AS (SELECT *, {kw} AS kw, length(dtext) AS desc_len,
               'The ' || journal_name || ' posted research article in ''' || head || '''' AS post_head FROM x1),
 x3 AS (SELECT x2.*, g.filename AS agency_filename FROM x2 LEFT JOIN agencies g ON x2.a_id = g.a_id),
-x4 AS (SELECT id, a_id, head, date, kw, desc_len, desc0, url,
+x4 AS (SELECT id, a_id, head, date, kw, desc_len, desc0, told, url,
               left(post_head, {P.HEADLINE_MAX}) AS headline,
               {body} AS story_txt,
               '$H ' || agency_filename || strftime(date, '%y%m%d') || right(head, 10) AS filename
        FROM x3),
 x5 AS (SELECT *, CASE WHEN desc0 IS NULL OR length(desc0) = 0 THEN 'description_is_none'
+                      WHEN told IS NULL THEN 'no_reply'
                       WHEN kw IS NOT NULL THEN 'keyword'
                       WHEN desc_len <= {P.ARTICLE_MIN_CHARS} THEN 'too_short'
                       WHEN filename IS NULL THEN 'filename_is_none' END AS pre_reason FROM x4),
@@ -90,4 +93,6 @@ def all_sql() -> dict[str, str]:
     q.update(oracle_batch5.sql())
     import oracle_batch6
     q.update(oracle_batch6.sql())
+    import oracle_batch7
+    q.update(oracle_batch7.sql())
     return q

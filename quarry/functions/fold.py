@@ -146,6 +146,13 @@ def n_dropped(c: Column) -> Column:
     return F.when(has_non_ascii(c), F.length(F.regexp_replace(other, "[\\x00-\\x7F]+", ""))).otherwise(F.lit(0)).cast("long")
 
 
+def dropped_chars(c: Column) -> Column:
+    """The characters ``n_dropped`` counts, as an array in text order; null counts as empty."""
+    _, chars = build_map("T2")
+    left = F.when(has_non_ascii(c), F.translate(c, "".join(chars), "")).otherwise(F.lit(""))
+    return F.regexp_extract_all(F.coalesce(left, F.lit("")), F.lit("([^\\x00-\\x7F])"), 1)
+
+
 def fold_python(s: str, table: str = "T1") -> str:
     """Same plan in plain Python; used by tests as the brute-force side."""
     seqs, multi, src, dst = plan(table)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.fold import dropped_chars
+
 
 def join_texts(df: DataFrame, group, order: str, text: str, sep: str = " ", out: str = "text") -> DataFrame:
     """A1: texts of a group joined by ``sep`` in order."""
@@ -38,12 +40,25 @@ def reason_details(outcomes: DataFrame, labels: DataFrame, reason: str = "reason
                     .orderBy(reason, detail))
 
 
-def run_metrics(outcomes: DataFrame, success: str, reason: str = "reason") -> DataFrame:
-    """Loaded, looked at, duplicates, missing lede in one aggregate."""
+def run_metrics(outcomes: DataFrame, success: str, reason: str = "reason", sites: DataFrame | None = None) -> DataFrame:
+    """Loaded, looked at, duplicates, missing lede in one aggregate; with ``sites``, the rows of the
+    site list that the run went through, also ``sites``, their number."""
     r = F.col(reason)
-    return outcomes.agg(
+    m = outcomes.agg(
         F.count_if(r == success).alias("loaded"),
         F.count_if(r != "not_reached").alias("looked_at"),
         F.count_if(r == "duplicate").alias("duplicates"),
         F.count_if(r == "no_lede").alias("no_lede"),
         F.count(F.lit(1)).alias("records"))
+    # one row beside one row
+    return m if sites is None else m.join(F.broadcast(sites.agg(F.count(F.lit(1)).alias("sites"))), F.lit(True))
+
+
+def drop_report(df: DataFrame, text: str) -> DataFrame:
+    """A row per character that no rule covers: code_point, how often it was dropped (n) and in how
+    many rows (n_rows).  Counted per row first, so a text of one alphabet moves a row per letter."""
+    c = df.withColumn("_c", dropped_chars(F.col(text))).where(F.size("_c") > 0)
+    per = c.select(F.explode(F.transform(F.array_distinct("_c"), lambda ch: F.struct(
+        F.ascii(ch).alias("code_point"), F.size(F.filter("_c", lambda x: x == ch)).alias("n")))).alias("_d"))
+    return per.groupBy(F.col("_d.code_point").alias("code_point")).agg(
+        F.sum("_d.n").alias("n"), F.count(F.lit(1)).alias("n_rows"))

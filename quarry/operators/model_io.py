@@ -73,6 +73,13 @@ def build_requests(df: DataFrame, id_cols, user_text: str, system_prompt: Column
     return df.select(*id_cols, F.lit(MODEL_NAME).alias("model"), msgs.alias("messages"))
 
 
+def journal_requests(issues: DataFrame, id_cols, abstract_texts: str = "abstract_texts") -> DataFrame:
+    """M1 for journals: the abstracts of an issue record in one text, asked with the journal prompt.
+    Records without text are not asked."""
+    d = issues.withColumn("_said", F.array_join(F.col(abstract_texts), " ")).where(F.length("_said") > 0)
+    return build_requests(d, id_cols, "_said", F.lit(JOURNAL_PROMPT))
+
+
 def consume_replies(requests: DataFrame, replies: DataFrame, keys, pdf_text: str, link: str,
                     reply: str = "reply", signers=P.SIGNER_PHRASES) -> DataFrame:
     """M3: J7 then T1, T8, P11, T6, T7, T9; adds headline, body, box,

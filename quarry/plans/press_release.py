@@ -23,9 +23,11 @@ from quarry.session import written
 
 
 def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | None,
-                  params: P.RunParams = P.RunParams()) -> DataFrame:
+                  params: P.RunParams = P.RunParams(), replies: DataFrame | None = None) -> DataFrame:
     """One row per issue record: ``reason`` ('loaded' or why not), ``detail``
-    and the columns the press_release target takes."""
+    and the columns the press_release target takes.  With ``replies`` (id, reply;
+    one per id at most) a model's reply takes the place of the description, and
+    a described record without one has the reason ``no_reply``."""
     as_of = F.lit(params.as_of_str).cast("date")
     head = F.col("head")
     link = F.concat_ws(": ", F.col("a_id"), F.col("url"))
@@ -35,11 +37,15 @@ def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | No
     x = issues.select(
         "id", "a_id", "head", "journal_name", "date", "url",
         F.array_join(F.col("abstract_texts"), " ").alias("desc0"))
-    x = x.withColumn("desc_t", transliterate(F.col("desc0")))
+    told = F.col("desc0")
+    if replies is not None:
+        x = x.join(replies.select("id", F.col("reply").alias("told")), "id", "left")
+        told = F.col("told")
+    x = x.withColumn("desc_t", transliterate(told))
     x = x.withColumn("desc", T.strip_boilerplate(F.col("desc_t"))).drop("desc_t")
     x = written(x.select(
         F.monotonically_increasing_id().alias("row"), "id", "a_id", "head", "journal_name", "date", "url", "desc",
-        (F.length("desc0") > 0).alias("described"),
+        (F.length("desc0") > 0).alias("described"), told.isNotNull().alias("answered"),
         T.first_contained(F.col("desc"), params.keyword_skips).alias("kw"), F.length("desc").alias("desc_len")), "descriptions")
 
     slim = lookup(x.drop("desc"), agencies.select("a_id", F.col("filename").alias("agency_filename")),
@@ -48,11 +54,12 @@ def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | No
     slim = slim.withColumn("filename", T.article_filename(F.col("agency_filename"), F.col("date"), head))
     pre = first_failing(
         (~F.coalesce("described", F.lit(False)), "description_is_none"),
+        (~F.col("answered"), "no_reply"),
         (F.col("kw").isNotNull(), "keyword"),
         (F.col("desc_len") <= P.ARTICLE_MIN_CHARS, "too_short"),
         (F.col("filename").isNull(), "filename_is_none"),
     )
-    slim = written(slim.withColumn("pre_reason", pre).drop("agency_filename", "described"), "article-rows")
+    slim = written(slim.withColumn("pre_reason", pre).drop("agency_filename", "described", "answered"), "article-rows")
     y = insert_if_absent(slim, target, "filename", "id", eligible=F.col("pre_reason").isNull())
     reason = F.coalesce(F.col("pre_reason"),
                         F.when(F.col("is_duplicate"), F.lit("duplicate")),

@@ -974,6 +974,105 @@ def x6_run_report(spark, sf):
     return counts.select("reason", "label", F.col("n").cast("long").alias("n"))
 
 
+# ------------------------------------------------------------------ requests and replies between runs
+def _fresh(spark, name):
+    import uuid
+    from quarry.session import scratch_dir
+    return scratch_dir(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def m1_journal_requests(spark, sf):
+    from quarry.operators.ledger import request_digest
+    from quarry.operators.model_io import journal_requests
+    r = journal_requests(S.articles(spark, sf), ["id"])
+    return r.select("id", "model", request_digest(F.col("model"), F.col("messages")).alias("request_id"))
+
+
+def _ask_letters(spark, sf, ledger, letters, run):
+    from quarry.operators.model_io import build_requests, prompt_dateline
+    rid = F.concat_ws("-", "conv_id", "turn")
+    ledger.ask(build_requests(letters.withColumn("record_id", rid), ["record_id", "conv_id", "turn"], "pdf_text",
+                              prompt_dateline(_as_of())), run)
+
+
+def j7_request_ledger(spark, sf):
+    """Three runs over the letters of ``conversations``: the first asks for the conversations with an even
+    number, the others for all; after the first come the replies of every fourth conversation, after
+    the second all; each run takes what is there.  The second run is made twice, as after a failure."""
+    from quarry.operators.ledger import RequestLedger, request_digest
+    ledger = RequestLedger(spark, _fresh(spark, "ledger"), "conv_id long, turn long")
+    letters, replies = _requests(spark, sf), _replies_for_requests(spark, sf)
+
+    def reply(which, run):
+        """The service's side: what it is asked, answered from the table."""
+        said = ledger.table("records").join(replies.where(which), ["conv_id", "turn"])
+        ledger.receive(said.select("request_id", "reply"), run)
+
+    _ask_letters(spark, sf, ledger, letters.where(F.col("conv_id") % 2 == 0), "run-1")
+    reply(F.col("conv_id") % 4 == 0, "run-1")
+    for run in ("run-2", "run-2"):
+        _ask_letters(spark, sf, ledger, letters, run)
+        ledger.take(run)
+    reply(F.lit(True), "run-2")
+    ledger.take("run-3")
+    met = ledger.status().join(ledger.table("answered").select("request_id", "reply"), "request_id", "left")
+    return met.select("record_id", "request_id", "asked_in", "answered_in", "met_in", "reply")
+
+
+def x2_with_replies(spark, sf):
+    """X2 on the replies to the journal requests; the reply to article k is the first one of conversation k."""
+    from quarry.operators.ledger import RequestLedger
+    from quarry.operators.model_io import journal_requests
+    from quarry.plans.press_release import press_release
+    articles = S.articles(spark, sf)
+    ledger = RequestLedger(spark, _fresh(spark, "journal-ledger"), "id long")
+    ledger.ask(journal_requests(articles.withColumn("record_id", F.col("id").cast("string")), ["record_id", "id"]), "run-1")
+    said = S.replies(spark, sf).where("turn = 1").select(F.col("conv_id").alias("id"), "reply")
+    # copies of an article are one question, and the service answers it once
+    ledger.receive(ledger.table("records").join(said, "id").select("request_id", "reply"), "run-1")
+    return press_release(articles, S.agencies(spark, sf), S.target_press_release(spark, sf), FIXTURE, replies=ledger.take("run-1"))
+
+
+def x5_story_runs(spark, sf):
+    """The comment chain from list pages to stored stories in three runs: X3, X4, requests, replies, X5, S10.
+
+    The reply to a comment is the first one of the conversation with its file's number.  Replies of odd
+    conversations come after the first run, so the second run adds their stories; the third adds none."""
+    from quarry.plans.story import STORY_SCHEMA, ask_stories, open_ledger, publish_stories
+    from quarry.sources.sinks import read_committed
+    ready = _comment_texts(spark, sf, written(x3_comment_cards(spark, sf), "cards")).where(F.col("reason") == "added")
+    pages = comment_pages(spark, sf).select(F.col("url").alias("link"), "pdf_id", F.col("pdf_title").alias("title"))
+    texts = ready.select("event_id", "id", F.concat(F.lit("/comment/"), F.col("id")).alias("link"), "clean_text").join(pages, "link")
+    texts = written(texts.select(F.col("event_id").alias("position"), "id", "title",
+                                 F.concat(F.lit(P.COMMENT_HOST), F.col("link")).alias("link"),
+                                 F.col("clean_text").alias("pdf_text"), "pdf_id"), "texts")
+    said = S.replies(spark, sf).where("turn = 1").select(F.col("conv_id").alias("pdf_id"), "reply")
+    by_link = texts.select(F.col("link").alias("record_id"), "pdf_id").join(said, "pdf_id")
+    ledger, target = open_ledger(spark, _fresh(spark, "story-ledger")), _fresh(spark, "stories")
+    for run, which in (("run-1", F.col("pdf_id") % 2 == 0), ("run-2", F.lit(True)), ("run-3", F.lit(True))):
+        ask_stories(texts, ledger, FIXTURE, run)
+        ledger.receive(ledger.table("records").join(by_link.where(which), "record_id").select("request_id", "reply"), run)
+        publish_stories(ledger, target, FIXTURE, run)
+    t = read_committed(spark, target, STORY_SCHEMA)
+    return t.select("batch", "filename", "uname", "source", "headline", "story_txt", "status", "content_date", "comments", "orig_txt")
+
+
+def x6_journal_report(spark, sf):
+    """X6 over the journal chain: landing pages, issue records, press releases."""
+    from quarry.plans.journal_issues import issue_records, listed_issues
+    from quarry.plans.press_release import press_release
+    from quarry.plans.report import journal_report
+    pages, matched, tpls = _issue_run(spark, sf)
+    listed = written(listed_issues(pages, matched, tpls, FIXTURE_ISSUES), "listed-issues")
+    records = written(issue_records(listed, issue_pages(spark, sf), abstract_pages(spark, sf), tpls, FIXTURE_ISSUES), "records")
+    ok = records.where(F.col("reason") == "ok").withColumn("journal_name", F.concat(F.lit("Journal "), F.col("a_id")))
+    released = press_release(ok, S.agencies(spark, sf), None, FIXTURE_ISSUES).select("reason")
+    outcomes = (listed.where(F.col("reason") != "ok").select("reason")
+                .unionByName(records.where(F.col("reason") != "ok").select("reason")).unionByName(released))
+    sites = pages.join(matched.where(F.col("keyword").isNotNull()), "page_id").select("journal").distinct()
+    return journal_report(written(outcomes, "outcomes"), sites, ok.select(F.array_join("abstract_texts", " ").alias("text")))
+
+
 # ------------------------------------------------------------------ streaming W1-W4
 def stage_events(spark, sf, parts=((21, 31), (11, 20), (1, 10))):
     """New files arriving: the events table written as three groups of files, the newest days
