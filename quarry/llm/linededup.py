@@ -1,4 +1,4 @@
-"""Line dedup: exact set-similarity join of lines on word shingles, with prefix filtering."""
+"""Line dedup: exact set-similarity join of lines as sets of words, rarest words first."""
 
 from __future__ import annotations
 
@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import packed, words, written
 
-SHINGLE = 5                 # words in a shingle; a shorter line has its whole word sequence as its one item
 #: similarity of 4/5 or more, in integers
 UP, DOWN = 4, 5
-BUCKETS = 16                # rarity is counted over 2**BUCKETS buckets of shingle hashes
+BUCKETS = 16                # rarity is counted over 2**BUCKETS buckets of word hashes
 NO_ID = -(1 << 63)          # a null doc_id comes before all others
 
 
@@ -20,23 +19,21 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_key"), F.posexplode_outer(F.split(text, "\n")).alias("line_no", "line"))
 
 
-def _shingled(lines: DataFrame) -> DataFrame:
-    """``lines`` with a word, with ``items``, their distinct shingle hashes.
+def _itemized(lines: DataFrame) -> DataFrame:
+    """``lines`` with a word, with ``items``, the hashes of their distinct words.
 
     Nothing may filter on ``items``: the optimizer would move that filter below, and then split the
-    line anew for every shingle.  A plain explode adds such a filter, the outer one does not.
+    line anew for every word.  A plain explode adds such a filter, the outer one does not.
     """
     w = lines.withColumn("_w", words(F.col("line"))).drop("line").where(F.size("_w") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - (SHINGLE - 1), F.lit(1)))
-    grams = F.transform(starts, lambda i: F.xxhash64(F.slice("_w", i, SHINGLE)))
-    return w.withColumn("items", F.array_distinct(grams)).drop("_w")
+    return w.withColumn("items", F.array_distinct(F.transform("_w", lambda x: F.xxhash64(x)))).drop("_w")
 
 
 def _rarity(items: DataFrame) -> Column:
-    """Rank of each bucket of shingle hashes, rarest first, as a literal array.
+    """Rank of each bucket of word hashes, rarest first, as a literal array.
 
     The bucket is the top bits of a hash and ranks are a permutation of buckets, so replacing the
-    bucket by its rank keeps hashes distinct: an order of shingles by rarity, ties by hash.  The
+    bucket by its rank keeps hashes distinct: an order of words by rarity, ties by hash.  The
     table has 2**BUCKETS cells whatever the corpus is.
     """
     bucket = F.shiftrightunsigned("h", 64 - BUCKETS)
@@ -61,22 +58,41 @@ def _prefix_length(n: Column, up: int, down: int) -> Column:
     return (n - F.floor((n * up + down - 1) / down) + 1).cast("int")
 
 
+def _parity(items: Column, half: int) -> Column:
+    """Half of a sketch of 128 bits: bit k tells whether an odd number of items falls on it.  An item
+    that only one of two sets has changes one bit, so sketches differ in no more bits than sets in items."""
+    mine = F.filter(items, lambda h: h.bitwiseAND(F.lit(64)) == half * 64)
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(mine, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
+
+
 def _possible(a: str, b: str) -> Column:
-    """Length, prefix and positional filters of two rows with a shared item.
+    """Length, prefix, positional and sketch filters of two rows with a shared item.
 
     The overlap needed is ceil(t / (1 + t) * (n + m)), 4/9 of both lengths.  The items before the
-    shared one can add the smaller of the two places, those after it the smaller rest.
+    shared one can add the smaller of the two places, those after it the smaller rest.  The sets
+    differ in at most n + m items less twice the overlap, and their sketches in no more bits.
     """
+    differ = sum(F.bit_count(F.col(f"{a}.{h}").bitwiseXOR(F.col(f"{b}.{h}"))) for h in ("lo", "hi"))
     n, m, i, j = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.i"), F.col(f"{b}.i")
     needed = F.ceil((n + m) * UP / (UP + DOWN))
     small_place = F.when(n < m, i).when(m < n, j).otherwise(F.least(i, j))
     return ((F.least(n, m) * DOWN >= F.greatest(n, m) * UP)
             & (small_place < _prefix_length(F.least(n, m), 2 * UP, UP + DOWN))
-            & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= needed))
+            & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= needed)
+            & (differ <= n + m - 2 * needed))
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (key, line_no) of pairs whose full sets are similar enough."""
+def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The (_key, line_no) of the x of pairs (x, y) whose full sets are similar enough.
+
+    Only lines in a pair are split into words again."""
+    ends = pairs.select("x").union(pairs.select("y")).distinct()
+    wanted = ends.groupBy("x._key").agg(F.collect_list("x.line_no").alias("_wanted"))
+    keyed = docs.withColumn("_key", F.coalesce("doc_id", F.lit(NO_ID))).join(wanted, "_key")
+    picked = (keyed.select("_key", "_wanted", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+              .where(F.array_contains("_wanted", F.col("line_no"))).drop("_wanted"))
+    sets = written(_itemized(picked).dropDuplicates(["_key", "line_no"]), "line-sets")
     mine = sets.select(F.struct("_key", "line_no").alias("x"), F.col("items").alias("a"))
     other = sets.select(F.struct("_key", "line_no").alias("y"), F.col("items").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
@@ -88,41 +104,35 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(_key, line_no) of each line that is at least 4/5 alike an earlier line of the corpus.
 
-    Lines are compared as sets of five-word shingles (Jaccard), all against all, on the input as
-    it is: what an earlier line resembles does not matter.  A line of one to four words has its whole
-    word sequence as its one item.  Equal sets form a class that its first line stands for.  Each class gives the rarest items of its set (the prefix any similar set
+    Lines are compared as sets of words (Jaccard), all against all, on the input as it is: what an
+    earlier line resembles does not matter.  Equal sets form a class that its first line stands for.  Each class gives the rarest items of its set (the prefix any similar set
     must share); those that no other class gives end there.  First every class meets the earliest
     class at each of its items, which settles large groups of near copies in one step; classes
     still open then meet all earlier classes at their items.
     """
     plain = docs.select("doc_id", "text")
-    ranks = _rarity(_shingled(_lines(plain)))
+    ranks = _rarity(_itemized(_lines(plain)))
     n = F.size("items")
-    base = _shingled(_lines(plain)).withColumn("items", _ordered(F.col("items"), ranks))
+    base = _itemized(_lines(plain)).withColumn("items", _ordered(F.col("items"), ranks))
     lines = written(base.select(
         "_key", "line_no", n.alias("n"), F.xxhash64("items").alias("s1"), F.xxhash64(F.lit(1), "items").alias("s2"),
-        F.slice("items", 1, _prefix_length(n, UP, DOWN)).alias("prefix")), "line-prefixes")
-    classes = written(lines.groupBy("s1", "s2", "n").agg(F.min(F.struct("_key", "line_no", "prefix")).alias("f"))
+        F.slice("items", 1, _prefix_length(n, UP, DOWN)).alias("prefix"),
+        _parity(F.col("items"), 0).alias("lo"), _parity(F.col("items"), 1).alias("hi")), "line-prefixes")
+    classes = written(lines.groupBy("s1", "s2", "n").agg(F.min(F.struct("_key", "line_no", "prefix", "lo", "hi")).alias("f"))
                       .select("s1", "s2", "n", "f.*"), "line-classes")
-    rows = (classes.select("_key", "line_no", "n", F.posexplode("prefix").alias("i", "item"))
+    rows = (classes.select("_key", "line_no", "n", "lo", "hi", F.posexplode("prefix").alias("i", "item"))
             .where("item is not null").repartition("item"))
-    first = rows.groupBy("item").agg(F.min(F.struct("_key", "line_no", "n", "i")).alias("p"), F.count("*").alias("c")).where("c > 1").drop("c")
+    first = rows.groupBy("item").agg(F.min(F.struct("_key", "line_no", "n", "i", "lo", "hi")).alias("p"), F.count("*").alias("c")).where("c > 1").drop("c")
     shared = written(rows.join(first.hint("shuffle_hash"), "item")
-                     .select("item", F.struct("_key", "line_no").alias("x"), F.struct("n", "i").alias("a"),
-                             F.struct("p._key", "p.line_no").alias("y"), F.struct("p.n", "p.i").alias("b")), "line-shared")
-    lines_wanted = shared.select("x.*").distinct().groupBy("_key").agg(F.collect_list("line_no").alias("_wanted"))
-    keyed = plain.withColumn("_key", F.coalesce("doc_id", F.lit(NO_ID))).join(written(lines_wanted, "line-wanted"), "_key")
-    picked = (keyed.select("_key", "_wanted", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
-              .where(F.array_contains("_wanted", F.col("line_no"))).drop("_wanted"))
-    sets = written(_shingled(picked).dropDuplicates(["_key", "line_no"]), "line-sets")
-
-    near = shared.where("x <> y").where(_possible("a", "b")).select("x", "y").distinct()
-    settled = written(_similar(near, sets), "line-settled")
+                     .select("item", F.struct("_key", "line_no").alias("x"), F.struct("n", "i", "lo", "hi").alias("a"),
+                             F.struct("p._key", "p.line_no").alias("y"), F.struct("p.n", "p.i", "p.lo", "p.hi").alias("b")), "line-shared")
+    near = written(shared.where("x <> y").where(_possible("a", "b")).select("x", "y").distinct(), "line-near")
+    settled = written(_similar(near, plain), "line-settled")
     open_ = shared.join(settled.select(F.struct("_key", "line_no").alias("x")), "x", "left_anti")
     earlier = shared.where("x <> y").select("item", F.col("x").alias("z"), F.col("a").alias("c"))
     rest = (open_.select("item", "x", "a").join(earlier, "item").where("z < x").where(_possible("a", "c"))
             .select("x", F.col("z").alias("y")).distinct())
-    beaten = written(settled.unionByName(_similar(rest, sets)), "line-beaten")
+    beaten = written(settled.unionByName(_similar(written(rest, "line-rest"), plain)), "line-beaten")
 
     firsts = (classes.join(beaten.withColumn("beaten", F.lit(True)), ["_key", "line_no"], "left")
               .select("s1", "s2", "n", F.col("_key").alias("k"), F.col("line_no").alias("l"), "beaten"))
@@ -143,8 +153,7 @@ def _key():
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with text that lacks its repeated lines; documents that lose all lines with words go.
 
-    Columns and their order stay; n_chars, if there, is the length of the new text.  A line of one to
-    four words goes when an earlier line has the same words.  Null, empty and blank texts stay as they
+    Columns and their order stay; n_chars, if there, is the length of the new text.  Null, empty and blank texts stay as they
     are.  Rows that share a doc_id count as one document: a line equal in place is not its own repeat.
     An empty table gives no rows.  A null doc_id comes before all others.
     """
@@ -169,22 +178,20 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
                     F.array_join("removed", ",").alias("removed_lines"))
 
 
-# all lines against all that share a shingle
+# lines as sets of words; those that share one of their rarest words are compared whole
 OP2_SQL = r"""
 WITH l AS (
-  SELECT doc_id, i - 1 AS line_no, regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+') AS w, len(lines) AS n_lines
+  SELECT doc_id, i - 1 AS line_no, regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+') AS w
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents)),
-s AS (
-  SELECT doc_id, line_no, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-         ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g
-  FROM l WHERE len(w) > 0),
-c AS (SELECT g, min((doc_id, line_no)) AS f, row_number() OVER () AS cid, len(g) AS n FROM s GROUP BY g),
-e AS (SELECT cid, f, n, unnest(g) AS x FROM c),
+s AS (SELECT doc_id, line_no, list_sort(list_distinct(w)) AS g FROM l WHERE len(w) > 0),
+c AS MATERIALIZED (SELECT g, min((doc_id, line_no)) AS f, row_number() OVER () AS cid, len(g) AS n FROM s GROUP BY g),
+e AS MATERIALIZED (SELECT cid, n, unnest(g) AS x FROM c),
+r AS (SELECT cid, n, x, row_number() OVER (PARTITION BY cid ORDER BY k, x) AS i FROM e JOIN (SELECT x, count(*) AS k FROM e GROUP BY x) USING (x)),
+p AS MATERIALIZED (SELECT cid, x FROM r WHERE i <= n - CAST(ceil(n * 4 / 5) AS BIGINT) + 1),
+near AS (SELECT DISTINCT a.cid AS one, b.cid AS two FROM p a JOIN p b ON a.x = b.x AND a.cid <> b.cid),
 beaten AS (
-  SELECT DISTINCT cid FROM (
-    SELECT a.cid, b.cid AS other, a.n AS an, b.n AS bn, count(*) AS k
-    FROM e a JOIN e b ON a.x = b.x AND b.f < a.f GROUP BY a.cid, b.cid, a.n, b.n)
-  WHERE 5 * k >= 4 * (an + bn - k)),
+  SELECT DISTINCT a.cid FROM near JOIN c a ON a.cid = one JOIN c b ON b.cid = two
+  WHERE b.f < a.f AND 5 * len(list_intersect(a.g, b.g)) >= 4 * (a.n + b.n - len(list_intersect(a.g, b.g)))),
 gone AS (
   SELECT s.doc_id, s.line_no FROM s JOIN c ON s.g = c.g LEFT JOIN beaten ON beaten.cid = c.cid
   WHERE beaten.cid IS NOT NULL OR (s.doc_id, s.line_no) <> c.f),

@@ -154,8 +154,7 @@ def test_line_dedup_brute(plain):
     seen, gone = [], {}
     for key, t in sorted(texts):
         for k, line in enumerate((t or "").split("\n")):
-            w = split(line)
-            s = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+            s = set(split(line))
             if not s:
                 continue
             if any(5 * len(s & o) >= 4 * len(s | o) for o in seen):
@@ -179,7 +178,41 @@ def test_line_dedup_takes_short_lines(spark):
              "one\nAll rights reserved.", "one two three four\none two three four five\n ", "one two three four\nlast"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()} == {
-        0: texts[0], 1: "all rights reserved.\none two\nkept", 3: texts[3], 4: "last"}
+        0: texts[0], 1: "all rights reserved.\none two\nkept", 3: "one two three four\n ", 4: "last"}
+
+
+def test_line_dedup_finds_a_changed_inner_word(spark):
+    """Of 20 words one differs: 19 of 21 are shared.  Two that differ leave 18 of 22, three 17 of 23."""
+    line = [f"w{i}" for i in range(20)]
+    texts = [" ".join(w if k not in changed else f"x{k}" for k, w in enumerate(line)) for changed in ((), (9,), (3, 9), (3, 9, 15))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # the last shares 17 of 23 with the first, but all save one word with the third
+    assert [r._key for r in linededup.repeated_lines(df).orderBy("_key").collect()] == [1, 2, 3]
+    pair = df.where("doc_id in (0, 3)")
+    assert linededup.repeated_lines(pair).count() == 0
+
+
+def test_line_dedup_against_all_pairs_of_random_lines(spark):
+    """Lines of 1 to 300 words near each other's threshold, from few words, so that all filters are met."""
+    rng = random.Random(5)
+    lines = []
+    for size in [1, 2, 4, 5, 6, 9, 10, 11, 19, 20, 40, 64, 128, 300]:
+        for _ in range(6):
+            base = [f"v{int(900 * rng.random() ** 3)}" for _ in range(size)]
+            lines.append(base)
+            for share in (0.02, 0.08, 0.11, 0.13, 0.2):
+                lines.append([w if rng.random() > share else f"n{rng.randrange(400)}" for w in base] + ["n1"] * rng.randrange(2))
+    rng.shuffle(lines)
+    docs = [(d, "\n".join(" ".join(w) for w in lines[d::40])) for d in range(40)]
+    seen, gone = [], set()
+    for d, t in docs:
+        for k, line in enumerate(t.split("\n")):
+            s = set(line.split(" "))
+            if any(5 * len(s & o) >= 4 * len(s | o) for o in seen):
+                gone.add((d, k))
+            seen.append(s)
+    got = linededup.repeated_lines(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {(r._key, r.line_no) for r in got.collect()} == gone and len(gone) > 50
 
 
 def test_near_duplicates_brute(plain):
@@ -483,8 +516,7 @@ def test_pipeline(spark, tmp_path):
     for k in sorted(judged):
         keep = []
         for line in judged[k].text.split("\n"):
-            w = split(line)
-            s = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+            s = set(split(line))
             if not any(s and 5 * len(s & o) >= 4 * len(s | o) for o in lines):
                 keep.append(line)
             lines.append(s)
