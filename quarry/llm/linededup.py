@@ -83,6 +83,14 @@ def _possible(a: str, b: str) -> Column:
             & (differ <= n + m - 2 * needed))
 
 
+def _places(classes: DataFrame) -> DataFrame:
+    """A row per item of each class's prefix: item, x (the class's line), its place i, n and the sketch.
+
+    Both sides of a join on item read all columns, so Spark shuffles the rows once for the two."""
+    return (classes.select(F.struct("_key", "line_no").alias("x"), "n", "lo", "hi", F.posexplode("prefix").alias("i", "item"))
+            .where("item is not null").repartition("item"))
+
+
 def _similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The (_key, line_no) of the x of pairs (x, y) whose full sets are similar enough.
 
@@ -120,18 +128,17 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         _parity(F.col("items"), 0).alias("lo"), _parity(F.col("items"), 1).alias("hi")), "line-prefixes")
     classes = written(lines.groupBy("s1", "s2", "n").agg(F.min(F.struct("_key", "line_no", "prefix", "lo", "hi")).alias("f"))
                       .select("s1", "s2", "n", "f.*"), "line-classes")
-    rows = (classes.select("_key", "line_no", "n", "lo", "hi", F.posexplode("prefix").alias("i", "item"))
-            .where("item is not null").repartition("item"))
-    first = rows.groupBy("item").agg(F.min(F.struct("_key", "line_no", "n", "i", "lo", "hi")).alias("p"), F.count("*").alias("c")).where("c > 1").drop("c")
-    shared = written(rows.join(first.hint("shuffle_hash"), "item")
-                     .select("item", F.struct("_key", "line_no").alias("x"), F.struct("n", "i", "lo", "hi").alias("a"),
-                             F.struct("p._key", "p.line_no").alias("y"), F.struct("p.n", "p.i", "p.lo", "p.hi").alias("b")), "line-shared")
-    near = written(shared.where("x <> y").where(_possible("a", "b")).select("x", "y").distinct(), "line-near")
-    settled = written(_similar(near, plain), "line-settled")
-    open_ = shared.join(settled.select(F.struct("_key", "line_no").alias("x")), "x", "left_anti")
-    earlier = shared.where("x <> y").select("item", F.col("x").alias("z"), F.col("a").alias("c"))
-    rest = (open_.select("item", "x", "a").join(earlier, "item").where("z < x").where(_possible("a", "c"))
-            .select("x", F.col("z").alias("y")).distinct())
+    rows = _places(classes)
+    first = rows.groupBy("item").agg(F.min(F.struct("x", "n", "i", "lo", "hi")).alias("b"))
+    met = rows.select("item", "x", F.struct("n", "i", "lo", "hi").alias("a")).join(first.hint("shuffle_hash"), "item")
+    near = met.where(F.col("x") != F.col("b.x")).where(_possible("a", "b")).select("x", F.col("b.x").alias("y")).distinct()
+    settled = written(_similar(written(near, "line-near"), plain), "line-settled")
+    # a settled class looks no further: as the later one of a pair it has a negative size, which fails the length filter
+    n = F.when(F.col("settled"), -F.col("n")).otherwise(F.col("n"))
+    rows = _places(classes.join(settled.withColumn("settled", F.lit(True)), ["_key", "line_no"], "left").withColumn("n", n))
+    earlier = rows.select("item", F.col("x").alias("y"), F.struct(F.abs("n").alias("n"), "i", "lo", "hi").alias("b"))
+    rest = (rows.select("item", "x", F.struct("n", "i", "lo", "hi").alias("a")).join(earlier, "item")
+            .where(F.col("y") < F.col("x")).where(_possible("a", "b")).select("x", "y").distinct())
     beaten = written(settled.unionByName(_similar(written(rest, "line-rest"), plain)), "line-beaten")
 
     firsts = (classes.join(beaten.withColumn("beaten", F.lit(True)), ["_key", "line_no"], "left")
