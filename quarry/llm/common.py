@@ -15,6 +15,8 @@ from quarry.session import scratch_dir
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RE = r"[\x20\x09-\x0D]+"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,6 +28,13 @@ def words(text: Column) -> Column:
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, BLANK_RE))
 
 
+def plain_words(text: Column) -> Column:
+    """As ``words``, without a pattern: Java splits at one plain character much faster."""
+    for blank in BLANKS[1:]:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
+
+
 def n_words(text: Column) -> Column:
     body = F.trim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(body == "", F.lit(0)).otherwise(F.size(F.split(body, BLANK_RE))).cast("long")
@@ -63,10 +72,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: lineage ends here,
-    and what reads it again after a lost executor does not compute it again."""
+    and what reads it again after a lost executor does not compute it again.
+
+    Nothing else reads the shuffles of the write, so Spark is told to drop their files with it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

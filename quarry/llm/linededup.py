@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import packed, words, written
+from quarry.llm.common import packed, plain_words, written
 
 #: similarity of 4/5 or more, in integers
 UP, DOWN = 4, 5
 BUCKETS = 16                # rarity is counted over 2**BUCKETS buckets of word hashes
+JOIN_BITS = 40              # of a word's hash that the join looks at; pairs are verified on whole hashes
 NO_ID = -(1 << 63)          # a null doc_id comes before all others
 
 
@@ -25,19 +26,20 @@ def _itemized(lines: DataFrame) -> DataFrame:
     Nothing may filter on ``items``: the optimizer would move that filter below, and then split the
     line anew for every word.  A plain explode adds such a filter, the outer one does not.
     """
-    w = lines.withColumn("_w", words(F.col("line"))).drop("line").where(F.size("_w") > 0)
+    w = lines.withColumn("_w", plain_words(F.col("line"))).drop("line").where(F.size("_w") > 0)
     return w.withColumn("items", F.array_distinct(F.transform("_w", lambda x: F.xxhash64(x)))).drop("_w")
 
 
-def _rarity(items: DataFrame) -> Column:
-    """Rank of each bucket of word hashes, rarest first, as a literal array.
+def _rarity(docs: DataFrame) -> Column:
+    """Rank of each bucket of word hashes, rarest first by the words of all texts, as a literal array.
 
     The bucket is the top bits of a hash and ranks are a permutation of buckets, so replacing the
     bucket by its rank keeps hashes distinct: an order of words by rarity, ties by hash.  The
     table has 2**BUCKETS cells whatever the corpus is.
     """
-    bucket = F.shiftrightunsigned("h", 64 - BUCKETS)
-    counts = items.select(F.explode_outer("items").alias("h")).groupBy(bucket.cast("int").alias("b")).count().toArrow()
+    bucket = F.shiftrightunsigned(F.xxhash64("w"), 64 - BUCKETS)
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
+    counts = docs.select(F.explode_outer(plain_words(text)).alias("w")).groupBy(bucket.cast("int").alias("b")).count().toArrow()
     seen = dict(zip(counts["b"].to_pylist(), counts["count"].to_pylist()))
     order = sorted(range(1 << BUCKETS), key=lambda b: (seen.get(b, 0), b))
     rank = [0] * len(order)
@@ -119,12 +121,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     still open then meet all earlier classes at their items.
     """
     plain = docs.select("doc_id", "text")
-    ranks = _rarity(_itemized(_lines(plain)))
+    ranks = _rarity(plain)
     n = F.size("items")
     base = _itemized(_lines(plain)).withColumn("items", _ordered(F.col("items"), ranks))
     lines = written(base.select(
         "_key", "line_no", n.alias("n"), F.xxhash64("items").alias("s1"), F.xxhash64(F.lit(1), "items").alias("s2"),
-        F.slice("items", 1, _prefix_length(n, UP, DOWN)).alias("prefix"),
+        F.transform(F.slice("items", 1, _prefix_length(n, UP, DOWN)), lambda h: h.bitwiseAND(F.lit((1 << JOIN_BITS) - 1))).alias("prefix"),
         _parity(F.col("items"), 0).alias("lo"), _parity(F.col("items"), 1).alias("hi")), "line-prefixes")
     classes = written(lines.groupBy("s1", "s2", "n").agg(F.min(F.struct("_key", "line_no", "prefix", "lo", "hi")).alias("f"))
                       .select("s1", "s2", "n", "f.*"), "line-classes")
