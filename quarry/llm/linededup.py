@@ -49,9 +49,10 @@ def _rarity(docs: DataFrame) -> Column:
 
 
 def _ordered(items: Column, ranks: Column) -> Column:
+    # no rank is null; that the type says so too lets the sort work on plain longs
     low = (1 << (64 - BUCKETS)) - 1
     return F.sort_array(F.transform(items, lambda h: F.shiftleft(
-        F.element_at(ranks, F.shiftrightunsigned(h, 64 - BUCKETS).cast("int") + 1).cast("long"), 64 - BUCKETS)
+        F.coalesce(F.element_at(ranks, F.shiftrightunsigned(h, 64 - BUCKETS).cast("int") + 1), F.lit(0)).cast("long"), 64 - BUCKETS)
         .bitwiseOR(h.bitwiseAND(F.lit(low)))))
 
 
@@ -88,8 +89,10 @@ def _possible(a: str, b: str) -> Column:
 def _places(classes: DataFrame) -> DataFrame:
     """A row per item of each class's prefix: item, x (the class's line), its place i, n and the sketch.
 
-    Both sides of a join on item read all columns, so Spark shuffles the rows once for the two."""
-    return (classes.select(F.struct("_key", "line_no").alias("x"), "n", "lo", "hi", F.posexplode("prefix").alias("i", "item"))
+    Both sides of a join on item read all columns, and none that may be null, or the optimizer would add
+    a filter to one side alone; so Spark shuffles the rows once for the two."""
+    sure = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "lo", "hi")]
+    return (classes.select(F.struct("_key", "line_no").alias("x"), *sure, F.posexplode("prefix").alias("i", "item"))
             .where("item is not null").repartition("item"))
 
 
