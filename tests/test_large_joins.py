@@ -1,5 +1,6 @@
 """Node tables and page rows are many small rows in small files: no join may send them through the driver."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,3 +32,14 @@ def test_selectors_do_not_broadcast_nodes(spark):
 @pytest.mark.parametrize("name", ["H17_zip_fields", "F14_has_link", "H12_attribute", "H2_find_all", "H14_card_rows"])
 def test_page_queries_do_not_broadcast_page_rows(spark, name):
     assert _broadcast_rows(E.queries()[name](spark, SF_SMALL)) == 0
+
+
+def test_parse_hands_nodes_on_in_bounded_batches():
+    from quarry.sources import pages as PG
+    n, html = 3000, HTML.format("a") * 10
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(n)), "html": [html] * n})
+    out = list(PG._parse_arrow([batch]))
+    a_page = len(PG.parse_html(html)) + 1
+    assert sum(b.num_rows for b in out) == n * a_page
+    assert max(b.num_rows for b in out) <= PG.ROWS_HELD + a_page
+    assert list(PG._parse_arrow([batch.slice(0, 0)])) == []
