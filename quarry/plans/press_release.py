@@ -17,7 +17,7 @@ from quarry import params as P
 from quarry.functions import text as T
 from quarry.functions.fold import transliterate
 from quarry.operators.dedupe import insert_if_absent
-from quarry.operators.joins import lookup
+from quarry.operators.joins import beside, lookup
 from quarry.operators.rules import first_failing, write_outcome
 from quarry.session import written
 
@@ -39,7 +39,7 @@ def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | No
         F.array_join(F.col("abstract_texts"), " ").alias("desc0"))
     told = F.col("desc0")
     if replies is not None:
-        x = x.join(replies.select("id", F.col("reply").alias("told")), "id", "left")
+        x = x.join(beside(replies.select("id", F.col("reply").alias("told"))), "id", "left")
         told = F.col("told")
     x = x.withColumn("desc_t", transliterate(told))
     x = x.withColumn("desc", T.strip_boilerplate(F.col("desc_t"))).drop("desc_t")
@@ -74,7 +74,7 @@ def press_release(issues: DataFrame, agencies: DataFrame, target: DataFrame | No
     # only loaded rows meet their text again
     ok = F.col("reason") == "loaded"
     y = y.withColumn("detail", detail).withColumn("text_row", F.when(ok, F.col("row")))
-    y = y.join(x.select(F.col("row").alias("text_row"), "desc"), "text_row", "left")
+    y = y.join(beside(x.select(F.col("row").alias("text_row"), "desc")), "text_row", "left")
     post_head = T.post_headline(F.col("journal_name"), head)
     body = T.normalise_whitespace(
         T.article_body(as_of, post_head, T.drop_headline(F.col("desc"), head), F.col("url")))

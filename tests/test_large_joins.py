@@ -34,6 +34,13 @@ def test_page_queries_do_not_broadcast_page_rows(spark, name):
     assert _broadcast_rows(E.queries()[name](spark, SF_SMALL)) == 0
 
 
+def test_release_texts_are_not_broadcast(spark):
+    df = E.queries()["X2_with_replies"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "rightHint=(strategy=merge)" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "text_row" not in "".join(x for x in plan.splitlines() if "BroadcastHashJoin" in x)
+
+
 def test_parse_hands_nodes_on_in_bounded_batches():
     from quarry.sources import pages as PG
     n, html = 3000, HTML.format("a") * 10
