@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.aggregates import drop_report, reason_counts, reason_details, run_metrics
 from quarry.operators.rules import reason_labels
+from quarry.session import written
 
 
 def run_report(outcomes: DataFrame, success: str):
@@ -30,7 +31,7 @@ def journal_report(outcomes: DataFrame, sites: DataFrame, described: DataFrame)
     through, ``described`` (text) the texts that were transliterated.  Part ``metric``: loaded, sites, duplicates,
     no_lede; part ``reason``: each reason that occurs, with its label; part ``dropped``: each character that
     was dropped (name U+XXXX) and how often."""
-    m = run_metrics(outcomes, "loaded", sites=sites)
+    m = written(run_metrics(outcomes, "loaded", sites=sites), "metrics")          # one row
     names = ("loaded", "sites", "duplicates", "no_lede")
     metrics = m.select(F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.col(k).alias("n")) for k in names])).alias("_m"))
     metrics = metrics.select(F.lit("metric").alias("part"), "_m.name", F.lit(None).cast("string").alias("label"), "_m.n")

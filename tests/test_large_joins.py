@@ -50,3 +50,19 @@ def test_parse_hands_nodes_on_in_bounded_batches():
     assert sum(b.num_rows for b in out) == n * a_page
     assert max(b.num_rows for b in out) <= PG.ROWS_HELD + a_page
     assert list(PG._parse_arrow([batch.slice(0, 0)])) == []
+
+
+def test_issue_pages_shuffle_keys_not_html(spark):
+    from quarry.plans import queries as Q
+    for view in (Q.issue_pages, Q.landing_pages):
+        plan = view(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        # what is collected per page holds no markup
+        assert not [x for x in plan.splitlines() if "partial_collect_list" in x and "<" in x.split("partial_collect_list", 1)[1]], plan
+
+
+def test_landing_pages_are_built_once(spark):
+    from quarry.plans import queries as Q
+    pages, matched, _ = Q._issue_run(spark, SF_SMALL)
+    for df in (pages, matched):
+        assert "orders.parquet" not in "".join(df.inputFiles())
+    assert pages.where(F.col("html").isNotNull()).count() > 0
