@@ -3,6 +3,7 @@
 import hashlib
 import random
 import struct
+import time
 import zipfile
 import zlib
 
@@ -533,3 +534,12 @@ def test_pipeline(spark, tmp_path):
     assert set(single) == {k for k in group if group[k] == k}
     assert set(clean) == {k for k in single if k != 10}
     assert set(mixed) == set(clean) and all(0 <= r.taken <= 3 * r.size == 3 * len(split(r.text)) for r in mixed.values())
+
+
+def test_quality_of_a_very_long_text_takes_time_in_proportion(spark):
+    """A slice of the words at each position copied all words each time: minutes for this text."""
+    text = " ".join(f"w{i}" for i in range(60_000)) + " w0 w1 w2 w3 w4 w5"
+    df = spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string")
+    began = time.monotonic()
+    r = quality.judge(df).first()
+    assert (r.n_words, r.n_repeat_words, r.base_failed) == (60_006, 12, False) and time.monotonic() - began < 30
