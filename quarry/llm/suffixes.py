@@ -105,14 +105,15 @@ def _slice_rows(length: int, collapse: bool):
                 text = data[offsets[r]: offsets[r + 1]]
                 begin, a = _runs(text, length)
                 known = shared[r].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                for i in np.flatnonzero(np.isin(a, known)):
-                    lo, hi = int(begin[i]), int(begin[i + 1])
-                    body = text[lo: hi + length - 1].tobytes()
+                at = np.flatnonzero(np.isin(a, known))
+                whole, tid = text.tobytes() if at.size else b"", tids[r]
+                for anchor, lo, hi in zip(a[at].view(np.int64).tolist(), begin[at].tolist(), begin[at + 1].tolist()):
+                    body = whole[lo: hi + length - 1]
                     if collapse:
-                        _keep_first(best, found, body, (key, tids[r], lo), len(found["start"]))
+                        _keep_first(best, found, body, (key, tid, lo), len(found["start"]))
                         if best[body] != len(found["start"]):
                             body = None
-                    for name, value in zip(_FOUND, (int(a[i].view(np.int64)), key, tids[r], lo, hi - lo, body)):
+                    for name, value in zip(_FOUND, (anchor, key, tid, lo, hi - lo, body)):
                         found[name].append(value)
                 if len(found["start"]) > 50_000:
                     yield _slices(found)
@@ -148,26 +149,23 @@ def suffix_array(text: np.ndarray, at: np.ndarray, end: np.ndarray):
     """
     n = text.size
     # per position: bytes until its slice ends
-    room = np.zeros(n, dtype=np.int64)
-    for lo, hi in zip(*_parts(end)):
-        room[lo:hi] = np.arange(hi - lo, 0, -1)
+    room = np.repeat(end, np.diff(end, prepend=0)) - np.arange(n)
     code = np.zeros(n, dtype=np.uint64)
+    padded = np.zeros(n + 7, dtype=np.uint64)
+    padded[:n] = text
+    padded[:n] += np.uint64(1)
     for d in range(7):
-        c = np.zeros(n, dtype=np.uint64)
-        ok = np.flatnonzero(room > d)
-        c[ok] = text[ok + d].astype(np.uint64) + np.uint64(1)
-        code = code * np.uint64(512) + c
+        code <<= np.uint64(9)
+        code += padded[d: d + n] * (room > d)
     rank = _ranks(code)
     step, ranks, longest = 7, [(7, rank)], int(room.max(initial=0))
     while step < longest:
-        nxt = np.zeros(n, dtype=np.uint64)
-        ok = np.flatnonzero(room > step)
-        nxt[ok] = rank[ok + step] + np.uint64(1)
-        code = rank * np.uint64(n + 2) + nxt
+        code = rank * np.uint64(n + 2)
+        code[: n - step] += (rank[step:] + np.uint64(1)) * (room[: n - step] > step)
         rank = _ranks(code)
         step *= 2
         ranks.append((step, rank))
-    order = np.argsort(rank[at], kind="stable")
+    order = np.argsort(rank[at] * np.uint64(at.size + 1) + np.arange(at.size, dtype=np.uint64))     # ties by place
     sa = at[order]
     # common prefix of neighbours: descend from the longest level at which ranks agree, then by byte
     a, b = sa[:-1].copy(), sa[1:].copy()
@@ -191,15 +189,11 @@ def suffix_array(text: np.ndarray, at: np.ndarray, end: np.ndarray):
     return order, np.concatenate([[0], lcp])
 
 
-def _parts(end: np.ndarray):
-    """Begin and end of each slice from the ends of all slices."""
-    return np.concatenate([[0], end[:-1]]), end
-
-
 def _ranks(code: np.ndarray) -> np.ndarray:
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)                # equal codes share a rank, so their order is free
     new = np.ones(code.size, dtype=bool)
-    new[1:] = code[order[1:]] != code[order[:-1]]
+    code = code[order]
+    new[1:] = code[1:] != code[:-1]
     out = np.empty(code.size, dtype=np.uint64)
     out[order] = np.cumsum(new).astype(np.uint64) - np.uint64(1)
     return out
@@ -292,15 +286,18 @@ def _chunks(batches):
     """Rows sorted by anchor, in lists of whole anchors of about CHUNK bytes."""
     rows, size, last = {name: [] for name in _FOUND}, 0, None
     for batch in batches:
-        columns = [batch.column(name).to_pylist() for name in _FOUND]
-        for row in zip(*columns):
-            if size > CHUNK and row[0] != last:
+        columns = {n: batch.column(n).to_pylist() if n == "bytes" else batch.column(n).to_numpy().tolist() for n in _FOUND}
+        done = 0
+        for i, (anchor, body) in enumerate(zip(columns["anchor"], columns["bytes"])):
+            if size > CHUNK and anchor != last:
+                for name in _FOUND:
+                    rows[name] += columns[name][done:i]
                 yield rows
-                rows, size = {name: [] for name in _FOUND}, 0
-            last = row[0]
-            size += len(row[-1] or b"")
-            for name, value in zip(_FOUND, row):
-                rows[name].append(value)
+                rows, size, done = {name: [] for name in _FOUND}, 0, i
+            last = anchor
+            size += len(body or b"")
+        for name in _FOUND:
+            rows[name] += columns[name][done:]
     if rows["anchor"]:
         yield rows
 

@@ -1,12 +1,14 @@
 """The training-data operators against brute force, with the odd rows that tables hold."""
 
 import hashlib
+import os
 import random
 import struct
 import time
 import zipfile
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -543,3 +545,25 @@ def test_quality_of_a_very_long_text_takes_time_in_proportion(spark):
     began = time.monotonic()
     r = quality.judge(df).first()
     assert (r.n_words, r.n_repeat_words, r.base_failed) == (60_006, 12, False) and time.monotonic() - began < 30
+
+
+def test_suffix_array_over_many_short_slices():
+    """Order and common prefixes as by sorting; a loop over slices in Python took most of the time."""
+    rng = np.random.default_rng(5)
+    text = rng.integers(97, 100, 4000, dtype=np.uint8)
+    end = np.cumsum(rng.integers(1, 40, 400))
+    end = np.append(end[end < text.size], text.size)
+    at = np.flatnonzero(rng.random(text.size) < 0.5)
+    stop = end[np.searchsorted(end, at, "right")]
+    order, lcp = suffixes.suffix_array(text, at, end)
+    tails = [text[a:b].tobytes() for a, b in zip(at, stop)]
+    assert order.tolist() == sorted(range(len(tails)), key=lambda i: (tails[i], i))
+    assert lcp[1:].tolist() == [len(os.path.commonprefix([tails[i], tails[j]])) for i, j in zip(order, order[1:])]
+
+    text, end = rng.integers(97, 123, 4_000_000, dtype=np.uint8), np.arange(1, 2_000_001) * 2
+    began = time.process_time()
+    np.cumsum(np.argsort(rng.permutation(text.size)))
+    usual = time.process_time() - began
+    began = time.process_time()
+    suffixes.suffix_array(text, np.arange(0, text.size, 100), end)
+    assert time.process_time() - began < 4 * usual
