@@ -61,7 +61,7 @@ def features(docs: DataFrame) -> DataFrame:
 
     # words inside five-word windows that occur twice or more: sort the window hashes, take the
     # positions whose neighbour in that order is equal, and measure the union of their windows
-    # (a slice of the words at each position would copy all words each time)
+    # (a window is hashed from its words' hashes, which are made once)
     d = d.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     d = d.withColumn("_grams", F.slice(F.transform(
         "_hashes", lambda h, i: F.xxhash64(h, *[F.get("_hashes", i + k) for k in range(1, WINDOW)])),
