@@ -111,3 +111,23 @@ def test_p_filenames_and_headline(spark):
                   T.post_headline(F.col("j"), F.col("h")).alias("p")).first()
     assert r["f"] == "$H-PUBCOM-AG" + ("Title " * 30)[:85]
     assert r["p"] == "The Jour posted research article in 'Head line'"
+
+
+def test_text_rules_take_few_passes(spark):
+    df = spark.createDataFrame([("a",)], "s string")
+    plan = lambda c: df.select(c.alias("r"))._jdf.queryExecution().analyzed().toString()
+    # blanks: a regex a pass, none for a literal; the two marks and the two rules of line ends share one
+    assert plan(T.normalise_whitespace(F.col("s"))).count("regexp_replace(") == 4
+    # long results: only those that occur are replaced, however many there are
+    for fold in (transliterate, ascii_fold):
+        assert plan(fold(F.col("s"))).replace("regexp_replace(", "").count("replace(") <= 4
+
+
+def test_folds_match_their_plan_for_every_character(spark):
+    from quarry.functions.fold import fold_python
+    rng = random.Random(5)
+    chars = [chr(x) for x in [*range(0x80, 0x250), *range(0x2000, 0x2070), 0x20AC, 0x2122, 0x4E00, 0x1F600]] + ["§§", "a", " ", "."]
+    rows = ["".join(rng.choice(chars) for _ in range(40)) for _ in range(400)] + chars
+    df = spark.createDataFrame([(r,) for r in rows], "s string").coalesce(1)
+    for fold, table in ((ascii_fold, "T1"), (transliterate, "T2")):
+        assert [r[0] for r in df.select(fold(F.col("s"))).collect()] == [fold_python(r, table) for r in rows]
