@@ -201,3 +201,13 @@ def test_walk_from_landing_page_to_abstracts(spark):
 def test_walk_without_any_template(spark):
     got, report = walk(spark, [(1, "https://x.net/", "<p>a</p>", 1, 1)], [], [], templates=(("short.org", "a,b"),))
     assert got == {} and report == [(1, "", "no_template")]
+
+
+def test_linked_pages_reads_the_pages_once(spark):
+    from quarry.plans.journal_issues import linked_pages
+    rows = [(3, "u", "c"), (1, "u", "a"), (1, "u", "a"), (2, "v", "b"), (4, "w", "d"), (None, "v", "n"), (5, None, "e"), (None, "x", "n")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    links = spark.createDataFrame([("u",), ("u",), ("v",), ("x",), (None,)], "link string")
+    got = linked_pages(pages, links)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "u", "a"), (1, "u", "a"), (2, "v", "b")]
+    assert got._jdf.queryExecution().analyzed().toString().count("Join ") == 1

@@ -118,3 +118,49 @@ def test_first_fields_equals_general_path(spark):
             if n == "a":
                 assert r["a_attr"] == href.get(k), k
             assert r["text"] == whole[k]
+
+
+BITS = ["<p>", "</p>", '<div class="a b">', "</div>", '<a href="x&amp;y">', "<a href='q'>", "<a href=z>", "</a>", "<br>", "<br/>", '<img src="x" />',
+        '<script>var a="<p>";</script>', "<style>x</style>", "<title>a<b></title>", "<!-- c -->", "<!DOCTYPE html>", "<?pi?>", "text", "a &amp; b", " & ",
+        "&lt", "<", ">", "</", "</>", "< p>", '<P CLASS="X">', "</P >", '<li\tid="1"\nclass="c" id="2">', "<x-y>", '<a b="1"c="2">', "<h2 ", '"',
+        "<p/>", "<script/>", "</script>", "é\xa0", "\x0b", "<textarea>", '<a b = "1">', "&#65;", "&#x41", '<a "b"="c">', "\x00", '<i a="<b>">', "</i\x0b>"]
+
+
+def test_plain_markup_is_read_as_the_library_reads_it(monkeypatch):
+    import random
+    from quarry.sources import pages as PG
+
+    def by_library(html):
+        b = PG._TreeBuilder()
+        b.feed(html)
+        return b.finish()
+
+    rng = random.Random(4)
+    for _ in range(20000):
+        html = "".join(rng.choice(BITS) for _ in range(rng.randint(0, 9)))
+        assert parse_html(html) == by_library(html), html
+    # a page of plain tags is read in one go
+    page = '<html><body><ul class="l"><li><a href="/1">one &amp; two</a><br/>x</li></ul></body></html>'
+    want = by_library(page)
+    monkeypatch.setattr(PG._TreeBuilder, "parse_starttag", lambda self, i: 1 / 0)
+    assert parse_html(page) == want
+
+
+def test_tags_read_before_are_few(monkeypatch):
+    from quarry.sources import pages as PG
+    monkeypatch.setattr(PG, "SEEN_MAX", 50)
+    PG.SEEN_TAGS.clear()
+    for k in range(500):
+        rows = parse_html(f'<a href="/{k}"><img src="{"x" * 100}{k}">t</a>')
+        assert [r[6] for r in rows[:2]] == [{"href": f"/{k}"}, {"src": "x" * 100 + str(k)}]
+        assert len(PG.SEEN_TAGS) <= 50 and max(map(len, PG.SEEN_TAGS)) <= PG.SEEN_CHARS
+
+
+def test_first_fields_meets_the_nodes_once(spark):
+    from quarry.sources.specs import parse_step
+    nodes = page_nodes(spark.createDataFrame([(1, "<div><a href='x'>t</a></div>")], "page_id long, html string"))
+    els, tx = elements(nodes), texts(nodes)
+    ctx = H.page_context(nodes.select("page_id").distinct())
+    f = H.first_fields(ctx, els, tx, ["page_id"], {"a": parse_step("find|elem|a")})
+    assert f._jdf.queryExecution().analyzed().toString().count("Join ") == 1
+    assert [(r.a_found, r.a_attr, r.a_text, r.text) for r in f.collect()] == [(True, "x", "t", "t")]
