@@ -131,3 +131,12 @@ def test_folds_match_their_plan_for_every_character(spark):
     df = spark.createDataFrame([(r,) for r in rows], "s string").coalesce(1)
     for fold, table in ((ascii_fold, "T1"), (transliterate, "T2")):
         assert [r[0] for r in df.select(fold(F.col("s"))).collect()] == [fold_python(r, table) for r in rows]
+
+
+def test_drop_report_counts_by_what_a_text_loses(spark):
+    from quarry.operators.aggregates import drop_report
+    df = spark.createDataFrame([("Привет, мир и 😀😀",), ("и é",), ("plain",), (None,)], "t string")
+    rep = drop_report(df, "t")
+    assert "filter(" not in rep._jdf.queryExecution().analyzed().toString()
+    got = {chr(r.code_point): (r.n, r.n_rows) for r in rep.collect()}
+    assert got == {"П": (1, 1), "р": (2, 1), "и": (4, 2), "в": (1, 1), "е": (1, 1), "т": (1, 1), "м": (1, 1), "😀": (2, 1)}
